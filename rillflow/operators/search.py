@@ -7,7 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions import analysed, contains_all, contains_any, highlight, match_score
+from rillflow.functions import (
+    analysed,
+    contains_all,
+    contains_any,
+    highlight,
+    match_score,
+    query_tokens,
+)
 from rillflow.operators.relational import page
 
 POSTING_SPAN = 65_536
@@ -77,9 +84,11 @@ def search_page(
 ) -> Hits:
     """Filter, match, highlight, sort and page, with the exact total (SCH-07, SCH-08)."""
     wanted = df if condition is None else df.where(condition)
-    found = match_any(wanted, field, query)
     if every_token:
-        found = match_all(found, field, query)
+        found = match_all(wanted, field, query)
+        found = found.withColumn("score", F.size(query_tokens(query)))
+    else:
+        found = match_any(wanted, field, query)
     total = found.agg(F.count(F.lit(1)).alias("total"))
     order = order or [F.col("score").desc(), F.col(key).asc()]
     shown = page(found, order, page_no, page_size)
