@@ -3,11 +3,22 @@
 from pyspark.sql import types as T
 
 
-def _struct(**fields: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields.items()))
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(),
+    "double": T.DoubleType(), "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def struct(**fields: str | T.DataType) -> T.StructType:
+    """A schema from type names; needs no running session."""
+    return T.StructType([T.StructField(n, _TYPES.get(t, t)) for n, t in fields.items()])
 
 
-SENSOR = T.StructType.fromDDL("id string, timestamp bigint, temperature double")
+def texts(names: str) -> T.StructType:
+    return struct(**dict.fromkeys(names.split(), "string"))
+
+
+SENSOR = struct(id="string", timestamp="bigint", temperature="double")
 
 COMMON_FIELDS = [
     "mid", "user_id", "province_id", "channel", "is_new", "model",
@@ -19,24 +30,24 @@ _PAGE = {
     "page_item_type": "string",
 }
 
-PAGE_LOG = _struct(
+PAGE_LOG = struct(
     **_COMMON, **_PAGE, during_time="bigint", sourceType="string", ts="bigint"
 )
-PAGE_DISPLAY = _struct(
+PAGE_DISPLAY = struct(
     **_COMMON, **_PAGE, sourceType="string", during_time="bigint",
     display_type="string", display_item="string", display_item_type="string",
     display_order="string", display_pos_id="string", ts="bigint",
 )
-PAGE_ACTION = _struct(
+PAGE_ACTION = struct(
     **_COMMON, **_PAGE, sourceType="string", during_time="bigint",
     action_id="string", action_item="string", action_item_type="string",
     action_ts="bigint", ts="bigint",
 )
-START_LOG = _struct(
+START_LOG = struct(
     **_COMMON, entry="string", open_ad_id="string", loading_time_ms="bigint",
     open_ad_ms="bigint", open_ad_skip_ms="bigint", ts="bigint",
 )
-DAU_INFO = _struct(
+DAU_INFO = struct(
     **_COMMON, page_id="string", page_item="string", page_item_type="string",
     sourceType="string", during_time="bigint", user_gender="string",
     user_age="string", province_name="string", province_iso_code="string",
@@ -44,14 +55,14 @@ DAU_INFO = _struct(
     hr="string", ts="bigint",
 )
 
-ORDER_INFO = _struct(
+ORDER_INFO = struct(
     id="bigint", province_id="bigint", order_status="string", user_id="bigint",
     total_amount="double", activity_reduce_amount="double",
     coupon_reduce_amount="double", original_total_amount="double",
     feight_fee="double", feight_fee_reduce="double", expire_time="string",
     refundable_time="string", create_time="string", operate_time="string",
 )
-ORDER_DETAIL = _struct(
+ORDER_DETAIL = struct(
     id="bigint", order_id="bigint", sku_id="bigint", order_price="double",
     sku_num="bigint", sku_name="string", create_time="string",
     split_total_amount="double", split_activity_amount="double",
@@ -68,39 +79,33 @@ ORDER_WIDE_COLUMNS = [
     "province_iso_code", "user_age", "user_gender",
 ]
 
-USER_DIM = T.StructType.fromDDL("id string, gender string, birthday string")
-PROVINCE_DIM = T.StructType.fromDDL(
-    "id string, name string, iso_code string, iso_3166_2 string, area_code string"
-)
+USER_DIM = texts("id gender birthday")
+PROVINCE_DIM = texts("id name iso_code iso_3166_2 area_code")
 
 # Application log line. Numbers are declared as strings and cast later: a quoted
 # number must still be read as a number.
-LOG_LINE = T.StructType.fromDDL(
-    "common struct<ar string, uid string, os string, ch string, is_new string,"
-    " md string, mid string, vc string, ba string>,"
-    " ts string,"
-    " page struct<page_id string, item string, during_time string,"
-    " item_type string, last_page_id string, source_type string>,"
-    " displays array<struct<display_type string, item string, item_type string,"
-    " order string, pos_id string>>,"
-    " actions array<struct<action_id string, item string, item_type string, ts string>>,"
-    " start struct<entry string, loading_time string, open_ad_id string,"
-    " open_ad_ms string, open_ad_skip_ms string>"
+LOG_LINE = struct(
+    common=texts("ar uid os ch is_new md mid vc ba"),
+    ts="string",
+    page=texts("page_id item during_time item_type last_page_id source_type"),
+    displays=T.ArrayType(texts("display_type item item_type order pos_id")),
+    actions=T.ArrayType(texts("action_id item item_type ts")),
+    start=texts("entry loading_time open_ad_id open_ad_ms open_ad_skip_ms"),
 )
 
 # Database change event; `data` stays text because its shape depends on the table.
-CHANGE = T.StructType.fromDDL("type string, table string, data string")
+CHANGE = texts("type table data")
 
-CELL = T.StructType.fromDDL(
-    "row_key string, family string, qualifier string, ts bigint, value string"
+CELL = struct(
+    row_key="string", family="string", qualifier="string", ts="bigint", value="string"
 )
 
-MOVIE = T.StructType.fromDDL(
-    "id bigint, name string, doubanScore double,"
-    " actorList array<struct<id bigint, name string>>"
+MOVIE = struct(
+    id="bigint", name="string", doubanScore="double",
+    actorList=T.ArrayType(struct(id="bigint", name="string")),
 )
 
-JDBC_TASK = T.StructType.fromDDL(
-    "app_code string, task_code int, task_cells string, task_labels string,"
-    " task_start_time timestamp_ntz, task_end_time timestamp_ntz, task_state int"
+JDBC_TASK = struct(
+    app_code="string", task_code="int", task_cells="string", task_labels="string",
+    task_start_time="timestamp_ntz", task_end_time="timestamp_ntz", task_state="int",
 )

@@ -36,10 +36,12 @@ def write_messages(df: DataFrame, target: str = "kafka", path: str | None = None
 
 
 def stream_messages(
-    df: DataFrame, checkpoint: str, target: str = "kafka", path: str | None = None, **options: str
+    df: DataFrame, checkpoint: str, target: str = "kafka", path: str | None = None,
+    every: str | None = "5 seconds", **options: str,
 ) -> StreamingQuery:
     """Streaming write. Append mode: Spark refuses a plan that would take rows back."""
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     if target == "kafka":
         return writer.format("kafka").options(**PRODUCER, **options).start()
     return writer.format(target).options(**options).partitionBy("topic").start(path)

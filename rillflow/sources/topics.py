@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
+from rillflow.schemas import texts
 from rillflow.sources.files import parse_lines
 
-MESSAGE = StructType.fromDDL("topic string, key string, value string")
+MESSAGE = texts("topic key value")
 
 
 def broker_options(

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from rillflow.operators.aggregates import word_count
 from rillflow.operators.windows import millis, window_counts, windowed
+from rillflow.schemas import struct
 from rillflow.sinks.keyed import KeyedTable
 
 # Fixed value: the pace of the micro-batches.
@@ -60,7 +61,7 @@ def bounded_lateness(df: DataFrame, time: str, seconds: int = 1) -> DataFrame:
 
 
 # Record of a running word count: one table, no days.
-COUNTS = StructType.fromDDL("dt string, word string, cnt bigint")
+COUNTS = struct(dt="string", word="string", cnt="bigint")
 
 
 def counts_table(path: str) -> KeyedTable:
