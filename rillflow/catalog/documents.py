@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from rillflow.catalog.records import MOVIES, movies
 from rillflow.catalog.registry import query
-from rillflow.functions import analysed, contains_phrase, highlight
+from rillflow.functions import analysed, highlight
 from rillflow.operators import aggregates, mutate, relational, search, views
 
 # The oracle's analysis of a text: the same runs of letters, marks and digits.
@@ -44,7 +44,7 @@ def match_and(t):
 WHERE contains(concat(' ', array_to_string(tokens, ' '), ' '), ' of the ')""")
 def match_phrase(t):
     """SCH-03."""
-    return t.documents.where(contains_phrase(F.col("text"), "of the")).select("doc_id")
+    return search.match_phrase(t.documents, "text", "of the").select("doc_id")
 
 
 @query("SELECT doc_id, text, n_chars FROM documents")

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.catalog.registry import Tables
+from rillflow.functions import compute_once
+from rillflow.session import spread
 
 AS_OF = "2024-02-28"
 
@@ -139,7 +141,8 @@ def log_lines(t: Tables) -> DataFrame:
         ).alias("start"),
         F.col("ts"),
     )
-    return view.select(F.to_json(line).alias("value"), "event_id")
+    lines = compute_once(spread(view), "value", F.to_json(line))
+    return lines.select("value", "event_id")
 
 
 # -- dimensions ------------------------------------------------------------------

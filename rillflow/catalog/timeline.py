@@ -77,13 +77,12 @@ def window_reduce(t):
     return reduced.select("id", start, "timestamp", "temperature")
 
 
-def _window_size(rows: pd.DataFrame) -> pd.DataFrame:
-    head = rows.iloc[:1]
-    return pd.DataFrame({"id": head["id"], "window_start": head["window_start"], "cnt": len(rows)})
+def _sizes(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+    return rows.groupby(by, as_index=False).size().rename(columns={"size": "cnt"})
 
 
-def _sum_sizes(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.iloc[:1].assign(cnt=rows["cnt"].sum())
+def _add_sizes(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+    return rows.groupby(by, as_index=False)["cnt"].sum()
 
 
 @query(f"""WITH {READINGS} SELECT id, ms - ms % 86400000 AS window_start, count(*) AS cnt
@@ -92,7 +91,7 @@ def full_window_function(t):
     """WIN-07, EXT-02, EXT-03: a user function over whole windows, in two parts."""
     return windows.full_window(
         readings(t).select("id", "ts"), ["id"], "ts", DAY,
-        "id string, window_start bigint, cnt bigint", _window_size, _sum_sizes,
+        "id string, window_start bigint, cnt bigint", _sizes, _add_sizes,
     )
 
 

@@ -73,6 +73,15 @@ def seconds_to_time(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later steps use several times.
+
+    Catalyst copies a projected expression into the filters above it, and a parsed document
+    would be parsed anew for each of them. A generator is not copied.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def copy_fields(df: DataFrame, targets: list[str], *sources: str) -> DataFrame:
     """Fill ``targets`` from same-named fields of struct columns.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions import age_years, copy_fields
+from rillflow.functions import age_years
 from rillflow.schemas import ORDER_WIDE_COLUMNS
 
 
@@ -39,26 +39,31 @@ def missing_dimensions(facts: DataFrame, *columns: str) -> DataFrame:
     return facts.agg(*[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in columns])
 
 
-def wide_rows(infos: DataFrame, details: DataFrame, condition: Column | None = None) -> DataFrame:
-    """Inner join of orders and details into wide rows (JON-04, JON-05).
+def marked(df: DataFrame, mark: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{mark}_{c}") for c in df.columns])
 
-    The detail is copied over the order, so ``create_time`` is the detail's while
-    ``create_date`` and ``create_hour`` are the order's.
-    """
-    left = infos.select(F.struct(*infos.columns).alias("info"))
-    right = details.select(F.struct(*details.columns).alias("detail"))
-    on = F.col("info.id") == F.col("detail.order_id")
-    joined = left.join(right, on if condition is None else on & condition, "inner")
+
+def wide_rows(infos: DataFrame, details: DataFrame) -> DataFrame:
+    """Inner join of orders and details into wide rows (JON-04, JON-05)."""
+    joined = marked(infos, "info").join(
+        marked(details, "detail"), F.col("info_id") == F.col("detail_order_id"), "inner"
+    )
     return assembled(joined)
 
 
 def assembled(joined: DataFrame) -> DataFrame:
-    """Wide rows from (info, detail) structs."""
-    keyed = joined.withColumns({
-        "info": F.col("info").withField("order_id", F.col("info.id")),
-        "detail": F.col("detail").withField("detail_id", F.col("detail.id")),
-    })
-    return copy_fields(keyed, ORDER_WIDE_COLUMNS, "info", "detail")
+    """Wide rows from joined columns marked ``info_`` and ``detail_`` (JON-04).
+
+    The detail is copied over the order, so ``create_time`` is the detail's while
+    ``create_date`` and ``create_hour`` are the order's.
+    """
+    names = set(joined.columns)
+    source = {
+        target: next(c for c in (f"detail_{target}", f"info_{target}") if c in names)
+        for target in ORDER_WIDE_COLUMNS if target != "detail_id"
+    }
+    source["detail_id"] = "detail_id"
+    return joined.select(*[F.col(source[t]).alias(t) for t in ORDER_WIDE_COLUMNS])
 
 
 def match_states(infos: DataFrame, details: DataFrame) -> DataFrame:
@@ -81,8 +86,18 @@ def match_states(infos: DataFrame, details: DataFrame) -> DataFrame:
     return from_details.unionByName(from_orders)
 
 
+MAX_LISTED = 10_000
+
+
 def in_tables(changes: DataFrame, tables: DataFrame) -> DataFrame:
-    """Change events whose table is on a list that may change at any time (JON-07)."""
+    """Change events whose table is on a list that may change at any time (JON-07).
+
+    The list is read when this is called, so in every micro-batch. As a set of constants it
+    filters in place: a join would shuffle all events by a handful of table names.
+    """
+    names = [r[0] for r in tables.select("table_name").distinct().limit(MAX_LISTED + 1).collect()]
+    if len(names) <= MAX_LISTED:
+        return changes.where(F.col("table").isin(names))
     listed = tables.select(F.col("table_name").alias("_listed")).distinct()
     return changes.join(listed, F.col("table") == F.col("_listed"), "left_semi")
 

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions import words
+from rillflow.session import spread
 
 
 def tokens_of(df: DataFrame, text: str = "value", keep_empty: bool = True) -> DataFrame:
     """One row per word (PRJ-05)."""
-    return df.select(F.explode(words(F.col(text), keep_empty)).alias("word"))
+    return spread(df).select(F.explode(words(F.col(text), keep_empty)).alias("word"))
 
 
 def split_by(df: DataFrame, **predicates: Column) -> dict[str, DataFrame]:

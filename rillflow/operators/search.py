@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from rillflow.functions import (
     analysed,
+    compute_once,
     contains_all,
     contains_any,
+    contains_phrase,
     highlight,
     match_score,
     query_tokens,
 )
 from rillflow.operators.relational import page
+from rillflow.session import spread
 
 POSTING_SPAN = 65_536
 
@@ -30,13 +33,18 @@ class Hits:
 
 def match_any(df: DataFrame, field: str, query: str) -> DataFrame:
     """Documents with at least one query token, scored by distinct tokens hit (SCH-01)."""
-    scored = df.withColumn("score", match_score(F.col(field), query))
+    scored = compute_once(spread(df), "score", match_score(F.col(field), query))
     return scored.where(F.col("score") > 0)
 
 
 def match_all(df: DataFrame, field: str, query: str) -> DataFrame:
     """Documents with every query token (SCH-02)."""
-    return df.where(contains_all(F.col(field), query))
+    return spread(df).where(contains_all(F.col(field), query))
+
+
+def match_phrase(df: DataFrame, field: str, phrase: str) -> DataFrame:
+    """Documents with the phrase's tokens one after the other (SCH-03)."""
+    return spread(df).where(contains_phrase(F.col(field), phrase))
 
 
 def token_term(field: Column, token: str) -> Column:
@@ -67,7 +75,7 @@ def inverted_index(df: DataFrame, doc_id: str, field: str, span: int = POSTING_S
     A frequent token occurs in a large share of all documents, so its list is cut into blocks
     of ``span`` consecutive ids: no row and no task holds more than ``span`` ids of a token.
     """
-    tokens = df.select(
+    tokens = spread(df.select(doc_id, field)).select(
         F.col(doc_id), F.explode(F.array_distinct(analysed(F.col(field)))).alias("token")
     )
     block = F.floor(F.col(doc_id) / span)

@@ -82,31 +82,40 @@ def count_windows(
 
 def full_window(
     df: DataFrame, keys: list[str], time: str, size: int, schema: StructType | str,
-    partial: Callable[[pd.DataFrame], pd.DataFrame], merge: Callable[[pd.DataFrame], pd.DataFrame],
+    partial: Callable[[pd.DataFrame, list[str]], pd.DataFrame],
+    merge: Callable[[pd.DataFrame, list[str]], pd.DataFrame],
 ) -> DataFrame:
-    """A user function over all rows of a window (WIN-07, EXT-03).
+    """A user function over all rows of a window (WIN-07, EXT-02, EXT-03).
 
-    The function comes in two parts so that no task must hold a whole window: ``partial``
-    turns the rows of one (key, window) in one batch into a row of ``schema`` (which holds
-    the keys and ``window_start``), ``merge`` turns such rows of one window into one. Tasks
-    merge their own rows first, so a window gives at most one row per task to the shuffle.
+    The function comes in two parts so that no task must hold a whole window. ``partial`` gets
+    a batch of rows of many windows and the grouping columns (keys and ``window_start``) and
+    gives one row of ``schema`` per window; ``merge`` makes one row per window of such rows.
+    Tasks merge before the shuffle and, as a window's rows arrive together, while they come in.
     """
     stamped = df.withColumn("window_start", millis(window_of(time, size)["start"]))
     group = [*keys, "window_start"]
 
-    def by_window(rows: pd.DataFrame, step) -> pd.DataFrame:
-        return pd.concat([step(part) for _, part in rows.groupby(group, dropna=False, sort=False)])
-
     def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        held = None
+        for batch in batches:
+            found = partial(batch, group)
+            held = found if held is None else merge(pd.concat([held, found]), group)
+            if len(held) > 100_000:
+                yield held
+                held = None
+        if held is not None:
+            yield held
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for batch in batches:
-            if len(batch):
-                held.append(by_window(batch, partial))
-            if sum(map(len, held)) > 100_000:
-                held = [by_window(pd.concat(held), merge)]
-                if len(held[0]) > 50_000:
-                    yield held.pop()
-        if held:
-            yield by_window(pd.concat(held), merge)
-
-    return stamped.mapInPandas(shrink, schema).groupBy(*group).applyInPandas(merge, schema)
+            found = merge(batch if held is None else pd.concat([held, batch]), group)
+            last = (found[group] == batch[group].iloc[-1]).all(axis=1)
+            held = found[last]
+            yield found[~last]
+        if held is not None:
+            yield held
+
+    partials = stamped.mapInPandas(shrink, schema)
+    together = partials.repartition(*group).sortWithinPartitions(*group)
+    return together.mapInPandas(finish, schema)

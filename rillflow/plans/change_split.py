@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions import op_code
+from rillflow.functions import compute_once, op_code
 from rillflow.operators.joins import in_tables
 from rillflow.schemas import CHANGE
 from rillflow.sinks.keyed import KeyedTable
@@ -16,7 +16,7 @@ SUFFIX = "_1018"
 
 def parsed(lines: DataFrame, text: str = "value", *carried: str) -> DataFrame:
     """(op, table, data) of the events with a wanted operation, plus carried columns."""
-    events = lines.select(F.from_json(F.col(text), CHANGE).alias("e"), *carried)
+    events = compute_once(lines.select(text, *carried), "e", F.from_json(F.col(text), CHANGE))
     return events.select(
         op_code(F.col("e.type")).alias("op"), F.col("e.table").alias("table"),
         F.col("e.data").alias("data"), *carried,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rillflow.functions import compute_once
 from rillflow.schemas import LOG_LINE, PAGE_ACTION, PAGE_DISPLAY, PAGE_LOG, START_LOG
 
 # The topics of the outputs.
@@ -38,11 +39,8 @@ def parsed(lines: DataFrame, text: str = "value") -> DataFrame:
         .when(F.col("log.common").isNotNull(), "log")
         .otherwise("reject")
     )
-    return (
-        lines.select(F.col(text).alias("line"))
-        .withColumn("log", log)
-        .withColumn("kind", kind)
-    )
+    logs = compute_once(lines.select(F.col(text).alias("line")), "log", log)
+    return logs.withColumn("kind", kind)
 
 
 # -- fields of the outputs: record field <- log field (fixed values) -----------

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions import day_from_text, hour_from_text
-from rillflow.operators.joins import assembled, with_province, with_user, wide_rows
+from rillflow.operators.joins import assembled, marked, wide_rows, with_province, with_user
 
 
 def enriched_orders(infos: DataFrame, users: DataFrame, provinces: DataFrame, as_of: Column) -> DataFrame:
@@ -34,15 +34,10 @@ def wide_order_stream(
     ``infos`` are enriched already. Each pair comes out once; rows older than the buffer leave
     the state by the watermark.
     """
-    left = infos.select(
-        F.struct(*[c for c in infos.columns if c != info_time]).alias("info"),
-        F.col(info_time).alias("_info_time"), F.col("id").alias("_id"),
-    ).withWatermark("_info_time", buffer)
-    right = details.select(
-        F.struct(*[c for c in details.columns if c != detail_time]).alias("detail"),
-        F.col(detail_time).alias("_detail_time"), F.col("order_id").alias("_order_id"),
-    ).withWatermark("_detail_time", buffer)
-    near = (F.col("_detail_time") >= F.col("_info_time") - F.expr(f"INTERVAL {buffer}")) & (
-        F.col("_detail_time") <= F.col("_info_time") + F.expr(f"INTERVAL {buffer}")
-    )
-    return assembled(left.join(right, (F.col("_id") == F.col("_order_id")) & near, "inner"))
+    left = marked(infos, "info").withWatermark(f"info_{info_time}", buffer)
+    right = marked(details, "detail").withWatermark(f"detail_{detail_time}", buffer)
+    seen, sold = F.col(f"detail_{detail_time}"), F.col(f"info_{info_time}")
+    wait = F.expr(f"INTERVAL {buffer}")
+    near = (seen >= sold - wait) & (seen <= sold + wait)
+    same = F.col("info_id") == F.col("detail_order_id")
+    return assembled(left.join(right, same & near, "inner"))

@@ -80,3 +80,20 @@ def plan_bytes(df: DataFrame) -> int:
 def hot_rows(spark: SparkSession) -> int:
     """Rows of one key that a single task may be given."""
     return int(spark.conf.get(HOT_ROWS_KEY, str(HOT_ROWS_DEFAULT)))
+
+
+SPREAD_BYTES = 256 << 20
+SPREAD_STEP = 256 << 10
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small table over the cores before work that is heavy on the processor.
+
+    A table of one small file is one task however long its rows take. Large tables come in
+    many tasks already and are left alone, so the shuffle never exceeds ``SPREAD_BYTES``.
+    """
+    if df.isStreaming:
+        return df
+    size = plan_bytes(df)
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, size // SPREAD_STEP)
+    return df.repartition(tasks) if size <= SPREAD_BYTES and tasks > 1 else df
