@@ -29,14 +29,15 @@ def parse_lines(
 ) -> tuple[DataFrame, DataFrame]:
     """Typed records and the lines that are none (SRC-03).
 
-    A line with too few fields or a field of the wrong type goes to the rejects whole.
+    A blank line, one with too few fields or with a field of the wrong type goes to the rejects whole.
     """
     marked = StructType([*schema.fields, StructField(BAD, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "sep": separator}
     parsed = lines.select(
         F.col(text), F.from_csv(F.col(text), marked.toDDL(), options).alias("r")
     )
-    bad = F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
+    blank = F.coalesce(F.length(F.trim(F.col(text))), F.lit(0)) == 0
+    bad = blank | F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
     records = parsed.where(~bad).select(*[F.col(f"r.{f.name}") for f in schema.fields])
     return records, parsed.where(bad).select(F.col(text).alias("line"))
 
