@@ -97,7 +97,7 @@ def _keyed(t: Tables, processor, event_time: bool = False) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{root}/table/batch_id={batch_id}")
 
     mode = "append" if event_time else "update"
-    jobs.run(states, f"{root}/checkpoint", write=write, mode=mode)
+    jobs.run(states, f"{root}/checkpoint", write=write, mode=mode, store=jobs.ROCKSDB)
     schema = T.StructType.fromDDL(processor.schema)
     return t.spark.read.schema(schema).parquet(f"{root}/table").select(*schema.fieldNames())
 

@@ -55,33 +55,35 @@ def rise_alarms(
     before = F.coalesce(F.col("_before"), F.lit(0.0))
     scanned = scanned.map(
         lambda part: part.withColumns({
-            "_fall": (F.col(value) < before).cast("bigint"), "_rise": F.col(value) > before
+            "_fall": F.col(value) < before, "_rise": F.col(value) > before
         })
-    ).running(_run=Running("sum", F.col("_fall")))
-    rows = scanned.frame()
+    ).running(_run=Running("sum", F.col("_fall").cast("bigint")))
 
-    # A run has no fall inside; the fall that opens a run closes the one before.
-    rises = rows.where("_rise").select(key, "_run", F.col(time).alias("at"))
-    ends = rows.where("_fall = 1").select(
-        key, (F.col("_run") - 1).alias("_run"), F.col(time).alias("run_end")
+    # A run has no fall inside. A rise counts for its own run, the fall that opens a run
+    # tells when the one before ended; so one grouping has all there is to know of a run.
+    fall = F.col("_fall")
+    told = scanned.frame().where(fall | F.col("_rise")).select(
+        key, F.when(fall, F.col("_run") - 1).otherwise(F.col("_run")).alias("_run"),
+        F.col(time).alias("told_at"),
+        F.when(~fall, F.col(time)).alias("rise_at"), F.when(fall, F.col(time)).alias("run_end"),
     )
-    runs = OrderedKeys.of(rises, [key, "_run"], ["at"], limit)
-    armed = runs.cold.groupBy(key, "_run").agg(F.sort_array(F.collect_list("at")).alias("ats"))
-    # Walk the sorted rise times of one run and keep each one later than the last due time.
+    runs = OrderedKeys.of(told, [key, "_run"], ["told_at"], limit)
+    grouped = runs.cold.groupBy(key, "_run").agg(
+        F.sort_array(F.collect_list("rise_at")).alias("rises"), F.max("run_end").alias("run_end")
+    )
+    # Walk the sorted rise times of a run and keep each one later than the last due time.
     picked = F.aggregate(
-        "ats", F.array().cast("array<bigint>"),
+        "rises", F.array().cast("array<bigint>"),
         lambda kept, at: F.when(
             (F.size(kept) == 0) | (at > F.element_at(kept, -1) + wait),
             F.concat(kept, F.array(at)),
         ).otherwise(kept),
     )
-    armed = armed.select(key, "_run", F.explode(picked).alias("armed_at"))
+    armed = grouped.select(key, "run_end", F.explode(picked).alias("armed_at"))
     if runs.hot is not None:
         armed = armed.unionByName(_chain(runs, key, wait))
     due = F.col("armed_at") + wait
-    fired = armed.join(ends, [key, "_run"], "left").where(
-        F.col("run_end").isNull() | (due < F.col("run_end"))
-    )
+    fired = armed.where(F.col("run_end").isNull() | (due < F.col("run_end")))
     message = RISE_MESSAGE.format(seconds=seconds)
     return fired.select(key, "armed_at", due.alias("due_at"), F.lit(message).alias("message"))
 
@@ -92,7 +94,8 @@ def _chain(runs: OrderedKeys, key: str, wait: int) -> DataFrame:
     Every rise points to the first rise later than its due time. Following 1, 2, 4, ...
     pointers at once reaches the whole chain in a logarithmic number of joins.
     """
-    rises = runs.hot.select(key, "_run", HOT_ID, "at").distinct().checkpoint()
+    rises = runs.hot.where("rise_at IS NOT NULL")
+    rises = rises.select(HOT_ID, F.col("rise_at").alias("at")).distinct().checkpoint()
     # Scan backwards: due times look for the nearest rise already passed.
     points = rises.select(HOT_ID, "at", F.col("at").alias("pos"), F.lit(1).alias("kind"))
     dues = rises.select(HOT_ID, "at", (F.col("at") + wait).alias("pos"), F.lit(0).alias("kind"))
@@ -117,7 +120,9 @@ def _chain(runs: OrderedKeys, key: str, wait: int) -> DataFrame:
             jumps.join(onward, ["run_id", "nxt"])
             .select("run_id", "at", F.col("far").alias("nxt")).checkpoint()
         )
-    names = rises.groupBy(HOT_ID).agg(F.first(key).alias(key), F.first("_run").alias("_run"))
     # One row per hot run: at most total rows / limit of them.
-    named = reached.join(F.broadcast(names.withColumnRenamed(HOT_ID, "run_id")), "run_id")
-    return named.select(key, "_run", F.col("at").alias("armed_at"))
+    about = runs.hot.groupBy(F.col(HOT_ID).alias("run_id")).agg(
+        F.first(key).alias(key), F.max("run_end").alias("run_end")
+    )
+    named = reached.join(F.broadcast(about), "run_id")
+    return named.select(key, "run_end", F.col("at").alias("armed_at"))

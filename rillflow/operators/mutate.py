@@ -47,8 +47,8 @@ def with_first_item(items: Column, field: str, value) -> Column:
 
 
 def delete_by_key(table: DataFrame, keys: DataFrame) -> DataFrame:
-    """Drop the rows named by a key table (MUT-04)."""
-    return table.join(keys, keys.columns, "left_anti")
+    """Drop the rows named by a key table, which may repeat itself (MUT-04)."""
+    return table.join(keys.distinct(), keys.columns, "left_anti")
 
 
 def delete_where(table: DataFrame, condition: Column) -> DataFrame:
@@ -57,5 +57,5 @@ def delete_where(table: DataFrame, condition: Column) -> DataFrame:
 
 
 def get_by_key(table: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows named by a key table (MUT-07)."""
-    return table.join(keys, keys.columns, "left_semi")
+    """The rows named by a key table, which may repeat itself (MUT-07)."""
+    return table.join(keys.distinct(), keys.columns, "left_semi")

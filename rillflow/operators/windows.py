@@ -33,9 +33,21 @@ def millis(time: Column) -> Column:
 def window_counts(
     df: DataFrame, keys: list[str], time: str, size: int, slide: int | None = None, offset: int = 0
 ) -> DataFrame:
-    """(key, window start in epoch ms, rows) (WIN-01 .. WIN-03)."""
-    counted = windowed(df, keys, time, size, slide, offset).agg(F.count(F.lit(1)).alias("cnt"))
-    return counted.select(*keys, millis(F.col("window.start")).alias("window_start"), "cnt")
+    """(key, window start in epoch ms, rows) (WIN-01 .. WIN-03).
+
+    A batch of sliding windows is counted once per slide; the small counts, not the rows, are
+    then copied into the windows they belong to.
+    """
+    rows = F.count(F.lit(1)).alias("cnt")
+    shown = [*keys, millis(F.col("window.start")).alias("window_start"), "cnt"]
+    slide = slide or size
+    if slide == size or size % slide or df.isStreaming:
+        return windowed(df, keys, time, size, slide, offset).agg(rows).select(*shown)
+    panes = windowed(df, keys, time, slide, offset=offset).agg(rows).select(*shown)
+    back = F.explode(F.sequence(F.lit(0), F.lit(size - slide), F.lit(slide)))
+    copies = panes.withColumn("_back", back)
+    starts = (F.col("window_start") - F.col("_back") * 1000).alias("window_start")
+    return copies.groupBy(*keys, starts).agg(F.sum("cnt").alias("cnt"))
 
 
 def sessions(

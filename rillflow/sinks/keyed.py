@@ -16,7 +16,8 @@ from pyspark.sql.types import StructType
 
 from rillflow.operators.mutate import last_per_key
 
-BATCH, SEQ = "batch_id", "_seq"
+BATCH = "batch_id"
+MAX_DAYS = 1_000
 
 
 @dataclass(frozen=True)
@@ -61,10 +62,12 @@ class KeyedTable:
     def unseen(self, batch: DataFrame, keys: list[str]) -> DataFrame:
         """Rows whose key the table does not have yet: the table is the state (STA-07, STA-08).
 
-        The days of a batch are few and prune the table to the folders that matter.
+        The days of a batch are usually few and prune the table to the folders that matter.
         """
-        days = [r[0] for r in batch.select(self.day).distinct().collect()]
-        seen = self.versions(batch.sparkSession).where(F.col(self.day).isin(days))
+        seen = self.versions(batch.sparkSession)
+        days = [r[0] for r in batch.select(self.day).distinct().limit(MAX_DAYS + 1).collect()]
+        if len(days) <= MAX_DAYS:
+            seen = seen.where(F.col(self.day).isin(days))
         return batch.join(seen.select(*keys).distinct(), keys, "left_anti")
 
     def compact(self, spark: SparkSession, target: str, files: int | None = None) -> KeyedTable:

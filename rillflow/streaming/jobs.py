@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,28 @@ from rillflow.sinks.keyed import KeyedTable
 # Fixed value: the pace of the micro-batches.
 EVERY = "5 seconds"
 
+# State outside the heap, with batches that save their changes instead of the whole state.
+# Keyed processors need it and buffers larger than the executors' memory want it; a query keeps
+# the store it began with when it restarts.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str] | None):
+    """Settings for queries started inside; others of the session are not affected."""
+    before = {key: spark.conf.get(key, None) for key in values or {}}
+    for key, value in (values or {}).items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def file_stream(
     spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None,
@@ -32,18 +55,19 @@ def file_stream(
 def start(
     df: DataFrame, checkpoint: str, path: str | None = None,
     write: Callable[[DataFrame, int], None] | None = None, mode: str = "append",
-    every: str | None = EVERY,
+    every: str | None = EVERY, store: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start a query into files or a batch writer (STR-07, STR-08, STR-09).
 
     Progress is kept at ``checkpoint``: a restart goes on after the last finished batch. With
-    ``every=None`` the query takes what is there and ends.
+    ``every=None`` the query takes what is there and ends. ``store`` sets the state store.
     """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    if write is not None:
-        return writer.foreachBatch(write).start()
-    return writer.format("parquet").start(path)
+    with _settings(df.sparkSession, store):
+        if write is not None:
+            return writer.foreachBatch(write).start()
+        return writer.format("parquet").start(path)
 
 
 def run(df: DataFrame, checkpoint: str, **options) -> None:

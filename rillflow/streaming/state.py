@@ -17,8 +17,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rillflow.operators.alerts import RISE_MESSAGE
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable", ignore_index=True)
@@ -202,9 +200,10 @@ class ReadingStates(_Readings):
 
 
 def keyed(readings: DataFrame, processor: _Readings, event_time: bool = False) -> DataFrame:
-    """Run a processor per ``id``; with event time the readings carry a watermark."""
-    spark = readings.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Run a processor per ``id``; with event time the readings carry a watermark.
+
+    Start the result with `jobs.start(..., store=jobs.ROCKSDB)`: this state needs that store.
+    """
     return readings.groupBy("id").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.schema,
         outputMode="Update" if not event_time else "Append",

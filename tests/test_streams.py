@@ -47,7 +47,7 @@ def collected(spark, query, root, schema, mode="update"):
     def write(batch, batch_id):
         batch.write.mode("overwrite").json(f"{root}/out/batch_id={batch_id}")
 
-    jobs.run(query, f"{root}/checkpoint", write=write, mode=mode)
+    jobs.run(query, f"{root}/checkpoint", write=write, mode=mode, store=jobs.ROCKSDB)
     return spark.read.schema(schema).json(f"{root}/out")
 
 
