@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ValueState
 
 from rillflow.operators.alerts import RISE_MESSAGE
 
@@ -26,6 +27,12 @@ def _millis(times: pd.Series) -> pd.Series:
     return times.dt.as_unit("us").astype("int64") // 1000
 
 
+def _held(state: ValueState, default):
+    """The single field of a value state; one call to the store."""
+    found = state.get()
+    return default if found is None else found[0]
+
+
 class _Readings(StatefulProcessor):
     """Common shape: open states in `init`, one sorted frame per key and batch."""
 
@@ -55,7 +62,7 @@ class JumpAlert(_Readings):
     def step(self, key, rows):
         now = rows["temperature"]
         before = now.shift()
-        before.iloc[0] = self.last.get()[0] if self.last.exists() else self.initial
+        before.iloc[0] = _held(self.last, self.initial)
         before = before.astype("float64")
         self.last.update((float(now.iloc[-1]),))
         jumped = (now - before).abs() > self.threshold
@@ -88,8 +95,8 @@ class RiseAlarm(_Readings):
         return {"id": key, "armed_at": due - self.wait, "due_at": due, "message": self.message}
 
     def step(self, key, rows):
-        last = self.last.get()[0] if self.last.exists() else 0.0
-        due = armed = self.due.get()[0] if self.due.exists() else 0
+        last = _held(self.last, 0.0)
+        due = armed = _held(self.due, 0)
         alarms = []
         for at, value in zip(_millis(rows["ts"]), rows["temperature"]):
             if due and at > due:
@@ -113,7 +120,7 @@ class RiseAlarm(_Readings):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         due = expiredTimerInfo.getExpiryTimeInMs()
-        if self.due.exists() and self.due.get()[0] == due:
+        if _held(self.due, 0) == due:
             self.due.clear()
             yield pd.DataFrame([self._alarm(key[0], due)])
 
@@ -131,8 +138,8 @@ class CountWindow(_Readings):
         self.seen = handle.getValueState("seen", "n bigint")
 
     def step(self, key, rows):
-        held = [r[0] for r in self.tail.get()] if self.tail.exists() else []
-        seen = self.seen.get()[0] if self.seen.exists() else 0
+        held = [r[0] for r in self.tail.get()]
+        seen = _held(self.seen, 0)
         values = pd.Series([*held, *rows["temperature"]], dtype="float64")
         rolling = values.rolling(self.size, min_periods=1)
         out = pd.DataFrame({
@@ -153,7 +160,7 @@ class CountChanges(_Readings):
         self.seen = handle.getValueState("seen", "n bigint")
 
     def step(self, key, rows):
-        seen = self.seen.get()[0] if self.seen.exists() else 0
+        seen = _held(self.seen, 0)
         n = pd.Series(range(seen + 1, seen + len(rows) + 1), dtype="int64")
         self.seen.update((int(seen + len(rows)),))
         added = pd.DataFrame({"id": key, "is_add": True, "cnt": n, "step": 2 * n - 1})
@@ -180,17 +187,17 @@ class ReadingStates(_Readings):
         self.reduced = handle.getValueState("reduced", "latest bigint, lowest double")
 
     def step(self, key, rows):
-        cnt = (self.cnt.get()[0] if self.cnt.exists() else 0) + len(rows)
+        cnt = _held(self.cnt, 0) + len(rows)
         self.cnt.update((int(cnt),))
-        recent = [r[0] for r in self.recent.get()] if self.recent.exists() else []
+        recent = [r[0] for r in self.recent.get()]
         recent = [*recent, *map(float, rows["temperature"])][-self.keep:]
         self.recent.put([(v,) for v in recent])
         for band, n in (rows["temperature"] // 10).astype("int64").value_counts().items():
-            held = self.bands.getValue((int(band),))[0] if self.bands.containsKey((int(band),)) else 0
-            self.bands.updateValue((int(band),), (int(held + n),))
+            held = self.bands.getValue((int(band),))
+            self.bands.updateValue((int(band),), (int(n) + (held[0] if held else 0),))
         latest, lowest = int(_millis(rows["ts"]).max()), float(rows["temperature"].min())
-        if self.reduced.exists():
-            old = self.reduced.get()
+        old = self.reduced.get()
+        if old is not None:
             latest, lowest = max(latest, old[0]), min(lowest, old[1])
         self.reduced.update((latest, lowest))
         return pd.DataFrame([{
