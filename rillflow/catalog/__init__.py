@@ -4,6 +4,7 @@ from rillflow.catalog import (  # noqa: F401
     documents,
     relational,
     reports,
+    storage,
     streams,
     timeline,
     warehouse,

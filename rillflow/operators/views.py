@@ -21,5 +21,5 @@ def publish(name: str, *tables: DataFrame, only: Column | None = None) -> DataFr
 
 
 def publish_days(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
-    """A view over all day partitions under a declared schema (ALS-04)."""
-    return publish(name, spark.read.schema(schema).parquet(path))
+    """A view over all day partitions under a declared schema; other fields stay out (ALS-04)."""
+    return publish(name, spark.read.schema(schema).parquet(path).select(*schema.fieldNames()))

@@ -40,6 +40,8 @@ class Written(WriterCommitMessage):
 def _open(path: str):
     from pyarrow import fs
 
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 

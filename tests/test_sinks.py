@@ -142,3 +142,29 @@ def test_task_projection(spark):
 
 def test_schema_names():
     assert isinstance(SENSOR, StructType) and SENSOR.fieldNames() == ["id", "timestamp", "temperature"]
+
+
+def test_console_and_schema(spark, sensors, capsys):
+    assert topics.to_console(sensors.select("id"), "low") is None
+    sensors.printSchema()
+    printed = capsys.readouterr().out
+    assert "low" in printed and "sensor_10" in printed and "temperature: double" in printed
+
+
+def test_streams_that_take_rows_back_are_refused(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    (tmp_path / "in").mkdir()
+    counts = spark.readStream.text(str(tmp_path / "in")).groupBy("value").count()
+    with pytest.raises(AnalysisException):
+        topics.stream_messages(
+            topics.csv_messages(counts, "t"), str(tmp_path / "c"), "parquet", str(tmp_path / "out"), every=None
+        )
+
+
+def test_day_view_shows_declared_fields_of_all_days(spark, table):
+    from rillflow.operators.views import publish_days
+
+    table.write_batch(batch(spark, ("d1", "a", "1", 1), ("d2", "a", "2", 1)), 0)
+    publish_days(spark, "every_day", table.path, struct(id="string", dt="string"))
+    assert spark.table("every_day").columns == ["id", "dt"] and spark.table("every_day").count() == 2
