@@ -127,7 +127,7 @@ def record_round_trip(t):
 def _daily_pages(t: Tables) -> str:
     path = scratch_path(t.spark, "pages")
     days = page_views(t).withColumn("dt", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd"))
-    days.hint("rebalance", F.col("dt")).write.partitionBy("dt").parquet(path)
+    days.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
     return path
 
 

@@ -12,7 +12,7 @@ from rillflow.catalog.warehouse import CHANGES, DAU
 from rillflow.operators import relational
 from rillflow.plans import change_split, daily_users, log_split, order_wide
 from rillflow.schemas import DAU_INFO, SENSOR, struct
-from rillflow.session import scratch_path
+from rillflow.session import scratch_path, state_partitions
 from rillflow.sinks.keyed import KeyedTable
 from rillflow.sinks.topics import stream_messages
 from rillflow.streaming import jobs, state
@@ -35,10 +35,10 @@ class StreamedTables(Tables):
         return table
 
 
-def _saved(t: Tables, df: DataFrame, name: str) -> DataFrame:
-    """Run an append query into files and read them."""
+def _saved(t: Tables, df: DataFrame, name: str, table: DataFrame) -> DataFrame:
+    """Run an append query over a table into files and read them."""
     root = scratch_path(t.spark, name)
-    jobs.run(df, f"{root}/checkpoint", path=f"{root}/table")
+    jobs.run(df, f"{root}/checkpoint", path=f"{root}/table", partitions=state_partitions(table))
     return t.spark.read.schema(df.schema).parquet(f"{root}/table")
 
 
@@ -56,7 +56,10 @@ def stream_word_count(t):
     lines = StreamedTables(t, "conversations").conversations.select(
         F.explode(F.split("text", "\n")).alias("value")
     )
-    jobs.running_word_count(lines, f"{root}/checkpoint", table, every=None).awaitTermination()
+    jobs.running_word_count(
+        lines, f"{root}/checkpoint", table, every=None,
+        partitions=state_partitions(t.conversations),
+    ).awaitTermination()
     return table.read(t.spark).drop("dt")
 
 
@@ -66,7 +69,7 @@ SELECT * FROM counted WHERE window_start + 3600000 <= (SELECT max(ms) - 1000 FRO
 def stream_tumbling(t):
     """WIN-01, STR-01: windows the watermark has closed."""
     rows = records.readings(StreamedTables(t, "events")).select("id", "ts")
-    return _saved(t, jobs.window_stream(rows, ["id"], "ts", HOUR), "tumbling")
+    return _saved(t, jobs.window_stream(rows, ["id"], "ts", HOUR), "tumbling", t.events)
 
 
 @query(f"""WITH {READINGS}, reduced AS (
@@ -76,7 +79,7 @@ SELECT * FROM reduced WHERE window_start + 3600000 <= (SELECT max(ms) FROM readi
 def stream_window_reduce(t):
     """WIN-06, STR-02: ascending times need no delay."""
     rows = records.readings(StreamedTables(t, "events")).select("id", "ts", "timestamp", "temperature")
-    return _saved(t, jobs.reduced_window_stream(rows, ["id"], "ts", HOUR, delay=0), "reduced")
+    return _saved(t, jobs.reduced_window_stream(rows, ["id"], "ts", HOUR, delay=0), "reduced", t.events)
 
 
 @query(f"""{SESSIONS} SELECT * FROM sessions
@@ -84,7 +87,7 @@ WHERE session_end <= (SELECT epoch_us(max(ts)) // 1000 - 1000 FROM events)""")
 def stream_session(t):
     """WIN-04."""
     rows = records.readings(StreamedTables(t, "events")).select("id", "ts")
-    return _saved(t, jobs.session_stream(rows, ["id"], "ts", 6 * HOUR), "sessions")
+    return _saved(t, jobs.session_stream(rows, ["id"], "ts", 6 * HOUR), "sessions", t.events)
 
 
 def _keyed(t: Tables, processor, event_time: bool = False) -> DataFrame:
@@ -97,7 +100,10 @@ def _keyed(t: Tables, processor, event_time: bool = False) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{root}/table/batch_id={batch_id}")
 
     mode = "append" if event_time else "update"
-    jobs.run(states, f"{root}/checkpoint", write=write, mode=mode, store=jobs.ROCKSDB)
+    jobs.run(
+        states, f"{root}/checkpoint", write=write, mode=mode, store=jobs.ROCKSDB,
+        partitions=state_partitions(t.events),
+    )
     schema = T.StructType.fromDDL(processor.schema)
     return t.spark.read.schema(schema).parquet(f"{root}/table").select(*schema.fieldNames())
 
@@ -218,7 +224,7 @@ def stream_first_in_day(t):
     """STA-07, STA-09: the dedupe state lives in the query and expires."""
     views = records.page_views(StreamedTables(t, "events"))
     found = daily_users.entries(views).withColumn("at", F.timestamp_millis("ts")).select("dt", "mid", "at")
-    return _saved(t, jobs.first_in_day_stream(found, "at"), "first").select("dt", "mid")
+    return _saved(t, jobs.first_in_day_stream(found, "at"), "first", t.events).select("dt", "mid")
 
 
 @query(f"""WITH {records.ORDER_WIDE} SELECT w.* FROM order_wide w
@@ -233,4 +239,4 @@ def stream_order_wide(t):
     infos = infos.withColumn("at", F.date_trunc("day", F.to_timestamp("create_time")))
     details = records.order_details(s).withColumn("at", F.to_timestamp("create_time"))
     joined = order_wide.wide_order_stream(infos, details, "at", "at", "30 days")
-    return _saved(t, joined, "wide")
+    return _saved(t, joined, "wide", t.lineitem)

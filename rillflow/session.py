@@ -97,3 +97,20 @@ def spread(df: DataFrame) -> DataFrame:
     size = plan_bytes(df)
     tasks = min(df.sparkSession.sparkContext.defaultParallelism, size // SPREAD_STEP)
     return df.repartition(tasks) if size <= SPREAD_BYTES and tasks > 1 else df
+
+
+STATE_STEP = 64 << 20
+
+
+def state_partitions(table: DataFrame) -> int:
+    """Partitions for the state of a stream over a table.
+
+    Their number is fixed when a query starts for the first time and each one costs a task and
+    a store in every batch, so it follows the data: one per 64 MB, at least eight, and no more
+    than the session would use.
+    """
+    spark = table.sparkSession
+    most = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    return min(most, max(8, plan_bytes(table) // STATE_STEP))

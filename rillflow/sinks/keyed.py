@@ -18,6 +18,7 @@ from rillflow.operators.mutate import last_per_key
 
 BATCH = "batch_id"
 MAX_DAYS = 1_000
+STREAM_FILES = 4
 
 
 @dataclass(frozen=True)
@@ -34,13 +35,23 @@ class KeyedTable:
         keys = [self.day, *(k for k in self.keys if k != self.day)]
         rows = last_per_key(batch.select(*self.schema.fieldNames()), keys, list(self.order))
         tagged = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        # Files by day without a fixed number per day: a crowded day is cut, quiet ones are few.
         (
-            tagged.hint("rebalance", F.col(self.day))
+            self._arranged(tagged)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.day, BATCH).parquet(self.path)
         )
 
+    def _arranged(self, rows: DataFrame) -> DataFrame:
+        """Few files for quiet days, many for a crowded one.
+
+        AQE cuts by size. Inside a streaming query it may be off; the rate limit bounds a
+        micro-batch there, and each day gets a fixed number of files.
+        """
+        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            return rows.hint("rebalance", self.day)
+        part = F.pmod(F.xxhash64(*self.keys), F.lit(STREAM_FILES))
+        return rows.repartition(F.col(self.day), part)
+
     def versions(self, spark: SparkSession) -> DataFrame:
         """All written rows, with their batch; empty before the first write."""
         schema = StructType([*self.schema.fields]).add(BATCH, "long")
@@ -73,7 +84,7 @@ class KeyedTable:
     def compact(self, spark: SparkSession, target: str, files: int | None = None) -> KeyedTable:
         """Rewrite the current rows as a new table in few files (SNK-15); readers switch over."""
         rows = self.read(spark).withColumn(BATCH, F.lit(0).cast("bigint"))
-        arranged = rows.coalesce(files) if files else rows.hint("rebalance", F.col(self.day))
+        arranged = rows.coalesce(files) if files else self._arranged(rows)
         arranged.write.mode("overwrite").partitionBy(self.day, BATCH).parquet(target)
         return KeyedTable(target, self.keys, self.schema, self.order, self.day)
 

@@ -29,10 +29,10 @@ ROCKSDB = {
 
 
 @contextmanager
-def _settings(spark: SparkSession, values: dict[str, str] | None):
+def _settings(spark: SparkSession, values: dict[str, str]):
     """Settings for queries started inside; others of the session are not affected."""
-    before = {key: spark.conf.get(key, None) for key in values or {}}
-    for key, value in (values or {}).items():
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
         spark.conf.set(key, value)
     try:
         yield
@@ -56,15 +56,20 @@ def start(
     df: DataFrame, checkpoint: str, path: str | None = None,
     write: Callable[[DataFrame, int], None] | None = None, mode: str = "append",
     every: str | None = EVERY, store: dict[str, str] | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query into files or a batch writer (STR-07, STR-08, STR-09).
 
     Progress is kept at ``checkpoint``: a restart goes on after the last finished batch. With
-    ``every=None`` the query takes what is there and ends. ``store`` sets the state store.
+    ``every=None`` the query takes what is there and ends. ``store`` sets the state store and
+    ``partitions`` the partitions of the state, which stay as they are for the query's life.
     """
+    settings = dict(store or {})
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    with _settings(df.sparkSession, store):
+    with _settings(df.sparkSession, settings):
         if write is not None:
             return writer.foreachBatch(write).start()
         return writer.format("parquet").start(path)
@@ -92,14 +97,19 @@ def counts_table(path: str) -> KeyedTable:
     return KeyedTable(path, ("word",), COUNTS, ("cnt",))
 
 
-def running_word_count(lines: DataFrame, checkpoint: str, table: KeyedTable, every: str | None = EVERY):
+def running_word_count(
+    lines: DataFrame, checkpoint: str, table: KeyedTable, every: str | None = EVERY,
+    partitions: int | None = None,
+) -> StreamingQuery:
     """Each batch upserts the words it changed (AGG-02)."""
     counted = word_count(lines, keep_empty=False)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.write_batch(batch.withColumn("dt", F.lit("all")), batch_id)
 
-    return start(counted, checkpoint, write=write, mode="update", every=every)
+    return start(
+        counted, checkpoint, write=write, mode="update", every=every, partitions=partitions
+    )
 
 
 def window_stream(
