@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,20 +32,40 @@ class Hits:
     detail: DataFrame
 
 
+def _holding(df: DataFrame, field: str, query: str, every: bool) -> DataFrame:
+    """Rows whose text holds the query's tokens anywhere, also inside other words.
+
+    A token of the text is a piece of the lower-case text, so this drops no hit; it spares the
+    analysis of the texts that cannot be one.
+    """
+    asked = df.sparkSession.sql("SELECT 1").select(query_tokens(query)).first()[0]
+    pieces = [F.lower(field).contains(token) for token in asked]
+    both = Column.__and__ if every else Column.__or__
+    return df.where(reduce(both, pieces, F.lit(every)))
+
+
+def _hits(df: DataFrame, found: Column) -> DataFrame:
+    """Keep the rows found; the costly test stays where the rows have been spread."""
+    return compute_once(df, "_hit", found).where("_hit").drop("_hit")
+
+
 def match_any(df: DataFrame, field: str, query: str) -> DataFrame:
     """Documents with at least one query token, scored by distinct tokens hit (SCH-01)."""
-    scored = compute_once(spread(df), "score", match_score(F.col(field), query))
+    held = _holding(spread(df), field, query, every=False)
+    scored = compute_once(held, "score", match_score(F.col(field), query))
     return scored.where(F.col("score") > 0)
 
 
 def match_all(df: DataFrame, field: str, query: str) -> DataFrame:
     """Documents with every query token (SCH-02)."""
-    return spread(df).where(contains_all(F.col(field), query))
+    held = _holding(spread(df), field, query, every=True)
+    return _hits(held, contains_all(F.col(field), query))
 
 
 def match_phrase(df: DataFrame, field: str, phrase: str) -> DataFrame:
     """Documents with the phrase's tokens one after the other (SCH-03)."""
-    return spread(df).where(contains_phrase(F.col(field), phrase))
+    held = _holding(spread(df), field, phrase, every=True)
+    return _hits(held, contains_phrase(F.col(field), phrase))
 
 
 def token_term(field: Column, token: str) -> Column:
