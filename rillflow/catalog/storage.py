@@ -56,6 +56,16 @@ def compacted_table(t):
     return _sales_table(t).compact(t.spark, scratch_path(t.spark, "compact"), files=4).read(t.spark)
 
 
+@query("""SELECT 'sensor_temp' AS table_name, concat('sensor_', user_id) AS key,
+  CAST(arg_max(event_type, event_id) AS VARCHAR) AS value, max(event_id) AS seq
+FROM events GROUP BY user_id""")
+def hash_upsert(t):
+    """SNK-09: the last reading's kind per sensor."""
+    table = keyed.hash_table(scratch_path(t.spark, "hash"))
+    table.write_batch(keyed.hash_rows(readings(t), "sensor_temp", "id", "kind", "seq"), 0)
+    return table.read(t.spark)
+
+
 @query("SELECT s_suppkey, count(*) * 2 AS copies FROM supplier GROUP BY s_suppkey")
 def appended_twice(t):
     """SNK-07: appending again keeps both."""

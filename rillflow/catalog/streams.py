@@ -164,7 +164,7 @@ def stream_side_output(t):
         high, low = relational.threshold_split(batch, "temperature", 30)
         return {"high": high, "low": low}
 
-    jobs.run(rows, f"{root}/checkpoint", write=jobs.two_tables(split, f"{root}/tables"))
+    jobs.run(rows, f"{root}/checkpoint", write=jobs.branch_tables(split, f"{root}/tables"))
     high = t.spark.read.schema(SENSOR).parquet(f"{root}/tables/high")
     return high.select(*SENSOR.fieldNames())
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from rillflow.operators.ordered import HOT_ID, OrderedKeys, Running
 # Fixed value: the text of the rise alarm, with the interval in seconds.
 RISE_MESSAGE = "温度值连续{seconds}秒上升"
 
+SHORT_RUN = 200
+
 
 def jump_alerts(
     df: DataFrame, key: str, value: str, order: list[str], threshold: float,
@@ -71,15 +75,22 @@ def rise_alarms(
     grouped = runs.cold.groupBy(key, "_run").agg(
         F.sort_array(F.collect_list("rise_at")).alias("rises"), F.max("run_end").alias("run_end")
     )
-    # Walk the sorted rise times of a run and keep each one later than the last due time.
-    picked = F.aggregate(
+    # Walk the sorted rise times of a run and keep each one later than the last due time. Short
+    # runs, nearly all of them, are walked in the JVM; growing an array there costs a copy for
+    # each alarm, so the longer ones are walked as arrays of a column.
+    short = F.size("rises") <= SHORT_RUN
+    walked = F.aggregate(
         "rises", F.array().cast("array<bigint>"),
         lambda kept, at: F.when(
             (F.size(kept) == 0) | (at > F.element_at(kept, -1) + wait),
             F.concat(kept, F.array(at)),
         ).otherwise(kept),
     )
-    armed = grouped.select(key, "run_end", F.explode(picked).alias("armed_at"))
+    kept = [
+        grouped.where(short).select(key, "run_end", F.explode(walked).alias("armed_at")),
+        grouped.where(~short).select(key, "run_end", F.explode(_walk(wait)("rises")).alias("armed_at")),
+    ]
+    armed = kept[0].unionByName(kept[1])
     if runs.hot is not None:
         armed = armed.unionByName(_chain(runs, key, wait))
     due = F.col("armed_at") + wait
@@ -88,6 +99,22 @@ def rise_alarms(
     return fired.select(key, "armed_at", due.alias("due_at"), F.lit(message).alias("message"))
 
 
+def _walk(wait: int):
+    """The kept rise times of long runs; each step jumps over the rises before the due time."""
+
+    def walk(runs: pd.Series) -> pd.Series:
+        def one(rises: np.ndarray) -> list[int]:
+            kept, i = [], 0
+            while i < len(rises):
+                kept.append(rises[i])
+                i = np.searchsorted(rises, rises[i] + wait, side="right")
+            return kept
+
+        return runs.map(one)
+
+    return F.pandas_udf(walk, "array<bigint>")
+
+
 def _chain(runs: OrderedKeys, key: str, wait: int) -> DataFrame:
     """Armed times of runs too long for one task, by pointer doubling.
 

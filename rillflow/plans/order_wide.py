@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions import day_from_text, hour_from_text
 from rillflow.operators.joins import assembled, marked, wide_rows, with_province, with_user
+from rillflow.sinks.keyed import KeyedTable
 
 
 def enriched_orders(infos: DataFrame, users: DataFrame, provinces: DataFrame, as_of: Column) -> DataFrame:
@@ -41,3 +42,8 @@ def wide_order_stream(
     near = (seen >= sold - wait) & (seen <= sold + wait)
     same = F.col("info_id") == F.col("detail_order_id")
     return assembled(left.join(right, same & near, "inner"))
+
+
+def wide_table(path: str, wide: DataFrame) -> KeyedTable:
+    """Where wide rows are saved: by detail, in the day of their order; a repeated pair changes nothing."""
+    return KeyedTable(path, ("detail_id",), wide.schema, ("create_time",), day="create_date")

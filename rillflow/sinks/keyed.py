@@ -10,11 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rillflow.operators.mutate import last_per_key
+from rillflow.schemas import struct
 
 BATCH = "batch_id"
 MAX_DAYS = 1_000
@@ -82,9 +83,16 @@ class KeyedTable:
         return batch.join(seen.select(*keys).distinct(), keys, "left_anti")
 
     def compact(self, spark: SparkSession, target: str, files: int | None = None) -> KeyedTable:
-        """Rewrite the current rows as a new table in few files (SNK-15); readers switch over."""
+        """Rewrite the current rows as a new table (SNK-15); readers switch over.
+
+        Each day gets ``files`` files, or as many as its size asks for.
+        """
         rows = self.read(spark).withColumn(BATCH, F.lit(0).cast("bigint"))
-        arranged = rows.coalesce(files) if files else self._arranged(rows)
+        if files:
+            part = F.pmod(F.xxhash64(*self.keys), F.lit(files))
+            arranged = rows.repartition(F.col(self.day), part)
+        else:
+            arranged = self._arranged(rows)
         arranged.write.mode("overwrite").partitionBy(self.day, BATCH).parquet(target)
         return KeyedTable(target, self.keys, self.schema, self.order, self.day)
 
@@ -105,7 +113,17 @@ def pairs_from_entries(entries: DataFrame, entry: str = "entry") -> DataFrame:
     return entries.select(F.get(parts, F.lit(0)).alias("key"), F.get(parts, F.lit(1)).alias("value"))
 
 
-def hash_rows(table: str, key: Column, value: Column) -> list[Column]:
-    """Columns of a hash upsert ``table key value`` (SNK-09)."""
-    return [F.lit(table).alias("table_name"), key.cast("string").alias("key"),
-            value.cast("string").alias("value")]
+HASH = struct(table_name="string", key="string", value="string", seq="bigint")
+
+
+def hash_table(path: str) -> KeyedTable:
+    """Hashes by name: ``table_name`` plays the part of the day (SNK-09)."""
+    return KeyedTable(path, ("key",), HASH, ("seq",), day="table_name")
+
+
+def hash_rows(df: DataFrame, table: str, key: str, value: str, seq: str) -> DataFrame:
+    """Rows of a hash upsert ``table key value``; the highest ``seq`` of a key wins."""
+    return df.select(
+        F.lit(table).alias("table_name"), F.col(key).cast("string").alias("key"),
+        F.col(value).cast("string").alias("value"), F.col(seq).cast("bigint").alias("seq"),
+    )

@@ -150,7 +150,7 @@ def first_in_day_stream(entries: DataFrame, time: str) -> DataFrame:
     return marked.dropDuplicatesWithinWatermark(["dt", "mid"])
 
 
-def two_tables(split: Callable[[DataFrame], dict[str, DataFrame]], root: str):
+def branch_tables(split: Callable[[DataFrame], dict[str, DataFrame]], root: str):
     """A ``foreachBatch`` function writing tagged branches of one batch (FLT-14, FLT-15).
 
     The batch is read once; each branch replaces its own folder of the batch when repeated.

@@ -145,9 +145,17 @@ def test_order_join_waits_a_day(spark, tmp_path, dims):  # noqa: F811
     stream_details = spark.readStream.schema(ORDER_DETAIL).json(str(tmp_path / "details"))
     enriched = at(order_wide.enriched_orders(stream_infos, *dims))
     joined = order_wide.wide_order_stream(enriched, at(stream_details), "at", "at")
-    jobs.run(joined, str(tmp_path / "c"), path=str(tmp_path / "out"))
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted(r.detail_id for r in got.collect()) == [10, 11, 12, 20, 30]
+    table = order_wide.wide_table(str(tmp_path / "out"), joined)
+    batches = []
+
+    def write(batch, batch_id):
+        batches.append(batch_id)
+        for _ in range(2):  # a repeated batch changes nothing
+            table.write_batch(batch, batch_id)
+
+    jobs.run(joined, str(tmp_path / "c"), write=write)
+    assert sorted(r.detail_id for r in table.read(spark).collect()) == [10, 11, 12, 20, 30]
+    assert batches and {r.create_hour for r in table.read(spark, ["2023-02-01"]).collect()} == {"10", "11", "12"}
 
 
 def test_first_in_day_state(spark, tmp_path):
