@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.catalog.registry import Tables
-from rillflow.llm import packing, tokens, tokenstore
+from rillflow.llm import linefreq, packing, tokens, tokenstore, urls
 from rillflow.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,14 @@ def op4_token_store(t: Tables) -> DataFrame:
 @query()
 def op5_packing(t: Tables) -> DataFrame:
     return packing.pack(t.spark, t.documents, tokens.default_vocabulary())
+
+
+@query(linefreq.VERDICT_SQL)
+def op7_line_frequency(t: Tables) -> DataFrame:
+    return linefreq.line_verdicts(t.documents)
+
+
+@query()
+def op8_url_trees(t: Tables) -> DataFrame:
+    model = urls.UrlModel.train(urls.labelled_urls(t.spark))
+    return urls.judge(t.pages, model, urls.RULES)
