@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.catalog.registry import Tables
-from rillflow.llm import linefreq, packing, tokens, tokenstore, urls
+from rillflow.llm import htmlblocks, linefreq, packing, tokens, tokenstore, urls
 from rillflow.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op7_line_frequency(t: Tables) -> DataFrame:
 def op8_url_trees(t: Tables) -> DataFrame:
     model = urls.UrlModel.train(urls.labelled_urls(t.spark))
     return urls.judge(t.pages, model, urls.RULES)
+
+
+@query()
+def op2_html_blocks(t: Tables) -> DataFrame:
+    return htmlblocks.extract(t.pages)

@@ -150,7 +150,7 @@ WITH d AS (
   SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM d
 ), windows AS (
   SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c
