@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.catalog.registry import Tables
-from rillflow.llm import htmlblocks, linefreq, packing, tokens, tokenstore, urls
+from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, tokens, tokenstore, urls
 from rillflow.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op8_url_trees(t: Tables) -> DataFrame:
 @query()
 def op2_html_blocks(t: Tables) -> DataFrame:
     return htmlblocks.extract(t.pages)
+
+
+@query()
+def op9_odd_sketch(t: Tables) -> DataFrame:
+    return oddsketch.near_duplicates(t.spark, t.documents)
