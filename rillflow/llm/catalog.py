@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.catalog.registry import Tables
-from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, tokens, tokenstore, urls
+from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, passages, tokens, tokenstore, urls
 from rillflow.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op2_html_blocks(t: Tables) -> DataFrame:
 @query()
 def op9_odd_sketch(t: Tables) -> DataFrame:
     return oddsketch.near_duplicates(t.spark, t.documents)
+
+
+@query()
+def op10_passage_attention(t: Tables) -> DataFrame:
+    return passages.score(t.documents, passages.train(t.documents, t.labels))
