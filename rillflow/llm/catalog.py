@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.catalog.registry import Tables
-from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, passages, tokens, tokenstore, urls
+from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, passages, seeds, tokens, tokenstore, urls
 from rillflow.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op9_odd_sketch(t: Tables) -> DataFrame:
 @query()
 def op10_passage_attention(t: Tables) -> DataFrame:
     return passages.score(t.documents, passages.train(t.documents, t.labels))
+
+
+@query()
+def op6_spaced_seeds(t: Tables) -> DataFrame:
+    return seeds.overlaps(t.spark, t.documents, t.benchmark)
