@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.catalog.registry import Tables
-from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, passages, seeds, tokens, tokenstore, urls
+from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, passages, seeds, templates, tokens, tokenstore, urls
 from rillflow.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op10_passage_attention(t: Tables) -> DataFrame:
 @query()
 def op6_spaced_seeds(t: Tables) -> DataFrame:
     return seeds.overlaps(t.spark, t.documents, t.benchmark)
+
+
+@query(templates.TEMPLATE_SQL)
+def op1_template_tree(t: Tables) -> DataFrame:
+    return templates.drop_recurring_lines(t.spark, t.documents)
