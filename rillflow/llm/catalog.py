@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.catalog.registry import Tables
-from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, passages, seeds, templates, tokens, tokenstore, urls
+from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, passages, phrases, seeds, templates, tokens, tokenstore, urls
 from rillflow.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def op6_spaced_seeds(t: Tables) -> DataFrame:
 @query(templates.TEMPLATE_SQL)
 def op1_template_tree(t: Tables) -> DataFrame:
     return templates.drop_recurring_lines(t.spark, t.documents)
+
+
+@query()
+def op3_phrase_automata(t: Tables) -> DataFrame:
+    return phrases.remove_repeated(t.spark, t.documents, with_text=False)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm.arrow import byte_texts, map_batches
+from rillflow.llm.filters import bitmap, passing
 from rillflow.llm.words import Hasher, mixed, numbers
 from rillflow.llm.worker import kept
 from rillflow.session import scratch_path
@@ -25,7 +26,6 @@ MASKS = ((0, 1, 2, 3, 4), (0, 1, 5, 8, 9), (0, 1, 2, 4, 7), (0, 2, 4, 7, 9))
 LEAST_WORDS = 13
 IDENTITY = 0.8
 FILTER_BITS = 1 << 24
-LONGS = FILTER_BITS // 64
 # Signs of ASCII, which are dropped, and upper case, which becomes lower case.
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -100,31 +100,15 @@ def benchmark_seeds(items: DataFrame) -> DataFrame:
     return map_batches(items, work, "seed bigint, item_id bigint, item_at bigint")
 
 
-def seed_filter(table: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size in which every seed of the table has its bit.
-
-    The larger the benchmark, the more seeds of documents pass by chance; the join decides.
-    """
-    bit = F.pmod("seed", F.lit(FILTER_BITS))
-    words = table.select((bit / 64).cast("int").alias("word"), (bit % 64).cast("int").alias("bit"))
-    # At most LONGS rows, whatever the table.
-    rows = words.groupBy("word").agg(
-        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")
-    ).toPandas()
-    out = np.zeros(LONGS, np.int64)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return out.view(np.uint64)
-
-
 SEGMENT = (
     "segment string, doc_id bigint, seg_start bigint, words array<bigint>,"
     " hits array<struct<seed:bigint,at:bigint>>"
 )
 
 
-def hit_segments(docs: DataFrame, bitmap: np.ndarray, reach: int) -> DataFrame:
+def hit_segments(docs: DataFrame, seen: np.ndarray, reach: int) -> DataFrame:
     """Stretches of documents around seeds that pass the filter, ``reach`` words to either side."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = docs.sparkSession.sparkContext.broadcast(seen)
     known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -136,16 +120,12 @@ def hit_segments(docs: DataFrame, bitmap: np.ndarray, reach: int) -> DataFrame:
         for first, words, bounds in hasher.texts(texts):
             places, values = [], []
             for number, found in seeds(words):
-                at = found & np.uint64(FILTER_BITS - 1)
-                passing = np.flatnonzero(
-                    (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)))
-                    & np.uint64(1)
-                )
+                place = np.flatnonzero(passing(bits, found))
                 # A seed must lie within one text.
-                owner = np.searchsorted(bounds, passing, "right")
-                passing = passing[passing + MASKS[number][-1] < bounds[owner]]
-                places.append(passing)
-                values.append(found[passing])
+                owner = np.searchsorted(bounds, place, "right")
+                place = place[place + MASKS[number][-1] < bounds[owner]]
+                places.append(place)
+                values.append(found[place])
             if not places:
                 continue
             place, value = np.concatenate(places), np.concatenate(values).view(np.int64)
@@ -198,7 +178,7 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Data
 
     path = scratch_path(spark, "segments")
     named = docs.where("doc_id IS NOT NULL")
-    hit_segments(named, seed_filter(table), reach).write.parquet(path)
+    hit_segments(named, bitmap(table.select("seed"), FILTER_BITS), reach).write.parquet(path)
     segments = spark.read.schema(SEGMENT).parquet(path)
 
     hits = segments.select("segment", F.inline("hits"))
