@@ -1,26 +1,76 @@
-"""A training corpus from documents, stage by stage."""
+"""A training corpus from documents, stage by stage.
+
+Each stage is one operator of ``rillflow.llm`` applied to all that its predecessor kept, and its
+decisions take effect: rejected documents, recurring lines, further documents of a group of near
+copies and documents with benchmark passages go; what is left is cut and packed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rillflow.llm import packing, tokens
+from rillflow.llm import oddsketch, packing, passages, seeds, templates, tokens
 from rillflow.session import configure, scratch_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the quality classifier rejects."""
+    model = passages.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return passages.accepted(docs, model)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop recurring lines, and documents that are little else.
+
+    A document goes when nothing is left of it, or when it has lost more words than it keeps and
+    at least 30: such is a copy of documents that stay.
+    """
+    changed = templates.drop_recurring_lines(spark, docs)
+    lost = F.col("n_dropped_words")
+    left = F.col("n_left_words")
+    emptied = (F.col("n_dropped") > 0) & (left == 0)
+    depleted = (lost > left) & (lost >= 30)
+    return changed.where(~emptied & ~depleted).select(
+        "doc_id", "text", "lang", "source",
+        F.length("text").cast("bigint").alias("n_chars"),
+    )
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies, the one with the smallest doc_id."""
+    groups = oddsketch.near_duplicates(spark, docs).where(~F.col("kept")).select("doc_id")
+    return docs.join(groups.distinct(), "doc_id", "left_anti").select(
+        "doc_id", "text", "lang", "source", "n_chars"
+    )
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that share a passage with the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = seeds.overlaps(spark, docs, benchmark).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(
+        "doc_id", "text", "lang", "source", "n_chars"
+    )
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut and pack the documents that are left."""
     return packing.pack(spark, docs, tokens.default_vocabulary())
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate), ("packing", packed),
+]
+# Models, sketches and token ids have no SQL form; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; each is written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     configure(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -76,7 +76,8 @@ def op6_spaced_seeds(t: Tables) -> DataFrame:
 
 @query(templates.TEMPLATE_SQL)
 def op1_template_tree(t: Tables) -> DataFrame:
-    return templates.drop_recurring_lines(t.spark, t.documents)
+    changed = templates.drop_recurring_lines(t.spark, t.documents)
+    return changed.select("doc_id", "text", *templates.COUNTS)
 
 
 @query()

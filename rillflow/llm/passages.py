@@ -245,13 +245,34 @@ def score(docs: DataFrame, model: Attention | None) -> DataFrame:
     )
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        scores = np.concatenate([
-            model.scores(table, counts) if model else np.full(len(counts), 0.5)
-            for table, counts in bags(byte_texts(batch.column("text")))
-        ])
+        scores = _batch_scores(batch, model)
         yield {
             "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
             "score": scores, "predicted": (scores >= 0.5).astype(np.int32),
         }
 
     return map_batches(plain, work, SCORED)
+
+
+def accepted(docs: DataFrame, model: Attention | None) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang, source, n_chars) that are predicted good.
+
+    Rows are scored and filtered where they are read; nothing is joined.
+    """
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    plain = docs.select(*columns)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
+
+    def work(batch: pa.RecordBatch) -> Iterator[dict]:
+        scores = _batch_scores(batch, model)
+        kept_rows = batch.filter(pa.array(scores >= 0.5))
+        yield {c: kept_rows.column(c) for c in columns}
+
+    return map_batches(plain, work, schema)
+
+
+def _batch_scores(batch: pa.RecordBatch, model: Attention | None) -> np.ndarray:
+    return np.concatenate([
+        model.scores(table, counts) if model else np.full(len(counts), 0.5)
+        for table, counts in bags(byte_texts(batch.column("text")))
+    ])

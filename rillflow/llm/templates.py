@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm.linefreq import SPACES
+from rillflow.llm.linefreq import SPACES, text_words, word_lines
 from rillflow.session import scratch_path
 
 DEPTH = 4
@@ -20,6 +20,7 @@ TEXTS = 20
 # Share of constant words among those without a digit that a template must have.
 CONSTANT = 0.85
 FIELD = "<*>"
+COUNTS = ("n_lines", "n_dropped", "n_dropped_words", "n_left_words")
 
 
 def _row(df: DataFrame) -> DataFrame:
@@ -93,7 +94,8 @@ def drop_recurring_lines(
     The document with the smallest doc_id keeps its lines of a template; lines of rows without a
     doc_id go whenever another document has the template. Lines without a word stay, and so do
     lines of digits alone. A null text is empty. Repeated rows are treated alike; rows with the
-    same doc_id count as one document. An empty table gives an empty one.
+    same doc_id count as one document. Other columns stay, unless they have the name of a count.
+    An empty table gives an empty one.
     """
     lines = masked_lines(docs.select("doc_id", "text"))
     path = scratch_path(spark, "lines")
@@ -104,7 +106,9 @@ def drop_recurring_lines(
     short = F.when((F.col("n") <= DEPTH) & (F.col("worded") > 0), F.xxhash64("leaf", "line"))
     named = (
         narrow.join(long, ["leaf", "line"], "left")
-        .select("_row", "_key", "doc_id", "line_no", F.coalesce("template", short).alias("template"))
+        .select(
+            "_row", "_key", "doc_id", "line_no", "n", F.coalesce("template", short).alias("template")
+        )
         .where("template IS NOT NULL")
     )
     recurring = (
@@ -115,18 +119,29 @@ def drop_recurring_lines(
     dropped = (
         named.join(recurring, "template")
         .where(~F.col("doc_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull())
-        .groupBy("_row").agg(F.collect_set("line_no").alias("_dropped"))
+        .select("_row", "line_no", "n").distinct()
+        .groupBy("_row").agg(
+            F.collect_list("line_no").alias("_dropped"), F.sum("n").alias("_lost")
+        )
     )
-    rows = _row(docs.select("doc_id", "text")).join(dropped, "_row", "left")
-    pieces = F.split("_text", "\n")
+    others = [c for c in docs.columns if c not in ("doc_id", "text", *COUNTS)]
+    own = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("_other"))
+    if not others:
+        own = docs.select("doc_id", "text")
+    rows = _row(own).join(dropped, "_row", "left")
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     rest = F.array_join(F.transform(left, lambda i: F.get(F.col("_lines"), i)), "\n")
-    worded = F.size(F.filter("_lines", lambda x: F.trim(F.regexp_replace(x, SPACES, " ")) != ""))
-    return rows.withColumn("_lines", pieces).select(
-        "doc_id",
-        F.when(F.col("_dropped").isNull(), F.col("_text")).otherwise(rest).alias("text"),
-        worded.cast("bigint").alias("n_lines"),
+    gone = F.col("_dropped").isNotNull()
+    counts = rows.withColumn("_lines", F.split("_text", "\n")).select(
+        "doc_id", F.when(gone, rest).otherwise(F.col("_text")).alias("text"),
+        *([F.col("_other")] if others else []),
+        F.size(word_lines(F.col("_text"))).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_dropped"), F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.coalesce("_lost", F.lit(0)).cast("bigint").alias("n_dropped_words"),
+    )
+    words = F.size(text_words(F.col("text"))).cast("bigint")
+    return counts.withColumn("n_left_words", words).select(
+        "doc_id", "text", *([F.col("_other.*")] if others else []), *COUNTS
     )
 
 
@@ -178,7 +193,12 @@ WITH d AS (
 )
 SELECT l.doc_id,
   coalesce(string_agg(raw, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL), '') AS text,
-  count(*) FILTER (regexp_matches(raw, '[^\x20\x09-\x0D]')) AS n_lines, count(gone.i) AS n_dropped
-FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.t = gone.t AND l.i = gone.i
+  count(*) FILTER (regexp_matches(raw, '[^\x20\x09-\x0D]')) AS n_lines,
+  count(gone.i) AS n_dropped,
+  CAST(coalesce(sum(words) FILTER (gone.i IS NOT NULL), 0) AS BIGINT) AS n_dropped_words,
+  CAST(coalesce(sum(words) FILTER (gone.i IS NULL), 0) AS BIGINT) AS n_left_words
+FROM (
+  SELECT *, len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words FROM l
+) l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.t = gone.t AND l.i = gone.i
 GROUP BY l.doc_id
 """
