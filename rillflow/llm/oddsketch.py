@@ -122,19 +122,19 @@ def _differing_bits(a: Column, b: Column) -> Column:
 
 def star_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """For each class the smallest bucket centre that its sketch allows as a partner: (a, b)."""
-    entries = classes.select("rep", F.explode("bands").alias("bucket"))
+    entries = classes.select("node", F.explode("bands").alias("bucket"))
     centres = (
-        entries.groupBy("bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n"))
+        entries.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n"))
         .where("n > 1").drop("n")
     )
     pairs = (
-        entries.join(centres, "bucket").where("rep <> a")
-        .select("a", F.col("rep").alias("b")).distinct()
+        entries.join(centres, "bucket").where("node <> a")
+        .select("a", F.col("node").alias("b")).distinct()
     )
-    own = classes.select("rep", "sketch", "n_shingles")
+    own = classes.select("node", "sketch", "n_shingles")
     left = own.select(*[F.col(c).alias(f"{c}_a") for c in own.columns])
     right = own.select(*[F.col(c).alias(f"{c}_b") for c in own.columns])
-    both = pairs.join(right, pairs["b"] == right["rep_b"]).join(left, F.col("a") == left["rep_a"])
+    both = pairs.join(right, pairs["b"] == right["node_b"]).join(left, F.col("a") == left["node_a"])
     small = F.least("n_shingles_a", "n_shingles_b")
     large = F.greatest("n_shingles_a", "n_shingles_b")
     near = similarity(_differing_bits(F.col("sketch_a"), F.col("sketch_b")))
@@ -148,17 +148,17 @@ def star_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def cross_pairs(classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of a bucket in different groups whose sketches allow the similarity."""
-    grouped = classes.join(labels, classes["rep"] == labels["node"], "left").select(
-        "rep", "bands", "sketch", "n_shingles", F.coalesce("component", "rep").alias("label")
+    grouped = classes.join(labels, "node", "left").select(
+        "node", "bands", "sketch", "n_shingles", F.coalesce("component", "node").alias("label")
     )
-    entries = grouped.select("rep", "label", F.explode("bands").alias("bucket"))
+    entries = grouped.select("node", "label", F.explode("bands").alias("bucket"))
     blocks = (
         entries.groupBy("bucket")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
         .where("low <> high")
         .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(
@@ -167,12 +167,12 @@ def cross_pairs(classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -
     )
     dealt = (
         entries.join(blocks, "bucket").withColumn("own", own)
-        .select("bucket", "rep", "own", F.inline(others))
+        .select("bucket", "node", "own", F.inline(others))
     )
-    features = grouped.select("rep", "label", "n_shingles", "sketch")
-    member = F.struct("own", "rep", "label", "n_shingles", "sketch")
+    features = grouped.select("node", "label", "n_shingles", "sketch")
+    member = F.struct("own", "node", "label", "n_shingles", "sketch")
     compared = (
-        dealt.join(features, "rep")
+        dealt.join(features, "node")
         .groupBy("bucket", "i", "j").agg(F.collect_list(member).alias("members"))
         .select("i", "j", "members")
     )
@@ -186,24 +186,24 @@ def cross_pairs(classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -
         lists = batch.column("members")
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         flat = lists.flatten()
-        column = {f: flat.field(f).to_numpy(False) for f in ("own", "rep", "label", "n_shingles")}
+        column = {f: flat.field(f).to_numpy(False) for f in ("own", "node", "label", "n_shingles")}
         sketch = flat.field("sketch").flatten().to_numpy(False).view(np.uint64)
         sketch = sketch.reshape(-1, SKETCH_LONGS)
         firsts, seconds = batch.column("i").to_numpy(), batch.column("j").to_numpy()
         for k in range(batch.num_rows):
             here = slice(offsets[k], offsets[k + 1])
-            block, rep, label, size = (column[f][here] for f in column)
+            block, node, label, size = (column[f][here] for f in column)
             bitmap = sketch[here]
             right = np.flatnonzero(block == seconds[k])
             for x in np.flatnonzero(block == firsts[k]):
-                y = right[rep[right] > rep[x]] if firsts[k] == seconds[k] else right
+                y = right[node[right] > node[x]] if firsts[k] == seconds[k] else right
                 y = y[label[y] != label[x]]
                 small, large = np.minimum(size[y], size[x]), np.maximum(size[y], size[x])
                 y = y[100 * small >= percent * large]
                 differing = np.bitwise_count(bitmap[y] ^ bitmap[x]).sum(1, dtype=np.int64)
                 y = y[differing <= most_bits]
                 if len(y):
-                    found.append((np.minimum(rep[y], rep[x]), np.maximum(rep[y], rep[x])))
+                    found.append((np.minimum(node[y], node[x]), np.maximum(node[y], node[x])))
         if found:
             yield {"a": np.concatenate([a for a, _ in found]),
                    "b": np.concatenate([b for _, b in found])}
@@ -216,30 +216,29 @@ def verified(
     percent: int = PERCENT,
 ) -> DataFrame:
     """The pairs whose full shingle sets are as similar as asked."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    names = classes.join(ids, "rep").select(F.col("rep").alias("doc_id"), "key_a")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    names = classes.join(nodes, "node").select(F.col("rep").alias("doc_id"), "node")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def sets(batch: pa.RecordBatch) -> Iterator[dict]:
         hasher = kept(("hasher",), Hasher)
-        doc_ids = batch.column("doc_id").to_pylist()
-        keys = batch.column("key_a").to_pylist()
+        nodes = batch.column("node").to_pylist()
         lowered = (x.lower() for x in byte_texts(batch.column("text")))
         for first, hashes, bounds in hasher.texts(lowered):
             rows = []
             for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]), first):
                 own = shingle_set(hashes[a:b], width)
                 name = int(mixed(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                if name == keys[i] % (1 << 64):
-                    rows.append((doc_ids[i], own.tobytes()))
-            yield {"doc_id": [d for d, _ in rows], "shingles": [s for _, s in rows]}
+                if name == nodes[i] % (1 << 64):
+                    rows.append((nodes[i], own.tobytes()))
+            yield {"node": [n for n, _ in rows], "shingles": [s for _, s in rows]}
 
     # Rows that repeat give the same set twice; rows with another text under the same doc_id
     # are left out by the name of the set.
-    full = map_batches(texts.join(names, "doc_id"), sets, "doc_id bigint, shingles binary")
-    full = full.dropDuplicates(["doc_id"])
-    left = full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-    right = full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
+    full = map_batches(texts.join(names, "doc_id"), sets, "node bigint, shingles binary")
+    full = full.dropDuplicates(["node"])
+    left = full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    right = full.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
 
     def check(batch: pa.RecordBatch) -> Iterator[dict]:
         good_a, good_b = [], []
@@ -263,8 +262,9 @@ def near_duplicates(
 
     Texts are compared by their distinct shingles of ``width`` words, A-Z in lower case; a shorter
     text is one shingle. A document without words, or with a null text, is linked with nothing.
-    A row without a doc_id keeps a null component and is kept. Rows with the same doc_id count as
-    one document. Repeated rows stay, each with its group. An empty table gives an empty one.
+    A row without a doc_id keeps a null component and is kept. Rows with the same doc_id and
+    different texts are grouped each by its own text. Repeated rows stay, each with its group. An
+    empty table gives an empty one.
     """
     path = scratch_path(spark, "signatures")
     signatures(docs, width).write.parquet(path)
@@ -272,7 +272,7 @@ def near_duplicates(
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Rows of one key have the same set, and so the same size, bands and sketch.
     path = scratch_path(spark, "classes")
-    usable.groupBy("key_a", "key_b").agg(
+    usable.groupBy(F.col("key_a").alias("node"), "key_b").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
     ).write.parquet(path)
@@ -285,13 +285,15 @@ def near_duplicates(
         more = verified(docs, classes, more, width, percent).checkpoint()
         labels = components(links.union(more))
 
-    members = signed.select("doc_id", "n_shingles", "key_a", "key_b")
-    named = classes.select("key_a", "key_b", "rep")
-    joined = (
-        members.join(named, ["key_a", "key_b"], "left")
-        .join(labels, F.col("rep") == labels["node"], "left")
+    # A group is named by the smallest document of its classes.
+    grouped = classes.select("node", "key_b", "rep").join(labels, "node", "left").select(
+        "node", "key_b", "rep", F.coalesce("component", "node").alias("label")
     )
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep"))
+    smallest = grouped.groupBy("label").agg(F.min("rep").alias("group"))
+    named = grouped.join(smallest, "label").select(F.col("node").alias("key_a"), "key_b", "group")
+    members = signed.select("doc_id", "n_shingles", "key_a", "key_b")
+    joined = members.join(named, ["key_a", "key_b"], "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("group"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(component, "doc_id"))
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"),
