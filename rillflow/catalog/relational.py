@@ -8,7 +8,7 @@ from rillflow.catalog.records import (
 from rillflow.catalog.registry import query
 from rillflow.functions import (
     age_years, copy_fields, day_from_text, day_of_millis, hour_from_text, hour_of_millis,
-    previous_day, reversed_key, salted_key, split_at,
+    previous_day, reversed_key, salted_key, seconds_to_time, split_at,
 )
 from rillflow.operators import aggregates, relational
 from rillflow.schemas import DAU_INFO, SENSOR
@@ -41,7 +41,8 @@ SELECT mid, user_id, province_id, channel, is_new, model, operate_system, versio
 def copied_fields(t):
     """PRJ-04: same-named fields are copied, fields the source lacks stay null."""
     views = page_views(t)
-    names = [n for n in DAU_INFO.fieldNames() if not n.startswith(("province_n", "province_i", "province_3", "province_a"))]
+    looked_up = ("province_name", "province_iso_code", "province_3166_2", "province_area_code")
+    names = [n for n in DAU_INFO.fieldNames() if n not in looked_up]
     row = views.select(F.struct(*views.columns).alias("row"))
     copied = copy_fields(row, names, "row").drop("user_age", "hr")
     return copied.withColumns({c: F.col(c).cast("string") for c in ("user_gender", "dt")})
@@ -158,7 +159,8 @@ def age_in_years(t):
 
 @query("""SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr,
        strftime(ts, '%Y-%m-%d') AS dt_text, strftime(ts, '%H') AS hr_text,
-       strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday FROM events""")
+       strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday,
+       epoch_us(ts) // 1000000 AS seconds FROM events""")
 def day_and_hour(t):
     """FUN-02, FUN-03, FUN-05, FUN-15."""
     ms, time = F.unix_millis(F.col("ts").cast("timestamp")), F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
@@ -166,6 +168,7 @@ def day_and_hour(t):
         "event_id", day_of_millis(ms).alias("dt"), hour_of_millis(ms).alias("hr"),
         day_from_text(time).alias("dt_text"), hour_from_text(time).alias("hr_text"),
         previous_day(day_of_millis(ms)).alias("yesterday"),
+        F.unix_seconds(seconds_to_time(F.floor(ms / 1000))).alias("seconds"),
     )
 
 

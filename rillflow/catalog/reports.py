@@ -39,7 +39,7 @@ def sales_by_gender(t):
 
 @query(f"""WITH {MATCHED}, groups AS (
   SELECT user_age, sum(CAST(split_total_amount AS DECIMAL(18,2))) AS amount FROM matched
-  WHERE user_age IS NOT NULL GROUP BY user_age ORDER BY count(*) DESC, user_age LIMIT 100),
+  WHERE user_age IS NOT NULL GROUP BY user_age),
 labels(name, low, high) AS (
   VALUES ('20岁以下', -1000, 19), ('20到29岁', 20, 29), ('30岁以上', 30, 1000))
 SELECT name, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS value

@@ -2,15 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from rillflow.catalog.records import PAGE_VIEWS, READINGS, log_lines, page_views, readings, text
+from rillflow.catalog.records import PAGE_VIEWS, READINGS, page_views, readings, text
 from rillflow.catalog.registry import Tables, query
-from rillflow.operators import views
+from rillflow.operators import aggregates, views
 from rillflow.schemas import PAGE_LOG, SENSOR, struct
 from rillflow.session import scratch_path
 from rillflow.sinks import files, keyed, topics
 from rillflow.sources import records as record_files
 from rillflow.sources import stores
-from rillflow.sources.files import csv_table
+from rillflow.sources.files import csv_table, text_lines
 from rillflow.sources.topics import csv_topic, decode, read_topic
 from rillflow.streaming import jobs
 
@@ -53,7 +53,7 @@ def upsert_by_key(t):
 @query(UPSERTED)
 def compacted_table(t):
     """SNK-15: the same rows in few files."""
-    return _sales_table(t).compact(t.spark, scratch_path(t.spark, "compact"), files=4).read(t.spark)
+    return _sales_table(t).compact(t.spark, scratch_path(t.spark, "compact")).read(t.spark)
 
 
 @query("""SELECT 'sensor_temp' AS table_name, concat('sensor_', user_id) AS key,
@@ -90,15 +90,18 @@ def csv_table_by_position(t):
     return t.spark.sql("SELECT id, cnt FROM output_table")
 
 
-@query("""SELECT '20240131' AS clndr_dt_id, '07' AS hour_id, count(*) AS cnt FROM events""")
+@query("""SELECT '20240131' AS clndr_dt_id, '07' AS hour_id, p_name AS value FROM part""")
 def ingested_files(t):
-    """SNK-14: text files into a day and hour partition."""
-    source, target = scratch_path(t.spark, "lines"), scratch_path(t.spark, "ingest")
-    log_lines(t).select("value").write.text(source)
-    files.ingest_files(t.spark, source, target, "20240131", "07")
+    """SNK-14: two sources into one day and hour, one of them twice; files lie side by side."""
+    target, names = scratch_path(t.spark, "ingest"), t.part.select("p_name", "p_size")
+    sources = []
+    for part in ("p_size < 25", "p_size >= 25"):
+        sources.append(scratch_path(t.spark, "lines"))
+        names.where(part).select("p_name").write.text(sources[-1])
+    for source in (*sources, sources[0]):
+        files.ingest_files(t.spark, source, target, "20240131", "07")
     schema = "value string, file_name string, clndr_dt_id string, hour_id string"
-    lines = t.spark.read.schema(schema).parquet(target)
-    return lines.groupBy("clndr_dt_id", "hour_id").agg(F.count("value").alias("cnt"))
+    return t.spark.read.schema(schema).parquet(target).select("clndr_dt_id", "hour_id", "value")
 
 
 @query(f"""WITH {PAGE_VIEWS} SELECT mid, page_id, last_page_id, during_time, ts FROM page_views""")
@@ -108,7 +111,7 @@ def topic_round_trip(t):
     sent = topics.messages(page_views(t).select(*PAGE_LOG.fieldNames()), "pages", F.col("mid"))
     topics.write_messages(sent, "parquet", path)
     schema = struct(key="string", value="string", topic="string")
-    got = decode(read_topic(t.spark, {}, "parquet", schema, path), PAGE_LOG)
+    got, _ = decode(read_topic(t.spark, {}, "parquet", schema, path), PAGE_LOG)
     jobs.run(got, f"{root}/checkpoint", path=f"{root}/table")
     saved = t.spark.read.schema(PAGE_LOG).parquet(f"{root}/table")
     return saved.select("mid", "page_id", "last_page_id", "during_time", "ts")
@@ -124,13 +127,57 @@ def csv_topic_round_trip(t):
     return t.spark.sql("SELECT id, timestamp, temperature FROM sensor_topic")
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS value FROM customer")
+@query("""SELECT event_id, seq % 7 = 0 OR seq % 11 = 0 AS rejected
+FROM (SELECT event_id, event_id AS seq FROM events)""")
+def decode_rejects(t):
+    """PIP-07: broken and missing messages are rejected, none becomes a record of nulls."""
+    seq, sent = F.col("event_id"), t.events.select("event_id", "event_type")
+    whole = topics.messages(sent, "events", text("event_id"))
+    number = F.col("key").cast("bigint")
+    broken = F.when(number % 11 == 0, F.lit(None)).when(number % 7 == 0, F.substring("value", 1, 12))
+    found = whole.withColumn("value", broken.otherwise(F.col("value")))
+    records, rejects = decode(found, struct(event_id="bigint", event_type="string"))
+    bad = rejects.select(F.col("key").cast("bigint").alias("event_id"), F.lit(True).alias("rejected"))
+    return records.select(seq, F.lit(False).alias("rejected")).unionByName(bad)
+
+
+@query(f"""WITH {READINGS} SELECT concat(id, CASE WHEN seq % 5 = 0 THEN ',late' ELSE '' END) AS line,
+  seq % 5 = 0 AS rejected FROM readings""")
+def csv_topic_rejects(t):
+    """SRC-07: lines that are no records are returned."""
+    wrong = F.when(F.col("seq") % 5 == 0, "late").otherwise(text("timestamp"))
+    line = F.concat_ws(",", "id", wrong, F.when(F.col("seq") % 5 != 0, text("temperature")))
+    sent = readings(t).select(F.lit("sensors").alias("topic"), line.alias("value"))
+    records, rejects = csv_topic(sent, SENSOR)
+    good = records.select(F.col("id").alias("line"), F.lit(False).alias("rejected"))
+    return good.unionByName(rejects.select("line", F.lit(True).alias("rejected")))
+
+
+@query("""SELECT word, count(*) AS cnt FROM (
+  SELECT unnest(string_split(line, ' ')) AS word
+  FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM conversations))
+WHERE length(word) > 0 GROUP BY word""")
+def text_file_words(t):
+    """SRC-02: text written as lines, read back as lines and counted."""
+    path = scratch_path(t.spark, "text")
+    t.conversations.select("text").write.text(path)
+    return aggregates.word_count(text_lines(t.spark, path), keep_empty=False)
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) || chr(9) || c_nationkey AS key,
+  CASE WHEN c_nationkey = 3 THEN NULL ELSE c_name || chr(10) || '\\t' || chr(92) END AS value
+FROM customer""")
 def record_round_trip(t):
-    """EXT-04, EXT-05: the partitioned Python source and sink."""
+    """EXT-04, EXT-05: the partitioned Python source and sink; the second write replaces the first."""
     record_files.register(t.spark)
     path = scratch_path(t.spark, "records")
-    pairs = t.customer.select(text("c_custkey").alias("key"), F.col("c_name").alias("value"))
-    pairs.write.format("keyed_records").mode("append").save(path)
+    value = F.concat(F.col("c_name"), F.lit("\n\\t\\"))
+    pairs = t.customer.select(
+        F.concat_ws("\t", text("c_custkey"), text("c_nationkey")).alias("key"),
+        F.when(F.col("c_nationkey") != 3, value).alias("value"),
+    )
+    for _ in range(2):
+        pairs.write.format("keyed_records").mode("overwrite").save(path)
     return t.spark.read.format("keyed_records").option("path", path).load()
 
 

@@ -78,19 +78,21 @@ def window_reduce(t):
 
 
 def _sizes(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
-    return rows.groupby(by, as_index=False).size().rename(columns={"size": "cnt"})
+    return rows.groupby(by, as_index=False, dropna=False).size().rename(columns={"size": "cnt"})
 
 
 def _add_sizes(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
-    return rows.groupby(by, as_index=False)["cnt"].sum()
+    return rows.groupby(by, as_index=False, dropna=False)["cnt"].sum()
 
 
-@query(f"""WITH {READINGS} SELECT id, ms - ms % 86400000 AS window_start, count(*) AS cnt
-FROM readings GROUP BY ALL""")
+@query(f"""WITH {READINGS}, found AS (
+  SELECT CASE WHEN kind <> 'click' THEN id END AS id, ms FROM readings)
+SELECT id, ms - ms % 86400000 AS window_start, count(*) AS cnt FROM found GROUP BY ALL""")
 def full_window_function(t):
-    """WIN-07, EXT-02, EXT-03: a user function over whole windows, in two parts."""
+    """WIN-07, EXT-02, EXT-03: a user function over whole windows, in two parts; null is a key."""
+    some = F.when(F.col("kind") != "click", F.col("id")).alias("id")
     return windows.full_window(
-        readings(t).select("id", "ts"), ["id"], "ts", DAY,
+        readings(t).select(some, "ts"), ["id"], "ts", DAY,
         "id string, window_start bigint, cnt bigint", _sizes, _add_sizes,
     )
 

@@ -163,7 +163,7 @@ def dau_enriched(t):
 def order_decode(t):
     """PIP-07: JSON messages to typed records, absent numbers are 0."""
     sent = order_infos(t).withColumn("user_id", F.col("user_id").cast("string"))
-    decoded = decode(messages(sent.drop("coupon_reduce_amount"), "orders"), ORDER_INFO, zero_numbers=True)
+    decoded, _ = decode(messages(sent.drop("coupon_reduce_amount"), "orders"), ORDER_INFO, zero_numbers=True)
     return decoded.select(
         "id", "user_id", "total_amount", "feight_fee", "expire_time", "create_time",
         "coupon_reduce_amount",

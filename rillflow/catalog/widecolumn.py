@@ -13,7 +13,7 @@ from rillflow.operators import widecolumn as wc
   CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_mktsegment END AS segment FROM customer""")
 def scan_family_rows(t):
     """SRC-10."""
-    cells = wc.scan(customer_cells(t), "info")
+    cells = wc.versions(customer_cells(t), "info")
     return wc.to_rows(cells, ["name", "nation", "segment"])
 
 
@@ -27,7 +27,7 @@ def scan_key_range(t):
 FROM cells GROUP BY row_key""")
 def scan_family_join(t):
     """SRC-11, FUN-14."""
-    return wc.row_texts(wc.scan(customer_cells(t), "info"), ["segment", "name", "nation"])
+    return wc.row_texts(wc.versions(customer_cells(t), "info"), ["segment", "name", "nation"])
 
 
 @query(f"WITH {CELLS} SELECT * FROM cells WHERE starts_with(row_key, '20')")
@@ -95,7 +95,7 @@ FROM part, (VALUES ('name'), ('size')) AS v(q)""")
 def salted_sorted_load(t):
     """SNK-13, SRT-02, FUN-08."""
     rows = t.part.select(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"), F.col("p_size").alias("size"))
-    return wc.sorted_load(rows, "key", "info", 8)
+    return wc.sorted_load(rows, "key", "info")
 
 
 @query("""SELECT CAST(CAST(c_custkey AS VARCHAR) >= '3' AS INTEGER)
@@ -112,7 +112,7 @@ def range_buckets(t):
   + CAST(row_key >= '9' AS INTEGER) AS bucket FROM cells""")
 def bucketed_load(t):
     """DST-02."""
-    return keyrange.bucketed(customer_cells(t), keyrange.split_keys(3, 10, "0", "10"), 8)
+    return keyrange.bucketed(customer_cells(t), keyrange.split_keys(3, 10, "0", "10"))
 
 
 def _moves(t):

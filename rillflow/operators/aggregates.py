@@ -64,8 +64,9 @@ def exact_sum(amount: Column) -> Column:
     return F.sum(amount.cast("decimal(18,2)")).cast("double")
 
 
-def exact_avg(amount: Column) -> Column:
-    return exact_sum(amount) / F.count(amount)
+def exact_avg(value: Column) -> Column:
+    """A mean that does not depend on the order of the rows, of values with up to ten decimals."""
+    return F.sum(value.cast("decimal(28,10)")).cast("double") / F.count(value)
 
 
 def nested_groups(df: DataFrame, items: str, field: str) -> DataFrame:

@@ -86,18 +86,12 @@ def match_states(infos: DataFrame, details: DataFrame) -> DataFrame:
     return from_details.unionByName(from_orders)
 
 
-MAX_LISTED = 10_000
-
-
 def in_tables(changes: DataFrame, tables: DataFrame) -> DataFrame:
     """Change events whose table is on a list that may change at any time (JON-07).
 
-    The list is read when this is called, so in every micro-batch. As a set of constants it
-    filters in place: a join would shuffle all events by a handful of table names.
+    The list is read when the plan runs, so in every micro-batch; Catalyst decides from its size
+    whether the events must move.
     """
-    names = [r[0] for r in tables.select("table_name").distinct().limit(MAX_LISTED + 1).collect()]
-    if len(names) <= MAX_LISTED:
-        return changes.where(F.col("table").isin(names))
     listed = tables.select(F.col("table_name").alias("_listed")).distinct()
     return changes.join(listed, F.col("table") == F.col("_listed"), "left_semi")
 

@@ -38,11 +38,11 @@ def bucket_counts(df: DataFrame, key: str, splits: list[str]) -> DataFrame:
     )
 
 
-def bucketed(cells: DataFrame, splits: list[str], parts: int) -> DataFrame:
+def bucketed(cells: DataFrame, splits: list[str]) -> DataFrame:
     """Cells tagged with their bucket, in key order and cut by key range (DST-02).
 
     Ranges follow the data, not the split points, so a crowded bucket becomes several files.
     """
     tagged = cells.withColumn("bucket", bucket_of(F.col("row_key"), splits))
     order = ["bucket", "row_key", "family", "qualifier"]
-    return tagged.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return tagged.repartitionByRange(*order).sortWithinPartitions(*order)

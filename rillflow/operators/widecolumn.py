@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from rillflow.functions import reversed_key, salted_key
 
 CELL_KEY = ["row_key", "family", "qualifier"]
-MAX_QUALIFIERS = 10_000
 
 
 def to_cells(
@@ -40,41 +39,53 @@ def latest(cells: DataFrame) -> DataFrame:
     return newest.select(*CELL_KEY, "_newest.ts", "_newest.value")
 
 
-def scan(
+def versions(
     cells: DataFrame, family: str | None = None, start: str | None = None, stop: str | None = None
 ) -> DataFrame:
-    """Newest cells of a family and of a row-key range [start, stop) (SRC-10)."""
+    """All versions of the cells of a family and of a row-key range [start, stop)."""
     if family is not None:
         cells = cells.where(F.col("family") == family)
     if start is not None:
         cells = cells.where(F.col("row_key") >= start)
     if stop is not None:
         cells = cells.where(F.col("row_key") < stop)
-    return latest(cells)
+    return cells
 
 
-def _qualifiers(cells: DataFrame) -> list[str]:
-    found = cells.select("qualifier").distinct().limit(MAX_QUALIFIERS + 1).collect()
-    if len(found) > MAX_QUALIFIERS:
-        raise ValueError("too many qualifiers for wide rows: name the ones to read")
-    return sorted(r["qualifier"] for r in found)
+def scan(
+    cells: DataFrame, family: str | None = None, start: str | None = None, stop: str | None = None
+) -> DataFrame:
+    """Newest cells of a family and of a row-key range [start, stop) (SRC-10)."""
+    return latest(versions(cells, family, start, stop))
 
 
-def to_rows(cells: DataFrame, qualifiers: list[str] | None = None) -> DataFrame:
-    """Cells of one family as wide rows (SRC-10); one bounded row per row key."""
-    names = qualifiers or _qualifiers(cells)
+def to_rows(cells: DataFrame, qualifiers: list[str]) -> DataFrame:
+    """Cells or versions of one family as wide rows of the named columns (SRC-10).
+
+    The newest version counts; one aggregation makes the rows.
+    """
     newest = [
-        F.max(F.when(F.col("qualifier") == q, F.struct("ts", "value"))).alias(q) for q in names
+        F.max(F.when(F.col("qualifier") == q, F.struct("ts", "value"))).alias(q) for q in qualifiers
     ]
     wide = cells.groupBy("row_key").agg(*newest)
-    return wide.select("row_key", *[F.col(f"`{q}`.value").alias(q) for q in names])
+    return wide.select("row_key", *[F.col(f"`{q}`.value").alias(q) for q in qualifiers])
 
 
 def row_texts(cells: DataFrame, qualifiers: list[str] | None = None) -> DataFrame:
-    """(row_key, values joined by ``_`` in qualifier order) (SRC-11)."""
-    names = sorted(qualifiers or _qualifiers(cells))
-    wide = to_rows(cells, names)
-    return wide.select("row_key", F.concat_ws("_", *[F.col(f"`{q}`") for q in names]).alias("row_text"))
+    """(row_key, newest values joined by ``_`` in qualifier order) (SRC-11).
+
+    Rows are brought together once: the newest version of a cell and the text of a row are both
+    taken where the row lies. The number of qualifiers does not matter.
+    """
+    if qualifiers is not None:
+        cells = cells.where(F.col("qualifier").isin(qualifiers))
+    newest = (
+        cells.repartition("row_key").groupBy("row_key", "qualifier")
+        .agg(F.max(F.struct("ts", "value"))["value"].alias("value"))
+    )
+    row = newest.groupBy("row_key").agg(F.collect_list(F.struct("qualifier", "value")).alias("_row"))
+    values = F.transform(F.array_sort("_row"), lambda cell: cell["value"])
+    return row.select("row_key", F.array_join(values, "_").alias("row_text"))
 
 
 def key_prefix(cells: DataFrame, prefix: str) -> DataFrame:
@@ -124,14 +135,15 @@ def row_and_column(
 
 
 def sorted_load(
-    df: DataFrame, key: str, family: str, parts: int, ts: Column | int = 0
+    df: DataFrame, key: str, family: str, ts: Column | int = 0
 ) -> DataFrame:
     """Cells under salted keys, range-partitioned and sorted for a bulk load (SNK-13).
 
-    Partitions do not overlap; inside a row the qualifiers are in order.
+    Partitions do not overlap; inside a row the qualifiers are in order. Their number follows
+    the session and the size of the data.
     """
     cells = to_cells(df.withColumn(key, salted_key(F.col(key).cast("string"))), key, family, ts)
-    ranged = cells.repartitionByRange(parts, "row_key", "family", "qualifier")
+    ranged = cells.repartitionByRange("row_key", "family", "qualifier")
     return ranged.sortWithinPartitions("row_key", "family", "qualifier")
 
 

@@ -101,7 +101,8 @@ def full_window(
 
     The function comes in two parts so that no task must hold a whole window. ``partial`` gets
     a batch of rows of many windows and the grouping columns (keys and ``window_start``) and
-    gives one row of ``schema`` per window; ``merge`` makes one row per window of such rows.
+    gives one row of ``schema`` per window; ``merge`` makes one row per window of such rows. A
+    null key is a key: grouping inside them needs ``dropna=False``.
     Tasks merge before the shuffle and, as a window's rows arrive together, while they come in.
     """
     stamped = df.withColumn("window_start", millis(window_of(time, size)["start"]))
@@ -122,7 +123,8 @@ def full_window(
         held = None
         for batch in batches:
             found = merge(batch if held is None else pd.concat([held, batch]), group)
-            last = (found[group] == batch[group].iloc[-1]).all(axis=1)
+            mine, end = found[group], batch[group].iloc[-1]
+            last = ((mine == end) | (mine.isna() & end.isna())).all(axis=1)
             held = found[last]
             yield found[~last]
         if held is not None:

@@ -15,9 +15,11 @@ from rillflow.sinks.keyed import KeyedTable
 def entries(pages: DataFrame) -> DataFrame:
     """Page views that entered from outside, with their day (FLT-03).
 
-    Only a missing ``last_page_id`` counts, an empty one does not.
+    Only a missing ``last_page_id`` counts, an empty one does not. A page view without a device or
+    a time is nobody's entry.
     """
-    return pages.where(F.col("last_page_id").isNull()).withColumn("dt", day_of_millis(F.col("ts")))
+    known = F.col("mid").isNotNull() & F.col("ts").isNotNull()
+    return pages.where(F.col("last_page_id").isNull() & known).withColumn("dt", day_of_millis(F.col("ts")))
 
 
 def first_per_day(found: DataFrame, tie: str | None = None) -> DataFrame:

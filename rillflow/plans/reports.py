@@ -9,12 +9,11 @@ from rillflow.functions import contains_all
 from rillflow.operators.aggregates import exact_sum
 from rillflow.operators.search import Hits, search_page
 
-MAX_GROUPS = 100
-
 # Labels of the reports.
 GENDER_LABELS = {"F": "女", "M": "男"}
 AGE_LABELS = ["20岁以下", "20到29岁", "30岁以上"]
 
+# The columns of the detail page.
 DETAIL_COLUMNS = [
     "create_time", "order_price", "province_name", "sku_name", "sku_num", "total_amount",
     "user_age", "user_gender",
@@ -33,14 +32,9 @@ def dau_by_hour(users: DataFrame, day: str) -> DataFrame:
     return found.groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _sales(wide: DataFrame, item: str, field: str, day: str | None) -> DataFrame:
+def _matched(wide: DataFrame, item: str, field: str, day: str | None) -> DataFrame:
     rows = wide if day is None else wide.where(F.col("create_date") == day)
-    matched = rows.where(contains_all(F.col("sku_name"), item) & F.col(field).isNotNull())
-    groups = matched.groupBy(field).agg(
-        exact_sum(F.col("split_total_amount")).alias("amount"), F.count(F.lit(1)).alias("_rows")
-    )
-    # The largest groups by row count; a group key decides ties.
-    return groups.orderBy(F.col("_rows").desc(), F.col(field).asc()).limit(MAX_GROUPS)
+    return rows.where(contains_all(F.col("sku_name"), item) & F.col(field).isNotNull())
 
 
 def gender_label(gender: Column) -> Column:
@@ -52,16 +46,18 @@ def gender_label(gender: Column) -> Column:
 
 def sales_by_gender(wide: DataFrame, item: str, day: str | None = None) -> DataFrame:
     """Sales of the items matching all words, by gender (AGG-09, AGG-10)."""
-    sales = _sales(wide, item, "user_gender", day)
-    return sales.select(gender_label(F.col("user_gender")).alias("name"), F.col("amount").alias("value"))
+    sales = _matched(wide, item, "user_gender", day).groupBy("user_gender").agg(
+        exact_sum(F.col("split_total_amount")).alias("value")
+    )
+    return sales.select(gender_label(F.col("user_gender")).alias("name"), "value")
 
 
 def sales_by_age(wide: DataFrame, item: str, day: str | None = None) -> DataFrame:
     """Sales by age bucket: three rows when anything matched, else none (AGG-09, AGG-11)."""
     under, twenties, over = AGE_LABELS
-    age, amount = F.col("user_age"), F.col("amount").cast("decimal(28,2)")
-    sums = _sales(wide, item, "user_age", day).agg(
-        F.count(F.lit(1)).alias("_groups"),
+    age, amount = F.col("user_age"), F.col("split_total_amount").cast("decimal(18,2)")
+    sums = _matched(wide, item, "user_age", day).agg(
+        F.count(F.lit(1)).alias("_rows"),
         F.sum(F.when(age < 20, amount)).alias("a"),
         F.sum(F.when((age >= 20) & (age <= 29), amount)).alias("b"),
         F.sum(F.when(age > 29, amount)).alias("c"),
@@ -70,7 +66,7 @@ def sales_by_age(wide: DataFrame, item: str, day: str | None = None) -> DataFram
         F.lit(label).alias("name"), F.coalesce(F.col(column).cast("double"), F.lit(0.0)).alias("value")
     )
     rows = F.array(bucket(under, "a"), bucket(twenties, "b"), bucket(over, "c"))
-    return sums.where(F.col("_groups") > 0).select(F.inline(rows))
+    return sums.where(F.col("_rows") > 0).select(F.inline(rows))
 
 
 def item_detail(

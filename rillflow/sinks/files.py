@@ -18,12 +18,15 @@ def insert_by_position(df: DataFrame, schema: StructType, path: str) -> None:
 
 
 def ingest_files(spark: SparkSession, source: str, target: str, day: str, hour: str) -> None:
-    """Copy text files into a day and hour partition (SNK-14); the source stays."""
+    """Copy text files into a day and hour partition (SNK-14); the source stays.
+
+    Files lie beside those that came earlier; only a file of the same name is replaced.
+    """
     lines = spark.read.text(source).select(
         "value", F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1).alias("file_name"),
         F.lit(day).alias("clndr_dt_id"), F.lit(hour).alias("hour_id"),
     )
     (
         lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("clndr_dt_id", "hour_id").parquet(target)
+        .partitionBy("clndr_dt_id", "hour_id", "file_name").parquet(target)
     )

@@ -18,40 +18,47 @@ from rillflow.operators.mutate import last_per_key
 from rillflow.schemas import struct
 
 BATCH = "batch_id"
-MAX_DAYS = 1_000
-STREAM_FILES = 4
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """``order`` says which of several rows of one key in a batch is the last."""
+    """``order`` says which of several rows of one key in a batch is the last.
+
+    Without a ``day`` the table is laid out by batch only.
+    """
 
     path: str
     keys: tuple[str, ...]
     schema: StructType
     order: tuple[str, ...]
-    day: str = "dt"
+    day: str | None = "dt"
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        keys = [self.day, *(k for k in self.keys if k != self.day)]
-        rows = last_per_key(batch.select(*self.schema.fieldNames()), keys, list(self.order))
+        rows = last_per_key(batch.select(*self.schema.fieldNames()), self._key, list(self.order))
         tagged = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         (
             self._arranged(tagged)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.day, BATCH).parquet(self.path)
+            .partitionBy(*self._folders).parquet(self.path)
         )
 
+    @property
+    def _key(self) -> list[str]:
+        return [*([self.day] if self.day else []), *(k for k in self.keys if k != self.day)]
+
+    @property
+    def _folders(self) -> list[str]:
+        return [*([self.day] if self.day else []), BATCH]
+
     def _arranged(self, rows: DataFrame) -> DataFrame:
         """Few files for quiet days, many for a crowded one.
 
-        AQE cuts by size. Inside a streaming query it may be off; the rate limit bounds a
-        micro-batch there, and each day gets a fixed number of files.
+        AQE cuts by size. Inside a stateful streaming query it is off, and the rows are spread by
+        their whole key over the partitions of the session.
         """
         if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-            return rows.hint("rebalance", self.day)
-        part = F.pmod(F.xxhash64(*self.keys), F.lit(STREAM_FILES))
-        return rows.repartition(F.col(self.day), part)
+            return rows.hint("rebalance", *([self.day] if self.day else []))
+        return rows.repartition(*self._key)
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """All written rows, with their batch; empty before the first write."""
@@ -68,18 +75,16 @@ class KeyedTable:
         found = self.versions(spark)
         if days is not None:
             found = found.where(F.col(self.day).isin(days))
-        keys = [self.day, *(k for k in self.keys if k != self.day)]
-        return last_per_key(found, keys, [BATCH]).select(*self.schema.fieldNames())
+        return last_per_key(found, self._key, [BATCH]).select(*self.schema.fieldNames())
 
     def unseen(self, batch: DataFrame, keys: list[str]) -> DataFrame:
         """Rows whose key the table does not have yet: the table is the state (STA-07, STA-08).
 
-        The days of a batch are usually few and prune the table to the folders that matter.
+        The days of the batch are joined, so that they prune the folders read.
         """
         seen = self.versions(batch.sparkSession)
-        days = [r[0] for r in batch.select(self.day).distinct().limit(MAX_DAYS + 1).collect()]
-        if len(days) <= MAX_DAYS:
-            seen = seen.where(F.col(self.day).isin(days))
+        if self.day:
+            seen = seen.join(batch.select(self.day).distinct(), self.day, "left_semi")
         return batch.join(seen.select(*keys).distinct(), keys, "left_anti")
 
     def compact(self, spark: SparkSession, target: str, files: int | None = None) -> KeyedTable:
@@ -90,10 +95,10 @@ class KeyedTable:
         rows = self.read(spark).withColumn(BATCH, F.lit(0).cast("bigint"))
         if files:
             part = F.pmod(F.xxhash64(*self.keys), F.lit(files))
-            arranged = rows.repartition(F.col(self.day), part)
+            arranged = rows.repartition(*([F.col(self.day)] if self.day else []), part)
         else:
             arranged = self._arranged(rows)
-        arranged.write.mode("overwrite").partitionBy(self.day, BATCH).parquet(target)
+        arranged.write.mode("overwrite").partitionBy(*self._folders).parquet(target)
         return KeyedTable(target, self.keys, self.schema, self.order, self.day)
 
 

@@ -2,26 +2,62 @@
 
 It is the extension point for stores Spark has no connector for. Large files are read in byte
 ranges, so a single big file does not end up in one task. Files are opened through Arrow's
-file systems, local or remote.
+file systems, local or remote, and rows pass as Arrow batches. Tabs, line ends and backslashes
+inside a text are escaped, and null has an escape of its own.
+
+Every write has a folder of its own. Its tasks write under their final names, and the commit lists
+the files of the tasks that counted, so a lost task leaves nothing that is read and nothing is
+renamed. Plain files beside those folders are read too.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
-    DataSourceWriter,
     InputPartition,
     WriterCommitMessage,
 )
 from pyspark.sql.types import StructType
 
 RANGE_BYTES = 64 << 20
+BATCH_ROWS = 8_192
+WRITE_PREFIX, LISTED = "write-", "_files.json"
+
+# Escapes of the record form.
+NULL = "\\N"
+ESCAPES = {"\\": "\\\\", "\t": "\\t", "\n": "\\n", "\r": "\\r"}
+PLAIN = {code[1]: char for char, code in ESCAPES.items()}
+ESCAPE_TABLE = str.maketrans(ESCAPES)
+
+
+def escaped(text: str | None) -> str:
+    return NULL if text is None else text.translate(ESCAPE_TABLE)
+
+
+def unescaped(text: str) -> str | None:
+    if text == NULL:
+        return None
+    if "\\" not in text:
+        return text
+    out, chars = [], iter(text)
+    for char in chars:
+        if char == "\\":
+            code = next(chars, "")
+            if code not in PLAIN:
+                raise ValueError(f"no such escape in a record: \\{code}")
+            char = PLAIN[code]
+        out.append(char)
+    return "".join(out)
 
 
 @dataclass
@@ -33,8 +69,7 @@ class ByteRange(InputPartition):
 
 @dataclass
 class Written(WriterCommitMessage):
-    staged: str
-    final: str
+    name: str
 
 
 def _open(path: str):
@@ -45,25 +80,57 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+def _entries(store, root: str) -> list:
+    from pyarrow import fs
+
+    return store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+
+
 class RecordReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
         self.range_bytes = int(options.get("rangeBytes", RANGE_BYTES))
 
     def partitions(self) -> list[InputPartition]:
-        from pyarrow import fs
-
         store, root = _open(self.path)
-        infos = store.get_file_info(fs.FileSelector(root, recursive=True))
-        files = [i for i in infos if i.is_file and not i.base_name.startswith(("_", "."))]
+        files = []
+        for entry in _entries(store, root):
+            if entry.base_name.startswith(WRITE_PREFIX) and not entry.is_file:
+                inside = {i.base_name: i for i in _entries(store, entry.path)}
+                if LISTED in inside:
+                    with store.open_input_file(inside[LISTED].path) as source:
+                        files += [inside[name] for name in json.loads(source.read())]
+            elif entry.is_file and not entry.base_name.startswith(("_", ".")):
+                files.append(entry)
         return [
             ByteRange(i.path, at, min(at + self.range_bytes, i.size))
             for i in sorted(files, key=lambda i: i.path)
             for at in range(0, i.size, self.range_bytes)
         ]
 
-    def read(self, partition: ByteRange) -> Iterator[tuple[str, str]]:
-        store, _ = _open(self.path)
+    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+        keys: list[str | None] = []
+        values: list[str | None] = []
+        for line in self._lines(partition):
+            key, tab, value = line.partition("\t")
+            if not tab:
+                raise ValueError(f"a record without a tab in {partition.path}: {line[:80]!r}")
+            keys.append(unescaped(key))
+            values.append(unescaped(value))
+            if len(keys) == BATCH_ROWS:
+                yield self._batch(keys, values)
+                keys, values = [], []
+        if keys:
+            yield self._batch(keys, values)
+
+    @staticmethod
+    def _batch(keys: list, values: list) -> pa.RecordBatch:
+        columns = [pa.array(keys, pa.string()), pa.array(values, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["key", "value"])
+
+    @staticmethod
+    def _lines(partition: ByteRange) -> Iterator[str]:
+        store, _ = _open(partition.path)
         with io.BufferedReader(store.open_input_file(partition.path), 1 << 20) as source:
             # A range owns the lines that begin in it.
             at = partition.start
@@ -75,36 +142,40 @@ class RecordReader(DataSourceReader):
                 if not line:
                     break
                 at += len(line)
-                key, tab, value = line.decode().rstrip("\n").partition("\t")
-                if tab:
-                    yield key, value
+                yield line.decode().rstrip("\n")
 
 
-class RecordWriter(DataSourceWriter):
-    """Tasks write hidden files, the commit gives them their names, so a lost task leaves nothing."""
+class RecordWriter(DataSourceArrowWriter):
+    """One folder per write; the list of its files makes it visible at once."""
 
-    def __init__(self, options: dict[str, str]):
-        self.path = options["path"]
+    def __init__(self, options: dict[str, str], overwrite: bool):
+        self.path, self.overwrite = options["path"], overwrite
+        self.folder = f"{WRITE_PREFIX}{uuid.uuid4().hex}"
 
-    def write(self, rows: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = _open(self.path)
-        store.create_dir(root, recursive=True)
-        name = uuid.uuid4().hex
-        staged, final = f"{root}/_{name}", f"{root}/part-{name}"
-        with store.open_output_stream(staged) as sink:
-            for row in rows:
-                sink.write(f"{row[0]}\t{row[1]}\n".encode())
-        return Written(staged, final)
+        store.create_dir(f"{root}/{self.folder}", recursive=True)
+        name = f"part-{uuid.uuid4().hex}"
+        with store.open_output_stream(f"{root}/{self.folder}/{name}") as sink:
+            for batch in iterator:
+                pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                sink.write("".join(f"{escaped(k)}\t{escaped(v)}\n" for k, v in pairs).encode())
+        return Written(name)
 
     def commit(self, messages: list[Written | None]) -> None:
-        store, _ = _open(self.path)
-        for message in filter(None, messages):
-            store.move(message.staged, message.final)
+        store, root = _open(self.path)
+        store.create_dir(f"{root}/{self.folder}", recursive=True)
+        earlier = [e for e in _entries(store, root) if e.base_name != self.folder]
+        with store.open_output_stream(f"{root}/{self.folder}/{LISTED}") as sink:
+            sink.write(json.dumps([m.name for m in messages if m]).encode())
+        if self.overwrite:
+            for entry in earlier:
+                (store.delete_file if entry.is_file else store.delete_dir)(entry.path)
 
     def abort(self, messages: list[Written | None]) -> None:
-        store, _ = _open(self.path)
-        for message in filter(None, messages):
-            store.delete_file(message.staged)
+        store, root = _open(self.path)
+        if any(e.base_name == self.folder for e in _entries(store, root)):
+            store.delete_dir(f"{root}/{self.folder}")
 
 
 class RecordSource(DataSource):
@@ -119,7 +190,7 @@ class RecordSource(DataSource):
         return RecordReader(self.options)
 
     def writer(self, schema: StructType, overwrite: bool) -> RecordWriter:
-        return RecordWriter(self.options)
+        return RecordWriter(self.options, overwrite)
 
 
 def register(spark) -> None:

@@ -40,12 +40,17 @@ def hash_entries(entries: DataFrame) -> DataFrame:
     return entries.select(F.concat(F.col("key"), F.lit("-"), F.col("value")).alias("entry"))
 
 
-def day_field(spark: SparkSession, path: str, day: str, field: str) -> DataFrame:
-    """One column of a day's table, empty when the day or table is missing (SRC-13)."""
+def day_field(
+    spark: SparkSession, path: str, day: str, field: str, kind: str = "string"
+) -> DataFrame:
+    """One column of a day's table, empty when the day or table is missing (SRC-13).
+
+    ``kind`` is the type of the field, for a table that is not there yet.
+    """
     try:
         table = spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"`{field}` string")
+        return spark.createDataFrame([], f"`{field}` {kind}")
     return table.where(F.col("dt") == day).select(field)

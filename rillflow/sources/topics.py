@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
+from rillflow.functions import compute_once
 from rillflow.schemas import texts
 from rillflow.sources.files import parse_lines
 
@@ -48,19 +49,27 @@ def read_topic(
     )
 
 
-def csv_topic(messages: DataFrame, schema: StructType, name: str | None = None) -> DataFrame:
-    """Records of a topic in CSV form, optionally registered by name (SRC-07)."""
-    records, _ = parse_lines(messages, schema)
+def csv_topic(
+    messages: DataFrame, schema: StructType, name: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Records of a topic in CSV form and its other messages (SRC-07).
+
+    The records are optionally registered by name.
+    """
+    records, rejects = parse_lines(messages, schema)
     if name:
         records.createOrReplaceTempView(name)
-    return records
+    return records, rejects
 
 
-def decode(messages: DataFrame, schema: StructType, zero_numbers: bool = False) -> DataFrame:
-    """JSON messages as typed records (PIP-07).
+def decode(
+    messages: DataFrame, schema: StructType, zero_numbers: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """JSON messages as typed records, and the messages that are none (PIP-07).
 
-    Numbers are read as text and cast, so quoted numbers are numbers too. With
-    ``zero_numbers`` an absent number is 0.
+    Numbers are read as text and cast, so quoted numbers are numbers too; other text in their
+    place is null. With ``zero_numbers`` an absent number is 0. A message that is null or not a
+    JSON object is rejected as it came.
     """
     numeric = (LongType, DoubleType)
     as_text = StructType.fromDDL(
@@ -69,11 +78,18 @@ def decode(messages: DataFrame, schema: StructType, zero_numbers: bool = False)
             for f in schema.fields
         )
     )
-    parsed = messages.select(F.from_json("value", as_text).alias("r"))
+    # The parser turns broken text into a record of nulls, so what it could not read is kept.
+    unread = "_unread"
+    parser = StructType([*as_text.fields]).add(unread, "string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": unread}
+    parsed = compute_once(messages, "r", F.from_json("value", parser, options))
+    good = F.col("value").isNotNull() & F.col("r").isNotNull() & F.col(f"r.{unread}").isNull()
+    good &= F.ltrim("value").startswith("{")
+    rejects = parsed.where(~F.coalesce(good, F.lit(False))).select(*messages.columns)
     columns = []
     for f in schema.fields:
         column = F.col(f"r.{f.name}").try_cast(f.dataType)
         if zero_numbers and isinstance(f.dataType, numeric):
             column = F.coalesce(column, F.lit(0).cast(f.dataType))
         columns.append(column.alias(f.name))
-    return parsed.select(*columns)
+    return parsed.where(good).select(*columns), rejects

@@ -90,11 +90,11 @@ def bounded_lateness(df: DataFrame, time: str, seconds: int = 1) -> DataFrame:
 
 
 # Record of a running word count: one table, no days.
-COUNTS = struct(dt="string", word="string", cnt="bigint")
+COUNTS = struct(word="string", cnt="bigint")
 
 
 def counts_table(path: str) -> KeyedTable:
-    return KeyedTable(path, ("word",), COUNTS, ("cnt",))
+    return KeyedTable(path, ("word",), COUNTS, ("cnt",), day=None)
 
 
 def running_word_count(
@@ -104,11 +104,8 @@ def running_word_count(
     """Each batch upserts the words it changed (AGG-02)."""
     counted = word_count(lines, keep_empty=False)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(batch.withColumn("dt", F.lit("all")), batch_id)
-
     return start(
-        counted, checkpoint, write=write, mode="update", every=every, partitions=partitions
+        counted, checkpoint, write=table.write_batch, mode="update", every=every, partitions=partitions
     )
 
 

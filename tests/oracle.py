@@ -32,6 +32,9 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 def compare(df, db: duckdb.DuckDBPyConnection, sql: str) -> str:
     """Empty when equal, else what differs."""
     names = sorted(df.columns)
+    theirs = sorted(str(d[0]) for d in db.execute(f"SELECT * FROM ({sql}) LIMIT 0").description)
+    if names != theirs:
+        return f"columns {sorted(set(names) ^ set(theirs))} are on one side only"
     found = db.execute(f"SELECT {', '.join(chr(34) + n + chr(34) for n in names)} FROM ({sql})")
     theirs = [str(d[1]) for d in found.description]
     expected = Counter(found.fetchall())

@@ -42,7 +42,7 @@ def test_puts(people):
 
 
 def test_sorted_load(people, spark, tmp_path):
-    loaded = wc.sorted_load(people, "key", "info", 2)
+    loaded = wc.sorted_load(people, "key", "info")
     parts = loaded.withColumn("p", F.spark_partition_id()).collect()
     assert [(r.row_key, r.qualifier) for r in parts] == [
         ("38b101", "age"), ("38b101", "name"), ("ec8102", "age"), ("ec8102", "name"),
@@ -87,7 +87,7 @@ def test_split_keys_and_buckets(spark, cells):
         keyrange.split_keys(20, 10, "0", "10")
     df = spark.createDataFrame([("0",), ("3",), ("5",), ("95",)], "row_key string")
     assert rows(keyrange.bucket_counts(df, "row_key", ["3", "6", "9"])) == [(0, 1), (1, 2), (3, 1)]
-    cut = keyrange.bucketed(cells, ["rowKey2", "rowKey4"], 3)
+    cut = keyrange.bucketed(cells, ["rowKey2", "rowKey4"])
     assert {r.row_key: r.bucket for r in cut.collect()} == {"rowKey1": 0, "rowKey2": 1, "rowKey3": 1, "rowKey4": 2}
 
 
