@@ -45,7 +45,9 @@ TOKEN = re.compile(
     rf"|<({'|'.join(RAW.split())})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*>",
+    r"|<[!?/][^>]*>"
+    # A tag that the end of the page cuts off.
+    r"|</?[a-zA-Z][^<>]*\Z",
     re.DOTALL | re.IGNORECASE,
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
