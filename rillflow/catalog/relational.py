@@ -121,19 +121,16 @@ def side_output_low(t):
     return relational.threshold_split(readings(t), "temperature", 30)[1]
 
 
-@query(f"""WITH {READINGS}
-SELECT 'errors' AS tag, count(*) AS cnt FROM readings WHERE kind = 'error'
-UNION ALL SELECT 'hot', count(*) FROM readings WHERE temperature > 30
-UNION ALL SELECT 'cold', count(*) FROM readings WHERE temperature < 5""")
+@query(f"""WITH {READINGS}, tagged AS (
+  SELECT 'errors' AS tag FROM readings WHERE kind = 'error'
+  UNION ALL SELECT 'hot' FROM readings WHERE temperature > 30
+  UNION ALL SELECT 'cold' FROM readings WHERE temperature < 5)
+SELECT tag, count(*) AS cnt FROM tagged GROUP BY tag""")
 def tagged_split(t):
     """FLT-15: branches by tag, a row may be in several."""
     kind, heat = F.col("kind"), F.col("temperature")
-    parts = relational.split_by(readings(t), errors=kind == "error", hot=heat > 30, cold=heat < 5)
-    counted = [
-        part.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(tag).alias("tag"), "cnt")
-        for tag, part in parts.items()
-    ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    found = relational.tagged(readings(t), errors=kind == "error", hot=heat > 30, cold=heat < 5)
+    return found.groupBy("tag").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")

@@ -8,7 +8,7 @@ from rillflow.catalog import records
 from rillflow.catalog.records import AS_OF, DIM_TABLES, FACT_TABLES, READINGS, Tables
 from rillflow.catalog.registry import query
 from rillflow.catalog.timeline import COUNT_WINDOWS, JUMPS, RISES, SESSIONS, WAIT
-from rillflow.catalog.warehouse import CHANGES, DAU
+from rillflow.catalog.warehouse import CHANGES, DAU, MESSAGE_FIELDS, message_fields
 from rillflow.operators import relational
 from rillflow.plans import change_split, daily_users, log_split, order_wide
 from rillflow.schemas import DAU_INFO, SENSOR, struct
@@ -20,18 +20,45 @@ from rillflow.streaming import jobs, state
 HOUR = 3600
 
 
+BATCHES = 3
+# The column whose order the rows of a table arrive in.
+ARRIVAL = {
+    "events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate",
+    "conversations": "conv_id", "customer": "c_custkey", "supplier": "s_suppkey",
+}
+
+
 class StreamedTables(Tables):
-    """The same tables, with the named ones read as streams."""
+    """The same tables, with the named ones read as streams of several batches.
+
+    A table arrives in slices by time or key. Each slice is written after the one before, and the
+    source takes a slice's files at a time.
+    """
 
     def __init__(self, t: Tables, *streamed: str):
         super().__init__(t.spark, t.folder)
-        self.streamed = streamed
+        self.streamed = {name: scratch_path(t.spark, name) for name in streamed}
+        self.arrived = 0
+        self.arrive(BATCHES)
+
+    def arrive(self, slices: int) -> None:
+        """Write the next slices of every streamed table."""
+        for name, path in self.streamed.items():
+            table = self.spark.read.parquet(self.path(name))
+            at = F.col(ARRIVAL[name])
+            order = at if dict(table.dtypes)[ARRIVAL[name]] == "bigint" else F.unix_seconds(at.cast("timestamp"))
+            shares = [i / BATCHES for i in range(1, BATCHES)]
+            cuts = table.agg(F.percentile_approx(order, shares)).first()[0] or []
+            number = sum((order > cut).cast("int") for cut in cuts) if cuts else F.lit(0)
+            for i in range(self.arrived, min(self.arrived + slices, BATCHES)):
+                part = table.where(F.coalesce(number, F.lit(0)) == i)
+                part.coalesce(1).write.mode("append").parquet(path)
+        self.arrived += slices
 
     def __getattr__(self, name: str) -> DataFrame:
         table = super().__getattr__(name)
         if name in self.streamed:
-            # A pattern, because a stream refuses the path of a single file.
-            return jobs.file_stream(self.spark, self.path(name) + "*", table.schema)
+            return jobs.file_stream(self.spark, self.streamed[name], table.schema, files_per_batch=1)
         return table
 
 
@@ -60,7 +87,7 @@ def stream_word_count(t):
         lines, f"{root}/checkpoint", table, every=None,
         partitions=state_partitions(t.conversations),
     ).awaitTermination()
-    return table.read(t.spark).drop("dt")
+    return table.read(t.spark)
 
 
 @query(f"""WITH {READINGS}, counted AS (
@@ -72,6 +99,20 @@ def stream_tumbling(t):
     return _saved(t, jobs.window_stream(rows, ["id"], "ts", HOUR), "tumbling", t.events)
 
 
+@query(f"""WITH {READINGS}, counted AS (
+  SELECT id, ms - ms % 3600000 AS window_start, count(*) AS cnt FROM readings GROUP BY ALL)
+SELECT * FROM counted WHERE window_start + 3600000 <= (SELECT max(ms) - 1000 FROM readings)""")
+def stream_resumed(t):
+    """STR-08, SRC-06: a query that ends and goes on from its saved progress with what came since."""
+    s, root = StreamedTables(t), scratch_path(t.spark, "resumed")
+    s.streamed, s.arrived = {"events": f"{root}/events"}, 0
+    for _ in range(BATCHES):
+        s.arrive(1)
+        rows = jobs.window_stream(records.readings(s).select("id", "ts"), ["id"], "ts", HOUR)
+        jobs.run(rows, f"{root}/checkpoint", path=f"{root}/table", partitions=state_partitions(t.events))
+    return t.spark.read.schema("id string, window_start bigint, cnt bigint").parquet(f"{root}/table")
+
+
 @query(f"""WITH {READINGS}, reduced AS (
   SELECT id, ms - ms % 3600000 AS window_start, max("timestamp") AS "timestamp",
          min(temperature) AS temperature FROM readings GROUP BY ALL)
@@ -90,7 +131,8 @@ def stream_session(t):
     return _saved(t, jobs.session_stream(rows, ["id"], "ts", 6 * HOUR), "sessions", t.events)
 
 
-def _keyed(t: Tables, processor, event_time: bool = False) -> DataFrame:
+def _keyed(t: Tables, processor, event_time: bool = False, latest: bool = False) -> DataFrame:
+    """What a processor sends; with ``latest`` only the last row of every id counts."""
     rows = records.readings(StreamedTables(t, "events")).select("id", "ts", "seq", "temperature")
     rows = jobs.bounded_lateness(rows, "ts") if event_time else _instants(rows)
     states = state.keyed(rows, processor, event_time)
@@ -105,6 +147,8 @@ def _keyed(t: Tables, processor, event_time: bool = False) -> DataFrame:
         partitions=state_partitions(t.events),
     )
     schema = T.StructType.fromDDL(processor.schema)
+    if latest:
+        return KeyedTable(f"{root}/table", ("id",), schema, ("cnt",), day=None).read(t.spark)
     return t.spark.read.schema(schema).parquet(f"{root}/table").select(*schema.fieldNames())
 
 
@@ -151,12 +195,13 @@ def stream_changelog(t):
 FROM readings GROUP BY id""")
 def stream_reading_states(t):
     """STA-05."""
-    return _keyed(t, state.ReadingStates(3))
+    return _keyed(t, state.ReadingStates(3), latest=True)
 
 
-@query(f"WITH {READINGS} SELECT id, \"timestamp\", temperature FROM readings WHERE temperature > 30")
+@query(f"""WITH {READINGS} SELECT id, "timestamp", temperature, coalesce(temperature > 30, false) AS high
+FROM readings""")
 def stream_side_output(t):
-    """FLT-14: one pass, two tables; the main one is read."""
+    """FLT-14: one pass, two tables; both are read."""
     rows = records.readings(StreamedTables(t, "events")).select(*SENSOR.fieldNames())
     root = scratch_path(t.spark, "sides")
 
@@ -165,18 +210,15 @@ def stream_side_output(t):
         return {"high": high, "low": low}
 
     jobs.run(rows, f"{root}/checkpoint", write=jobs.branch_tables(split, f"{root}/tables"))
-    high = t.spark.read.schema(SENSOR).parquet(f"{root}/tables/high")
-    return high.select(*SENSOR.fieldNames())
-
-
-@query("""SELECT topic, count(*) AS cnt FROM events JOIN (VALUES
-  ('error', 'DWD_ERROR_LOG_TOPIC_1018'), ('signup', 'DWD_START_LOG_TOPIC_1018'),
-  ('view', 'DWD_PAGE_LOG_TOPIC_1018'), ('view', 'DWD_PAGE_DISPLAY_TOPIC_1018'),
-  ('view', 'DWD_PAGE_DISPLAY_TOPIC_1018'), ('click', 'DWD_PAGE_LOG_TOPIC_1018'),
-  ('click', 'DWD_PAGE_ACTION_TOPIC_1018'), ('purchase', 'DWD_PAGE_LOG_TOPIC_1018'),
-  ('purchase', 'DWD_PAGE_DISPLAY_TOPIC_1018'), ('purchase', 'DWD_PAGE_ACTION_TOPIC_1018'),
-  ('purchase', 'DWD_PAGE_ACTION_TOPIC_1018')) AS m(kind, topic) ON event_type = kind
-GROUP BY topic""")
+    sides = [
+        t.spark.read.schema(SENSOR).parquet(f"{root}/tables/{side}")
+        .select(*SENSOR.fieldNames(), F.lit(side == "high").alias("high"))
+        for side in ("high", "low")
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+@query(MESSAGE_FIELDS)
 def stream_log_split(t):
     """PIP-01, SNK-02: files laid out by topic."""
     split = log_split.split_messages(records.log_lines(StreamedTables(t, "events")))
@@ -185,16 +227,19 @@ def stream_log_split(t):
     query = stream_messages(split, f"{root}/checkpoint", "parquet", f"{root}/table", every=None)
     query.awaitTermination()
     topics = t.spark.read.schema("value string, topic string").parquet(f"{root}/table")
-    return topics.groupBy("topic").agg(F.count("value").alias("cnt"))
+    return message_fields(topics)
 
 
 DIMENSION = struct(dim_key="string", table_name="string", id="string", value="string", seq="bigint")
 
 
-@query(f"""WITH {CHANGES} SELECT concat(upper(tab), ':', id) AS dim_key, upper(tab) AS table_name, id,
-       data AS value FROM changes WHERE tab = 'user_info' AND op IS NOT NULL""")
+@query(f"""WITH {CHANGES}
+SELECT upper(tab) AS target, concat(upper(tab), ':', id) AS key, data AS value
+FROM changes WHERE tab = 'user_info' AND op IS NOT NULL
+UNION ALL SELECT concat('DWD_', upper(tab), '_', op, '_1018'), NULL, data
+FROM changes WHERE tab = 'order_info' AND op IS NOT NULL""")
 def stream_change_split(t):
-    """PIP-04, SNK-10: facts to topics, dimensions to a keyed table; the latter is read."""
+    """PIP-04, SNK-10: facts to topics, dimensions to a keyed table; both are read."""
     root = scratch_path(t.spark, "changes")
     lists = {"facts": FACT_TABLES, "dims": DIM_TABLES}
     for name, tables in lists.items():
@@ -205,7 +250,13 @@ def stream_change_split(t):
     )
     lines = records.change_lines(StreamedTables(t, "orders", "customer", "supplier"))
     jobs.run(lines, f"{root}/checkpoint", write=write)
-    return dims.read(t.spark).drop("seq")
+    known = dims.read(t.spark).select(
+        F.col("table_name").alias("target"), F.col("dim_key").alias("key"), "value"
+    )
+    facts = t.spark.read.schema("value string, topic string").parquet(f"{root}/topics")
+    return known.unionByName(
+        facts.select(F.col("topic").alias("target"), F.lit(None).cast("string").alias("key"), "value")
+    )
 
 
 @query(f"WITH {DAU} SELECT * FROM dau")

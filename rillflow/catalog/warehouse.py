@@ -68,18 +68,49 @@ def log_split_error(t):
     )
 
 
-@query("""SELECT topic, count(*) AS cnt FROM events JOIN (VALUES
-  ('error', 'DWD_ERROR_LOG_TOPIC_1018'), ('signup', 'DWD_START_LOG_TOPIC_1018'),
-  ('view', 'DWD_PAGE_LOG_TOPIC_1018'), ('view', 'DWD_PAGE_DISPLAY_TOPIC_1018'),
-  ('view', 'DWD_PAGE_DISPLAY_TOPIC_1018'), ('click', 'DWD_PAGE_LOG_TOPIC_1018'),
-  ('click', 'DWD_PAGE_ACTION_TOPIC_1018'), ('purchase', 'DWD_PAGE_LOG_TOPIC_1018'),
-  ('purchase', 'DWD_PAGE_DISPLAY_TOPIC_1018'), ('purchase', 'DWD_PAGE_ACTION_TOPIC_1018'),
-  ('purchase', 'DWD_PAGE_ACTION_TOPIC_1018')) AS m(kind, topic) ON event_type = kind
-GROUP BY topic""")
+# The messages of all topics, read back field by field; ``part`` is what sets a topic apart.
+MESSAGE_FIELDS = f"""WITH {PAGE_VIEWS}, acts(kind, part) AS (
+  VALUES ('click', 'open'), ('purchase', 'cart'), ('purchase', 'pay')), parts AS (
+  SELECT 'DWD_PAGE_LOG_TOPIC_1018' AS topic, page_views.*, CAST(NULL AS VARCHAR) AS part
+  FROM page_views WHERE page_id IN ('view', 'click', 'purchase')
+  UNION ALL SELECT 'DWD_PAGE_DISPLAY_TOPIC_1018', page_views.*, part
+  FROM page_views, (VALUES ('1'), ('2')) AS d(part)
+  WHERE page_id = 'view' OR (page_id = 'purchase' AND part = '1')
+  UNION ALL SELECT 'DWD_PAGE_ACTION_TOPIC_1018', page_views.*, part
+  FROM page_views JOIN acts ON page_id = kind
+  UNION ALL SELECT 'DWD_START_LOG_TOPIC_1018', page_views.*, 'icon' FROM page_views
+  WHERE page_id = 'signup')
+SELECT topic, mid, user_id, brand,
+  CASE WHEN topic NOT LIKE '%START%' THEN page_id END AS page_id,
+  CASE WHEN topic NOT LIKE '%START%' THEN page_item END AS page_item,
+  CASE WHEN topic NOT LIKE '%START%' THEN during_time END AS during_time, part, ts FROM parts
+UNION ALL
+SELECT 'DWD_ERROR_LOG_TOPIC_1018', NULL, NULL, NULL, NULL, NULL, NULL,
+  json_extract_string(props, '$.k'), epoch_us(ts) // 1000 FROM events WHERE event_type = 'error'"""
+
+
+def message_fields(messages_):
+    """Topic and fields of the log messages (topic, value)."""
+    error = F.col("topic").contains("ERROR")
+
+    def field(name):
+        return F.when(~error, F.get_json_object("value", f"$.{name}"))
+
+    part = F.coalesce(
+        F.get_json_object("value", "$.display_order"), F.get_json_object("value", "$.action_id"),
+        F.get_json_object("value", "$.entry"), F.get_json_object("value", "$.err.code"),
+    )
+    return messages_.select(
+        "topic", *[field(n).alias(n) for n in ("mid", "user_id", "brand", "page_id", "page_item")],
+        field("during_time").cast("bigint").alias("during_time"), part.alias("part"),
+        F.get_json_object("value", "$.ts").cast("bigint").alias("ts"),
+    )
+
+
+@query(MESSAGE_FIELDS)
 def log_split_messages(t):
     """PIP-01 as one pass over the lines, SNK-02."""
-    split = log_split.split_messages(log_lines(t))
-    return split.groupBy("topic").agg(F.count("value").alias("cnt"))
+    return message_fields(log_split.split_messages(log_lines(t)))
 
 
 @query(f"""WITH {PAGE_VIEWS} SELECT 'pages' AS topic, mid AS key,

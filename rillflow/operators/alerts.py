@@ -151,5 +151,5 @@ def _chain(runs: OrderedKeys, key: str, wait: int) -> DataFrame:
     about = runs.hot.groupBy(F.col(HOT_ID).alias("run_id")).agg(
         F.first(key).alias(key), F.max("run_end").alias("run_end")
     )
-    named = reached.join(F.broadcast(about), "run_id")
+    named = reached.join(about, "run_id")
     return named.select(key, "run_end", F.col("at").alias("armed_at"))

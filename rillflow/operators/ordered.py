@@ -74,7 +74,7 @@ class OrderedKeys:
         same = reduce(
             Column.__and__, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
         )
-        tagged = df.join(F.broadcast(renamed), same, "left").drop(*[f"_h_{k}" for k in keys])
+        tagged = df.join(renamed, same, "left").drop(*[f"_h_{k}" for k in keys])
         slices = max(2, math.ceil(sum(r["count"] for r in heavy) / limit))
         checkpoint_root(spark)
         # The bounds of a range partitioning are sampled, so the slices are fixed by a
@@ -179,4 +179,4 @@ class OrderedKeys:
 
     def _carry(self, hot: DataFrame, per_slice: DataFrame) -> DataFrame:
         # One row per (hot key, slice): bounded by slices + hot keys, never by the data.
-        return hot.join(F.broadcast(per_slice), [HOT_ID, SLICE], "left")
+        return hot.join(per_slice, [HOT_ID, SLICE], "left")

@@ -35,7 +35,7 @@ def parsed(lines: DataFrame, text: str = "value") -> DataFrame:
     log = F.from_json("line", schema, {"columnNameOfCorruptRecord": BAD})
     kind = (
         F.when(F.col(f"log.{BAD}").isNotNull(), "reject")
-        .when(F.get_json_object("line", "$.err").isNotNull(), "error")
+        .when(F.col("log.err").isNotNull(), "error")
         .when(F.col("log.common").isNotNull(), "log")
         .otherwise("reject")
     )

@@ -91,6 +91,8 @@ LOG_LINE = struct(
     displays=T.ArrayType(texts("display_type item item_type order pos_id")),
     actions=T.ArrayType(texts("action_id item item_type ts")),
     start=texts("entry loading_time open_ad_id open_ad_ms open_ad_skip_ms"),
+    # Of any shape, kept as text.
+    err="string",
 )
 
 # Database change event; `data` stays text because its shape depends on the table.
