@@ -61,7 +61,7 @@ def repeated_words(words: Column) -> Column:
 
 def word_lines(text: Column) -> Column:
     """The lines of a text that hold a word."""
-    return F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0)
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
 
 def base_rules(docs: DataFrame) -> DataFrame:

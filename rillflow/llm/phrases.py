@@ -16,7 +16,8 @@ A window of 13 words goes wherever its words also start in a document with a sma
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.arrow import byte_texts, map_batches
 from rillflow.llm.filters import bitmap, passing, row_slot
+from rillflow.llm.scratch import saved
 from rillflow.llm.words import Hasher, windows
 from rillflow.llm.worker import kept
-from rillflow.session import scratch_path
 
 WIDTH = 13
 GRAM = 5
@@ -39,9 +40,11 @@ FINGERPRINT_BITS = 48
 FILTER_BITS = 1 << 25
 ROW_FILTER_BITS = 1 << 23
 # Windows of one automaton, pattern words of a shard, and streamed words of a split.
-AUTOMATON_WINDOWS = 100_000
+AUTOMATON_WINDOWS = 50_000
 SHARD_WORDS = 200_000
-SPLIT_WORDS = 2_000_000
+SPLIT_WORDS = 1_000_000
+# Where the two alphabets of a shard begin, below and above the surrogates.
+HIGH_CHARS, LOW_CHARS = 0x100, 0x10000
 
 
 def fingerprints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,25 +230,46 @@ def first_passages(owned: DataFrame, confirmed: DataFrame) -> DataFrame:
     return map_batches(pieces.join(lists, F.col("doc_id") == F.col("first")), work, PASSAGE)
 
 
-def _automata(passages: pd.DataFrame, numbered: dict[bytes, int]) -> Iterator:
-    """Automata over the windows of passages, each of a bounded number of windows."""
+class _Lexicon:
+    """Words of a shard as pairs of characters.
+
+    An automaton searches the children of a node one by one, and a node has as many as there are
+    words that can follow. Two characters from small alphabets keep that number near the square
+    root, and as the alphabets differ, a match can only begin where a word does.
+    """
+
+    def __init__(self, words: Iterable[bytes]):
+        numbered = {w: i for i, w in enumerate(dict.fromkeys(words), 1)}
+        base = int(len(numbered) ** 0.5) + 2
+        self._pairs = {
+            w: chr(HIGH_CHARS + i // base) + chr(LOW_CHARS + i % base) for w, i in numbered.items()
+        }
+        self._other = chr(HIGH_CHARS) + chr(LOW_CHARS)
+
+    def text(self, words: list[bytes]) -> str:
+        pairs, other = self._pairs, self._other
+        return "".join([pairs.get(w, other) for w in words])
+
+
+def _automata(passages: list[tuple[int, list[bytes]]], lexicon: _Lexicon) -> Iterator:
+    """Automata over the windows of passages, each of a bounded number of windows.
+
+    The value of a window is the first of the documents that have it.
+    """
     import ahocorasick
 
-    made = None
-    for first, data in sorted(zip(passages["first"], passages["passage"])):
-        ids = [numbered.setdefault(w, len(numbered) + 1) for w in _words(data)]
-        for i in range(len(ids) - WIDTH + 1):
-            if made is None:
-                made = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-            window = tuple(ids[i : i + WIDTH])
-            # Passages come in order of their documents, so the first one stays.
-            if not made.exists(window):
-                made.add_word(window, int(first))
-                if len(made) >= AUTOMATON_WINDOWS:
-                    yield made
-                    made = None
-    if made is not None:
-        yield made
+    firsts: dict[str, int] = {}
+    for first, words in sorted(passages, key=lambda p: p[0]):
+        text = lexicon.text(words)
+        for i in range(0, len(text) - 2 * WIDTH + 1, 2):
+            firsts.setdefault(text[i : i + 2 * WIDTH], first)
+    windows_left = iter(firsts.items())
+    while chunk := list(islice(windows_left, AUTOMATON_WINDOWS)):
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for window, first in chunk:
+            automaton.add_word(window, first)
+        automaton.make_automaton()
+        yield automaton
 
 
 COVERED = "doc_id bigint, key bigint, begin bigint, end bigint"
@@ -255,14 +279,13 @@ def locate(key, passages: pd.DataFrame, stretches: pd.DataFrame) -> pd.DataFrame
     """Ranges of words of a shard's stretches that windows of smaller documents cover."""
     rows: list[tuple[int, int, int, int]] = []
     if len(passages) and len(stretches):
-        numbered: dict[bytes, int] = {}
-        for automaton in _automata(passages, numbered):
-            automaton.make_automaton()
-            for doc, name, start, data in zip(
-                stretches["doc_id"], stretches["key"], stretches["start"], stretches["words"]
-            ):
-                ids = tuple(numbered.get(w, 0) for w in _words(data))
-                ends = [end for end, first in automaton.iter(ids) if first < doc]
+        known = [(int(f), _words(x)) for f, x in zip(passages["first"], passages["passage"])]
+        lexicon = _Lexicon(w for _, words in known for w in words)
+        texts = [lexicon.text(_words(x)) for x in stretches["words"]]
+        names = list(zip(stretches["doc_id"], stretches["key"], stretches["start"]))
+        for automaton in _automata(known, lexicon):
+            for text, (doc, name, start) in zip(texts, names):
+                ends = [end >> 1 for end, first in automaton.iter(text) if first < doc]
                 for begin, end in _runs(np.array(ends, np.int64) - WIDTH + 1, WIDTH):
                     rows.append((doc, name, start + begin, start + end))
     return pd.DataFrame(rows, columns=["doc_id", "key", "begin", "end"])
@@ -319,14 +342,14 @@ def remove_repeated(spark: SparkSession, docs: DataFrame, with_text: bool = True
         .groupBy("fp").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
         .where(F.col("owner") < F.col("last")).select("fp", "owner")
     )
-    owners = _saved(spark, owners, "owners")
+    owners = saved(spark, owners, "owners")
     seen = bitmap(owners.select("fp"), FILTER_BITS)
-    stretches = _saved(spark, candidate_stretches(usable, seen), "stretches")
-    owned = _saved(spark, owned_stretches(stretches, owners, copies), "owned")
-    passages = _saved(spark, first_passages(owned, confirmed_windows(owned)), "passages")
+    stretches = saved(spark, candidate_stretches(usable, seen), "stretches")
+    owned = saved(spark, owned_stretches(stretches, owners, copies), "owned")
+    passages = saved(spark, first_passages(owned, confirmed_windows(owned)), "passages")
     ranges = covered_ranges(owned, passages)
     whole = copies.select("doc_id", "key", F.lit(0).alias("begin"), F.lit(-1).alias("end"))
-    changes = _saved(spark, ranges.unionByName(whole), "ranges")
+    changes = saved(spark, ranges.unionByName(whole), "ranges")
 
     touched = changes.groupBy("doc_id", "key").agg(
         F.collect_list(F.struct("begin", "end")).alias("ranges")
@@ -335,13 +358,6 @@ def remove_repeated(spark: SparkSession, docs: DataFrame, with_text: bool = True
     return _finished(named, touched, slots, with_text)
 
 
-def _saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """A table written to the shared folder and read again."""
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm.linefreq import SPACES, text_words, word_lines
-from rillflow.session import scratch_path
+from rillflow.llm.linefreq import word_lines
+from rillflow.llm.scratch import saved
 
 DEPTH = 4
 # A template recurs in this many different texts; exact copies of a text count once.
@@ -20,7 +20,9 @@ TEXTS = 20
 # Share of constant words among those without a digit that a template must have.
 CONSTANT = 0.85
 FIELD = "<*>"
-COUNTS = ("n_lines", "n_dropped", "n_dropped_words", "n_left_words")
+COUNTS = ("n_lines", "n_dropped", "n_dropped_words")
+# A table of at most so many small rows may be sent to every executor.
+BROADCAST_ROWS = 500_000
 
 
 def _row(df: DataFrame) -> DataFrame:
@@ -33,8 +35,10 @@ def _row(df: DataFrame) -> DataFrame:
 
 def masked(line: Column) -> Column:
     """A line with single spaces and a field in place of every word with a digit."""
-    plain = F.trim(F.regexp_replace(line, SPACES, " "))
-    return F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", FIELD)
+    blank = F.trim(F.translate(line, "\t\x0b\x0c\r", "    "))
+    plain = F.when(blank.contains("  "), F.regexp_replace(blank, " +", " ")).otherwise(blank)
+    fields = F.regexp_replace(plain, "[^ 0-9]*[0-9][^ ]*", FIELD)
+    return F.when(plain.rlike("[0-9]"), fields).otherwise(plain)
 
 
 def masked_lines(docs: DataFrame) -> DataFrame:
@@ -43,28 +47,40 @@ def masked_lines(docs: DataFrame) -> DataFrame:
         "_row", "_key", "doc_id", F.posexplode(F.split("_text", "\n")).alias("line_no", "raw")
     )
     lines = split.withColumn("masked", masked(F.col("raw"))).where("masked <> ''")
-    tokens = F.split("masked", " ")
-    return lines.withColumn("_tokens", tokens).select(
-        "_row", "_key", "doc_id", "line_no", "masked", F.size("_tokens").alias("n"),
-        F.xxhash64(F.size("_tokens"), F.slice("_tokens", 1, DEPTH)).alias("leaf"),
+    text = F.col("masked")
+    n = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+    fields = F.size(F.filter(F.split(text, " "), lambda t: t == FIELD))
+    return lines.withColumn("n", n).select(
+        "_row", "_key", "doc_id", "line_no", "masked", "n",
+        F.xxhash64("n", F.substring_index("masked", " ", DEPTH)).alias("leaf"),
         F.xxhash64("masked").alias("line"),
-        F.size(F.filter("_tokens", lambda t: t != FIELD)).alias("worded"),
+        F.when(text.contains(FIELD), F.col("n") - fields).otherwise(F.col("n")).alias("worded"),
     )
 
 
-def line_templates(lines: DataFrame, narrow: DataFrame, texts: int = TEXTS) -> DataFrame:
+def _checked(table: DataFrame, rows: int) -> DataFrame:
+    """A saved table, marked for broadcast as long as it is small; joins work either way."""
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+
+def line_templates(
+    spark: SparkSession, lines: DataFrame, narrow: DataFrame, texts: int = TEXTS
+) -> DataFrame:
     """The templates of lines longer than the tree is deep, in leaves that recur.
 
     Gives (leaf, line, template) where enough of the line is constant.
     """
-    leaves = (
+    leaves = saved(spark, 
         narrow.where(F.col("n") > DEPTH).select("leaf", "_key").distinct()
-        .groupBy("leaf").count().where(F.col("count") >= texts).select("leaf")
+        .groupBy("leaf").count().where(F.col("count") >= texts).select("leaf"),
+        "leaves",
     )
-    held = (
-        lines.where(F.col("n") > DEPTH).join(leaves, "leaf", "left_semi")
+    held = saved(
+        spark,
+        lines.where(F.col("n") > DEPTH).join(_checked(leaves, leaves.count()), "leaf", "left_semi")
         .select("leaf", "line", "masked", "worded", "_key").distinct()
-        .groupBy("leaf", "line", "masked", "worded").agg(F.count("*").alias("texts"))
+        .groupBy("leaf", "line", "masked", "worded").agg(F.count("*").alias("texts")),
+        "held",
     )
     words = held.select(
         "leaf", "line", "worded", "texts", F.posexplode(F.split("masked", " ")).alias("pos", "word")
@@ -98,11 +114,8 @@ def drop_recurring_lines(
     An empty table gives an empty one.
     """
     lines = masked_lines(docs.select("doc_id", "text"))
-    path = scratch_path(spark, "lines")
-    lines.drop("masked").write.parquet(path)
-    narrow = spark.read.parquet(path)
-
-    long = line_templates(lines, narrow, texts)
+    narrow = saved(spark, lines.drop("masked"), "lines")
+    long = line_templates(spark, lines, narrow, texts)
     short = F.when((F.col("n") <= DEPTH) & (F.col("worded") > 0), F.xxhash64("leaf", "line"))
     named = (
         narrow.join(long, ["leaf", "line"], "left")
@@ -116,19 +129,22 @@ def drop_recurring_lines(
         .groupBy("template").agg(F.count("*").alias("found"), F.min("doc_id").alias("first"))
         .where(F.col("found") >= texts).select("template", "first")
     )
-    dropped = (
+    dropped = saved(
+        spark,
         named.join(recurring, "template")
         .where(~F.col("doc_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull())
         .select("_row", "line_no", "n").distinct()
         .groupBy("_row").agg(
             F.collect_list("line_no").alias("_dropped"), F.sum("n").alias("_lost")
-        )
+        ),
+        "dropped",
     )
+    places = dropped.agg(F.coalesce(F.sum(F.size("_dropped")), F.lit(0))).first()[0]
     others = [c for c in docs.columns if c not in ("doc_id", "text", *COUNTS)]
     own = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("_other"))
     if not others:
         own = docs.select("doc_id", "text")
-    rows = _row(own).join(dropped, "_row", "left")
+    rows = _row(own).join(_checked(dropped, places), "_row", "left")
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     rest = F.array_join(F.transform(left, lambda i: F.get(F.col("_lines"), i)), "\n")
     gone = F.col("_dropped").isNotNull()
@@ -139,10 +155,7 @@ def drop_recurring_lines(
         F.coalesce(F.size("_dropped"), F.lit(0)).cast("bigint").alias("n_dropped"),
         F.coalesce("_lost", F.lit(0)).cast("bigint").alias("n_dropped_words"),
     )
-    words = F.size(text_words(F.col("text"))).cast("bigint")
-    return counts.withColumn("n_left_words", words).select(
-        "doc_id", "text", *([F.col("_other.*")] if others else []), *COUNTS
-    )
+    return counts.select("doc_id", "text", *([F.col("_other.*")] if others else []), *COUNTS)
 
 
 # The same rules for DuckDB.
@@ -195,8 +208,7 @@ SELECT l.doc_id,
   coalesce(string_agg(raw, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL), '') AS text,
   count(*) FILTER (regexp_matches(raw, '[^\x20\x09-\x0D]')) AS n_lines,
   count(gone.i) AS n_dropped,
-  CAST(coalesce(sum(words) FILTER (gone.i IS NOT NULL), 0) AS BIGINT) AS n_dropped_words,
-  CAST(coalesce(sum(words) FILTER (gone.i IS NULL), 0) AS BIGINT) AS n_left_words
+  CAST(coalesce(sum(words) FILTER (gone.i IS NOT NULL), 0) AS BIGINT) AS n_dropped_words
 FROM (
   SELECT *, len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words FROM l
 ) l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.t = gone.t AND l.i = gone.i
