@@ -108,16 +108,21 @@ def full_window(
     stamped = df.withColumn("window_start", millis(window_of(time, size)["start"]))
     group = [*keys, "window_start"]
 
+    def plain(rows: pd.DataFrame) -> pd.DataFrame:
+        """Texts as plain objects: joined frames hold them in pieces, which Arrow refuses."""
+        texts = {c: object for c, kind in rows.dtypes.items() if pd.api.types.is_string_dtype(kind)}
+        return rows.astype(texts)
+
     def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
             found = partial(batch, group)
             held = found if held is None else merge(pd.concat([held, found]), group)
             if len(held) > 100_000:
-                yield held
+                yield plain(held)
                 held = None
         if held is not None:
-            yield held
+            yield plain(held)
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -126,9 +131,9 @@ def full_window(
             mine, end = found[group], batch[group].iloc[-1]
             last = ((mine == end) | (mine.isna() & end.isna())).all(axis=1)
             held = found[last]
-            yield found[~last]
+            yield plain(found[~last])
         if held is not None:
-            yield held
+            yield plain(held)
 
     partials = stamped.mapInPandas(shrink, schema)
     together = partials.repartition(*group).sortWithinPartitions(*group)
