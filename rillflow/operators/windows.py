@@ -109,9 +109,9 @@ def full_window(
     group = [*keys, "window_start"]
 
     def plain(rows: pd.DataFrame) -> pd.DataFrame:
-        """Texts as plain objects: joined frames hold them in pieces, which Arrow refuses."""
-        texts = {c: object for c, kind in rows.dtypes.items() if pd.api.types.is_string_dtype(kind)}
-        return rows.astype(texts)
+        """Columns of nulls alone as nulls of any type: pandas makes them numbers."""
+        missing = [c for c in rows.columns if rows[c].isna().all()]
+        return rows.assign(**{c: pd.Series([None] * len(rows), rows.index, object) for c in missing})
 
     def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
