@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import oddsketch, packing, passages, seeds, templates, tokens
+from rillflow.llm import linefreq, oddsketch, packing, passages, seeds, templates, tokens
 from rillflow.session import configure, scratch_path
 
 
@@ -28,10 +28,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     changed = templates.drop_recurring_lines(spark, docs)
     lost = F.col("n_dropped_words")
-    left = F.col("n_left_words")
-    emptied = (F.col("n_dropped") > 0) & (left == 0)
-    depleted = (lost > left) & (lost >= 30)
-    return changed.where(~emptied & ~depleted).select(
+    words = F.when(lost > 0, F.size(linefreq.text_words(F.col("text")))).otherwise(1)
+    left = changed.withColumn("_left", words)
+    emptied = F.col("_left") == 0
+    depleted = (lost > F.col("_left")) & (lost >= 30)
+    return left.where(~emptied & ~depleted).select(
         "doc_id", "text", "lang", "source",
         F.length("text").cast("bigint").alias("n_chars"),
     )
