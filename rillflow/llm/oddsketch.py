@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.arrow import byte_texts, map_batches
 from rillflow.llm.components import components
+from rillflow.llm.scratch import saved
 from rillflow.llm.words import Hasher, mixed, numbers, windows
 from rillflow.llm.worker import kept
-from rillflow.session import scratch_path
 
 WIDTH = 3
 PERCENT = 85
@@ -266,23 +266,20 @@ def near_duplicates(
     different texts are grouped each by its own text. Repeated rows stay, each with its group. An
     empty table gives an empty one.
     """
-    path = scratch_path(spark, "signatures")
-    signatures(docs, width).write.parquet(path)
-    signed = spark.read.parquet(path)
+    signed = saved(spark, signatures(docs, width), "signatures")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Rows of one key have the same set, and so the same size, bands and sketch.
-    path = scratch_path(spark, "classes")
-    usable.groupBy(F.col("key_a").alias("node"), "key_b").agg(
+    classes = usable.groupBy(F.col("key_a").alias("node"), "key_b").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
-    ).write.parquet(path)
-    classes = spark.read.parquet(path)
-
-    links = verified(docs, classes, star_pairs(classes, percent), width, percent).checkpoint()
+    )
+    classes = saved(spark, classes, "classes")
+    stars = saved(spark, star_pairs(classes, percent), "pairs")
+    links = saved(spark, verified(docs, classes, stars, width, percent), "links")
     labels = components(links)
-    more = cross_pairs(classes, labels, percent).checkpoint()
-    if not more.isEmpty():
-        more = verified(docs, classes, more, width, percent).checkpoint()
+    cross = saved(spark, cross_pairs(classes, labels, percent), "pairs")
+    if not cross.isEmpty():
+        more = saved(spark, verified(docs, classes, cross, width, percent), "links")
         labels = components(links.union(more))
 
     # A group is named by the smallest document of its classes.
