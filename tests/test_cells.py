@@ -92,6 +92,6 @@ def test_split_keys_and_buckets(spark, cells):
 
 
 def test_wide_rows(cells):
-    wide = {r.row_key: r for r in wc.to_rows(cells).collect()}
+    wide = {r.row_key: r for r in wc.to_rows(cells, ["name", "age", "weight"]).collect()}
     assert wide["rowKey3"].weight == "60kg" and wide["rowKey3"].age is None
     assert ids(wc.to_rows(cells, ["name"]), "name") == ["James", "fz", "kd", "wd"]
