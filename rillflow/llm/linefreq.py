@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.llm.scratch import saved
+
 SPACES = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -117,7 +119,9 @@ def line_verdicts(
     )
     lines = keyed.select("_host", "_key", F.inline(pieces))
     # One row per host, text and line; copies of a text add up here and are divided out below.
+    # The table is read three times.
     lines = lines.groupBy("_host", "_key", "line").agg(F.sum("words").alias("words"))
+    lines = saved(docs.sparkSession, lines, "host-lines")
     copies = keyed.groupBy("_host", "_key").agg(F.count("*").alias("copies"))
     hosts = copies.groupBy("_host").agg(F.count("*").alias("texts"))
 
