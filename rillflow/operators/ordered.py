@@ -1,8 +1,8 @@
 """Per-key ordered scans that survive a key holding a large share of all rows.
 
 A plain window function gives a whole key to one task. Here the keys are counted first
-(one pruned, partially aggregated pass, skipped when the plan is too small to hold a hot
-key). Cold keys use the plain window. Hot keys are range-partitioned on (key, order), so
+(one pruned, partially aggregated pass). Cold keys use the plain window. Hot keys are
+range-partitioned on (key, order), so
 one key spreads over many slices of bounded size, and a small table with one row per
 slice carries what a slice must know about the slices before it.
 """
@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.session import checkpoint_root, hot_rows, plan_bytes
+from rillflow.session import checkpoint_root, hot_rows
 
 HOT_ID, SLICE = "_hot_id", "_slice"
 
@@ -58,8 +58,6 @@ class OrderedKeys:
         """``order`` must be a total order within a key."""
         keys, order = tuple(keys), tuple(order)
         limit = limit or hot_rows(df.sparkSession)
-        if plan_bytes(df) <= limit:
-            return OrderedKeys(keys, order, limit, df, None)
         # At most total / limit keys can pass, whatever the size of the table.
         heavy = df.groupBy(*keys).count().where(F.col("count") > limit).collect()
         if not heavy:
