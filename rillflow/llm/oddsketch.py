@@ -4,12 +4,14 @@
    MinHash bands and an odd sketch: every MinHash sample flips one bit of a parity bitmap, so the
    bits in which two bitmaps differ count the samples in which the documents differ.
 2. Documents with the same set are one class, whatever their number. Only classes go on.
-3. In each band bucket every class is compared with the bucket's smallest one. Pairs whose
-   sketches allow the similarity are verified on the full sets, and links are joined up.
+3. In each band bucket every class is compared with the bucket's centre. The best centre of a
+   class, if the sketches allow the similarity, is verified on the full sets, and links are joined up.
 4. Buckets that still hold classes of different groups are compared in blocks, sketch against
-   sketch, across groups only; what passes is verified on the full sets as well.
+   sketch, across groups only; each pair is named once. Pairs are verified on the full sets as well.
 
-Groups of copies therefore cost their size, not its square.
+Groups of copies therefore cost their size, not its square. What can still grow with the square of
+a group are pairs of step 4: texts of the same buckets that are nearly, but not quite, similar enough
+and belong to no common group.
 """
 
 from __future__ import annotations
@@ -121,7 +123,10 @@ def _differing_bits(a: Column, b: Column) -> Column:
 
 
 def star_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """For each class the smallest bucket centre that its sketch allows as a partner: (a, b)."""
+    """For each class the bucket centre most similar by its sketch, if that allows a link: (a, b).
+
+    A bucket's centre is its smallest class.
+    """
     entries = classes.select("node", F.explode("bands").alias("bucket"))
     centres = (
         entries.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n"))
@@ -141,13 +146,19 @@ def star_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     return (
         both.where(100 * small >= percent * large)
         .where(near >= _least_similarity(percent))
-        .groupBy("b").agg(F.min("a").alias("a"))
+        .groupBy("b").agg(F.max_by("a", F.struct(near, "a")).alias("a"))
         .select("a", "b")
     )
 
 
-def cross_pairs(classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of a bucket in different groups whose sketches allow the similarity."""
+def _most_bits(least: float) -> float:
+    """How many bits may differ at a similarity; ``similarity`` solved for them."""
+    bits, samples = 64 * SKETCH_LONGS, BANDS * ROWS
+    return bits / 2 * (1 - np.exp(-4 * (1 - least) * samples / bits))
+
+
+def _mixed_buckets(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets with classes of different groups, in pairs of blocks (i, j)."""
     grouped = classes.join(labels, "node", "left").select(
         "node", "bands", "sketch", "n_shingles", F.coalesce("component", "node").alias("label")
     )
@@ -169,46 +180,63 @@ def cross_pairs(classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -
         entries.join(blocks, "bucket").withColumn("own", own)
         .select("bucket", "node", "own", F.inline(others))
     )
-    features = grouped.select("node", "label", "n_shingles", "sketch")
-    member = F.struct("own", "node", "label", "n_shingles", "sketch")
-    compared = (
-        dealt.join(features, "node")
+    member = F.struct("own", "node", "label", "n_shingles", "sketch", "bands")
+    return (
+        dealt.join(grouped, "node")
         .groupBy("bucket", "i", "j").agg(F.collect_list(member).alias("members"))
-        .select("i", "j", "members")
+        .select("bucket", "i", "j", "members")
     )
-    least = _least_similarity(percent)
+
+
+def _compared(batch: pa.RecordBatch, percent: int, least: float) -> Iterator[tuple]:
+    """For each member of a block the members of other groups that its sketch allows.
+
+    Yields (nodes, bands, bucket, x, ys) with positions in the block.
+    """
     bits, samples = 64 * SKETCH_LONGS, BANDS * ROWS
     # The same estimate as ``similarity``, solved for the number of differing bits.
-    most_bits = bits / 2 * (1 - np.exp(-2 * (1 - least) * 2 * samples / bits))
+    most_bits = bits / 2 * (1 - np.exp(-4 * (1 - least) * samples / bits))
+    lists = batch.column("members")
+    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    flat = lists.flatten()
+    column = {f: flat.field(f).to_numpy(False) for f in ("own", "node", "label", "n_shingles")}
+    sketch = flat.field("sketch").flatten().to_numpy(False).view(np.uint64)
+    sketch = sketch.reshape(-1, SKETCH_LONGS)
+    bands = flat.field("bands").flatten().to_numpy(False).reshape(-1, BANDS)
+    buckets = batch.column("bucket").to_numpy()
+    firsts, seconds = batch.column("i").to_numpy(), batch.column("j").to_numpy()
+    for k in range(batch.num_rows):
+        here = slice(offsets[k], offsets[k + 1])
+        block, node, label, size = (column[f][here] for f in column)
+        bitmap, band = sketch[here], bands[here]
+        right = np.flatnonzero(block == seconds[k])
+        for x in np.flatnonzero(block == firsts[k]):
+            y = right[right > x] if firsts[k] == seconds[k] else right
+            y = y[label[y] != label[x]]
+            small, large = np.minimum(size[y], size[x]), np.maximum(size[y], size[x])
+            y = y[100 * small >= percent * large]
+            differing = np.bitwise_count(bitmap[y] ^ bitmap[x]).sum(1, dtype=np.int64)
+            y = y[differing <= most_bits]
+            if len(y):
+                yield node, band, buckets[k], x, y
+
+
+def cross_pairs(classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of a bucket in different groups whose sketches allow the similarity.
+
+    Each pair comes from the first bucket that its classes share.
+    """
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        lists = batch.column("members")
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        flat = lists.flatten()
-        column = {f: flat.field(f).to_numpy(False) for f in ("own", "node", "label", "n_shingles")}
-        sketch = flat.field("sketch").flatten().to_numpy(False).view(np.uint64)
-        sketch = sketch.reshape(-1, SKETCH_LONGS)
-        firsts, seconds = batch.column("i").to_numpy(), batch.column("j").to_numpy()
-        for k in range(batch.num_rows):
-            here = slice(offsets[k], offsets[k + 1])
-            block, node, label, size = (column[f][here] for f in column)
-            bitmap = sketch[here]
-            right = np.flatnonzero(block == seconds[k])
-            for x in np.flatnonzero(block == firsts[k]):
-                y = right[node[right] > node[x]] if firsts[k] == seconds[k] else right
-                y = y[label[y] != label[x]]
-                small, large = np.minimum(size[y], size[x]), np.maximum(size[y], size[x])
-                y = y[100 * small >= percent * large]
-                differing = np.bitwise_count(bitmap[y] ^ bitmap[x]).sum(1, dtype=np.int64)
-                y = y[differing <= most_bits]
-                if len(y):
-                    found.append((np.minimum(node[y], node[x]), np.maximum(node[y], node[x])))
+        for node, band, bucket, x, y in _compared(batch, percent, _least_similarity(percent)):
+            y = y[band[x][(band[y] == band[x]).argmax(1)] == bucket]
+            found.append((np.minimum(node[y], node[x]), np.maximum(node[y], node[x])))
         if found:
             yield {"a": np.concatenate([a for a, _ in found]),
                    "b": np.concatenate([b for _, b in found])}
 
-    return map_batches(compared, work, "a bigint, b bigint").distinct()
+    return map_batches(_mixed_buckets(classes, labels), work, "a bigint, b bigint").distinct()
 
 
 def verified(
@@ -274,13 +302,17 @@ def near_duplicates(
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
     )
     classes = saved(spark, classes, "classes")
-    stars = saved(spark, star_pairs(classes, percent), "pairs")
-    links = saved(spark, verified(docs, classes, stars, width, percent), "links")
+
+    def grown(links: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        pairs = saved(spark, pairs, "pairs")
+        more = saved(spark, verified(docs, classes, pairs, width, percent), "links")
+        return links.union(more) if links is not None else more
+
+    links = grown(None, star_pairs(classes, percent))
     labels = components(links)
     cross = saved(spark, cross_pairs(classes, labels, percent), "pairs")
     if not cross.isEmpty():
-        more = saved(spark, verified(docs, classes, cross, width, percent), "links")
-        labels = components(links.union(more))
+        labels = components(grown(links, cross))
 
     # A group is named by the smallest document of its classes.
     grouped = classes.select("node", "key_b", "rep").join(labels, "node", "left").select(
