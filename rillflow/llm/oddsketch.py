@@ -35,10 +35,12 @@ PERCENT = 85
 # A pair at the limit shares a band of 6 samples with probability 0.85 ** 6, and misses all 35
 # with (1 - 0.85 ** 6) ** 35, which is less than one in ten million.
 BANDS, ROWS = 35, 6
-SKETCH_LONGS = 8
-# Sketches estimate the similarity with a standard deviation of about 0.025 here; a pair is
+# The bands take the first samples, the sketch takes all.
+SAMPLES = 630
+SKETCH_LONGS = 16
+# Sketches estimate the similarity with a standard deviation of about 0.015 here; a pair is
 # dropped without a look at its sets only this far below the limit.
-MARGIN = 0.12
+MARGIN = 0.07
 BLOCK = 1024
 
 SIGNED = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>, sketch array<bigint>"
@@ -57,9 +59,9 @@ def _signed(column: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with its set's size, name, bands and sketch."""
-    factors = (numbers(11, BANDS * ROWS) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    shifts = (numbers(12, BANDS * ROWS) >> np.uint64(32)).astype(np.uint32)
-    band_factors, bit_seeds = numbers(13, ROWS), numbers(14, BANDS * ROWS)
+    factors = (numbers(11, SAMPLES) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    shifts = (numbers(12, SAMPLES) >> np.uint64(32)).astype(np.uint32)
+    band_factors, bit_seeds = numbers(13, ROWS), numbers(14, SAMPLES)
     band_seeds = numbers(15, BANDS)
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -80,14 +82,15 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 key_a[full] = np.add.reduceat(mixed(flat ^ np.uint64(0x5851F42D4C957F2D)), starts)
                 key_b[full] = np.add.reduceat(mixed(flat + np.uint64(0x14057B7EF767814F)), starts)
                 short = (flat >> np.uint64(32)).astype(np.uint32)
-                samples = np.empty((BANDS * ROWS, len(full)), np.uint32)
-                for j in range(BANDS * ROWS):
+                samples = np.empty((SAMPLES, len(full)), np.uint32)
+                for j in range(SAMPLES):
                     samples[j] = np.minimum.reduceat(short * factors[j] + shifts[j], starts)
                 wide = samples.astype(np.uint64)
-                grouped = wide.reshape(BANDS, ROWS, len(full)) * band_factors[None, :, None]
+                grouped = wide[: BANDS * ROWS].reshape(BANDS, ROWS, len(full))
+                grouped = grouped * band_factors[None, :, None]
                 bands[full] = mixed(grouped.sum(1, dtype=np.uint64) + band_seeds[:, None]).T
                 bits = mixed(wide + bit_seeds[:, None]) % np.uint64(64 * SKETCH_LONGS)
-                for j in range(BANDS * ROWS):
+                for j in range(SAMPLES):
                     at = bits[j].astype(np.int64)
                     sketch[full, at >> 6] ^= np.uint64(1) << (bits[j] & np.uint64(63))
             yield {
@@ -109,8 +112,8 @@ def similarity(differing: Column) -> Column:
     """The estimate from the number of bits in which two sketches differ."""
     bits = 64 * SKETCH_LONGS
     share = F.least(F.lit(1.0) - 2.0 * differing / bits, F.lit(1.0))
-    apart = F.when(share > 0, -bits / 2.0 * F.log(share)).otherwise(2.0 * BANDS * ROWS)
-    return 1.0 - apart / (2.0 * BANDS * ROWS)
+    apart = F.when(share > 0, -bits / 2.0 * F.log(share)).otherwise(2.0 * SAMPLES)
+    return 1.0 - apart / (2.0 * SAMPLES)
 
 
 def _least_similarity(percent: int) -> float:
@@ -193,9 +196,9 @@ def _compared(batch: pa.RecordBatch, percent: int, least: float) -> Iterator[tup
 
     Yields (nodes, bands, bucket, x, ys) with positions in the block.
     """
-    bits, samples = 64 * SKETCH_LONGS, BANDS * ROWS
+    bits = 64 * SKETCH_LONGS
     # The same estimate as ``similarity``, solved for the number of differing bits.
-    most_bits = bits / 2 * (1 - np.exp(-4 * (1 - least) * samples / bits))
+    most_bits = bits / 2 * (1 - np.exp(-4 * (1 - least) * SAMPLES / bits))
     lists = batch.column("members")
     offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     flat = lists.flatten()
