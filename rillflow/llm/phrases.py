@@ -40,11 +40,11 @@ FINGERPRINT_BITS = 48
 FILTER_BITS = 1 << 25
 ROW_FILTER_BITS = 1 << 23
 # Windows of one automaton, pattern words of a shard, and streamed words of a split.
-AUTOMATON_WINDOWS = 50_000
-SHARD_WORDS = 200_000
-SPLIT_WORDS = 1_000_000
-# Where the two alphabets of a shard begin, below and above the surrogates.
-HIGH_CHARS, LOW_CHARS = 0x100, 0x10000
+AUTOMATON_WINDOWS = 20_000
+SHARD_WORDS = 100_000
+SPLIT_WORDS = 500_000
+# Where the two alphabets of a shard begin, both below the surrogates.
+HIGH_CHARS, LOW_CHARS = 0x100, 0x4000
 
 
 def fingerprints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
