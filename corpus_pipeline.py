@@ -21,18 +21,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop recurring lines, and documents that are little else.
+    """Drop recurring lines, and documents of which they leave nothing.
 
-    A document goes when nothing is left of it, or when it has lost more words than it keeps and
-    at least 30: such is a copy of documents that stay.
+    What is left of any other document stays, however little: it may be the only place of its
+    words. Copies are the next stage's.
     """
     changed = templates.drop_recurring_lines(spark, docs)
-    lost = F.col("n_dropped_words")
-    words = F.when(lost > 0, F.size(linefreq.text_words(F.col("text")))).otherwise(1)
-    left = changed.withColumn("_left", words)
-    emptied = F.col("_left") == 0
-    depleted = (lost > F.col("_left")) & (lost >= 30)
-    return left.where(~emptied & ~depleted).select(
+    words = F.size(linefreq.text_words(F.col("text")))
+    emptied = F.when(F.col("n_dropped_words") > 0, words == 0).otherwise(False)
+    return changed.where(~emptied).select(
         "doc_id", "text", "lang", "source",
         F.length("text").cast("bigint").alias("n_chars"),
     )
