@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from rillflow.llm import linefreq, oddsketch, packing, passages, seeds, templates, tokens
 from rillflow.session import configure, scratch_path
 
+# What a stage calls near copies: these shingles of words, this similarity in percent.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects."""
@@ -37,7 +40,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies, the one with the smallest doc_id."""
-    groups = oddsketch.near_duplicates(spark, docs).where(~F.col("kept")).select("doc_id")
+    near = oddsketch.near_duplicates(spark, docs, NEAR_WORDS, NEAR_PERCENT)
+    groups = near.where(~F.col("kept")).select("doc_id")
     return docs.join(groups.distinct(), "doc_id", "left_anti").select(
         "doc_id", "text", "lang", "source", "n_chars"
     )

@@ -16,6 +16,7 @@ and belong to no common group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,20 +33,42 @@ from rillflow.llm.worker import kept
 
 WIDTH = 3
 PERCENT = 85
-# A pair at the limit shares a band of 6 samples with probability 0.85 ** 6, and misses all 35
-# with (1 - 0.85 ** 6) ** 35, which is less than one in ten million.
-BANDS, ROWS = 35, 6
+# Samples of a band, and how often a pair at the limit may miss all bands.
+ROWS, MISSED = 6, 1e-7
 # The bands take the first samples, the sketch takes all.
 SAMPLES = 630
 SKETCH_LONGS = 16
-# Sketches estimate the similarity with a standard deviation of about 0.015 here; a pair is
-# dropped without a look at its sets only this far below the limit.
+# Sketches estimate the similarity with a standard deviation of about 0.016 at 85 %; a pair is
+# dropped without a look at its sets only this far below that limit. See ``margin``.
 MARGIN = 0.07
 BLOCK = 1024
 
 SIGNED = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>, sketch array<bigint>"
 
 
+def bands_of(percent: int) -> int:
+    """How many bands a limit needs: 35 at 85 %, 54 at 80 %.
+
+    A pair of similarity s shares a band with probability s ** ROWS.
+    """
+    return math.ceil(math.log(MISSED) / math.log1p(-min(percent / 100, 0.999) ** ROWS))
+
+
+def _deviation(similar: float) -> float:
+    """Standard deviation of the estimate: of the samples, and of the bits that meet again."""
+    apart, bits = 1 - similar, 64 * SKETCH_LONGS
+    flips = 2 * SAMPLES * apart
+    even = math.exp(-2 * flips / bits)
+    met = max(bits * (1 - even * even) / 4 - flips * even * even, 0.0)
+    return math.sqrt(similar * apart / SAMPLES + met / (2 * SAMPLES * even) ** 2)
+
+
+def margin(percent: int) -> float:
+    """The margin of a limit, in standard deviations the same as MARGIN at 85 %."""
+    usual = _deviation(PERCENT / 100)
+    return MARGIN * max(1.0, _deviation(percent / 100) / usual)
+
+
 def shingle_set(hashes: np.ndarray, width: int) -> np.ndarray:
     """The distinct shingles of a text, ascending; a shorter text is one shingle."""
     if not len(hashes):
@@ -57,12 +80,14 @@ def _signed(column: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(column).view(np.int64)
 
 
-def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def signatures(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with its set's size, name, bands and sketch."""
-    factors = (numbers(11, SAMPLES) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    shifts = (numbers(12, SAMPLES) >> np.uint64(32)).astype(np.uint32)
+    n_bands = bands_of(percent)
+    n_samples = max(SAMPLES, n_bands * ROWS)
+    factors = (numbers(11, n_samples) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    shifts = (numbers(12, n_samples) >> np.uint64(32)).astype(np.uint32)
     band_factors, bit_seeds = numbers(13, ROWS), numbers(14, SAMPLES)
-    band_seeds = numbers(15, BANDS)
+    band_seeds = numbers(15, n_bands)
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         hasher = kept(("hasher",), Hasher)
@@ -74,7 +99,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             sizes = np.fromiter(map(len, sets), np.int64, count)
             full = np.flatnonzero(sizes)
             key_a, key_b = np.zeros(count, np.uint64), np.zeros(count, np.uint64)
-            bands = np.zeros((count, BANDS), np.uint64)
+            bands = np.zeros((count, n_bands), np.uint64)
             sketch = np.zeros((count, SKETCH_LONGS), np.uint64)
             if len(full):
                 flat = np.concatenate([sets[i] for i in full])
@@ -82,14 +107,14 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 key_a[full] = np.add.reduceat(mixed(flat ^ np.uint64(0x5851F42D4C957F2D)), starts)
                 key_b[full] = np.add.reduceat(mixed(flat + np.uint64(0x14057B7EF767814F)), starts)
                 short = (flat >> np.uint64(32)).astype(np.uint32)
-                samples = np.empty((SAMPLES, len(full)), np.uint32)
-                for j in range(SAMPLES):
+                samples = np.empty((n_samples, len(full)), np.uint32)
+                for j in range(n_samples):
                     samples[j] = np.minimum.reduceat(short * factors[j] + shifts[j], starts)
                 wide = samples.astype(np.uint64)
-                grouped = wide[: BANDS * ROWS].reshape(BANDS, ROWS, len(full))
+                grouped = wide[: n_bands * ROWS].reshape(n_bands, ROWS, len(full))
                 grouped = grouped * band_factors[None, :, None]
                 bands[full] = mixed(grouped.sum(1, dtype=np.uint64) + band_seeds[:, None]).T
-                bits = mixed(wide + bit_seeds[:, None]) % np.uint64(64 * SKETCH_LONGS)
+                bits = mixed(wide[:SAMPLES] + bit_seeds[:, None]) % np.uint64(64 * SKETCH_LONGS)
                 for j in range(SAMPLES):
                     at = bits[j].astype(np.int64)
                     sketch[full, at >> 6] ^= np.uint64(1) << (bits[j] & np.uint64(63))
@@ -117,7 +142,7 @@ def similarity(differing: Column) -> Column:
 
 
 def _least_similarity(percent: int) -> float:
-    return percent / 100 - MARGIN
+    return percent / 100 - margin(percent)
 
 
 def _differing_bits(a: Column, b: Column) -> Column:
@@ -154,12 +179,6 @@ def star_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def _most_bits(least: float) -> float:
-    """How many bits may differ at a similarity; ``similarity`` solved for them."""
-    bits, samples = 64 * SKETCH_LONGS, BANDS * ROWS
-    return bits / 2 * (1 - np.exp(-4 * (1 - least) * samples / bits))
-
-
 def _mixed_buckets(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets with classes of different groups, in pairs of blocks (i, j)."""
     grouped = classes.join(labels, "node", "left").select(
@@ -205,7 +224,7 @@ def _compared(batch: pa.RecordBatch, percent: int, least: float) -> Iterator[tup
     column = {f: flat.field(f).to_numpy(False) for f in ("own", "node", "label", "n_shingles")}
     sketch = flat.field("sketch").flatten().to_numpy(False).view(np.uint64)
     sketch = sketch.reshape(-1, SKETCH_LONGS)
-    bands = flat.field("bands").flatten().to_numpy(False).reshape(-1, BANDS)
+    bands = flat.field("bands").flatten().to_numpy(False).reshape(-1, bands_of(percent))
     buckets = batch.column("bucket").to_numpy()
     firsts, seconds = batch.column("i").to_numpy(), batch.column("j").to_numpy()
     for k in range(batch.num_rows):
@@ -297,7 +316,7 @@ def near_duplicates(
     different texts are grouped each by its own text. Repeated rows stay, each with its group. An
     empty table gives an empty one.
     """
-    signed = saved(spark, signatures(docs, width), "signatures")
+    signed = saved(spark, signatures(docs, width, percent), "signatures")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Rows of one key have the same set, and so the same size, bands and sketch.
     classes = usable.groupBy(F.col("key_a").alias("node"), "key_b").agg(

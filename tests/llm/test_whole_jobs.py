@@ -1,6 +1,7 @@
 """Nothing that a stage or an operator should keep, find or give out is left out."""
 
 import corpus_pipeline
+from rillflow.llm import oddsketch
 from tests.llm import tables
 
 
@@ -21,3 +22,33 @@ def test_the_first_place_of_a_line_stays(spark):
     left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert left[5] == c and 200 not in left
     assert all(left[100 + i] == line(100 + i, 60) for i in range(30))
+
+
+def shingles(text, width=5):
+    words = text.split()
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def test_copies_with_a_block_more_are_near_copies(spark):
+    """An appended, inserted or cut block that leaves 0.82 of the shingles of five words."""
+    rows = []
+    for i in range(10):
+        base, block = line(700 + i, 300), line(800 + i, 64)
+        words = base.split()
+        half = " ".join(words[:150]), " ".join(words[150:])
+        other = [f"{base} {block}", f"{half[0]} {block} {half[1]}", " ".join(words[:248])][i % 3]
+        x, y = shingles(base), shingles(other)
+        assert 0.80 <= len(x & y) / len(x | y) < 0.84
+        x, y = shingles(base, 3), shingles(other, 3)
+        assert len(x & y) / len(x | y) < 0.85
+        rows += [(i, base), (100 + i, other), (200 + i, line(900 + i, 300))]
+    # Just too far apart.
+    rows += [(50, line(60, 300)), (150, f"{line(60, 300)} {line(61, 80)}")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], tables.DOCUMENTS)
+    left = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert left == {d for d, _ in rows} - {100 + i for i in range(10)}
+
+
+def test_bands_follow_the_limit():
+    assert [oddsketch.bands_of(p) for p in (80, 85)] == [54, 35]
+    assert oddsketch.margin(85) == oddsketch.MARGIN < oddsketch.margin(80)
