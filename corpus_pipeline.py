@@ -57,8 +57,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut and pack the documents that are left."""
-    return packing.pack(spark, docs, tokens.default_vocabulary())
+    """Cut and pack the documents that are left; rows with a ``sequence`` are what to train on."""
+    return packing.cut_sequences(packing.sequences(spark, docs, tokens.default_vocabulary()))
 
 
 STAGES = [

@@ -72,6 +72,7 @@ class PieceEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._library = Tokenizer.from_file(path)
+        self.n_ids = self._library.get_vocab_size()
         # The same vocabulary for parts that are in its normal form and cut already.
         self._cut = Tokenizer.from_file(path)
         self._cut.normalizer = None

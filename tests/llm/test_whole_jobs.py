@@ -1,7 +1,9 @@
 """Nothing that a stage or an operator should keep, find or give out is left out."""
 
+import numpy as np
+
 import corpus_pipeline
-from rillflow.llm import oddsketch
+from rillflow.llm import oddsketch, packing, tokens
 from tests.llm import tables
 
 
@@ -52,3 +54,27 @@ def test_copies_with_a_block_more_are_near_copies(spark):
 def test_bands_follow_the_limit():
     assert [oddsketch.bands_of(p) for p in (80, 85)] == [54, 35]
     assert oddsketch.margin(85) == oddsketch.MARGIN < oddsketch.margin(80)
+
+
+def test_packed_sequences_hold_the_ids(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.default_vocabulary())
+    docs = tables.documents(spark, clashing=False)
+    rows = corpus_pipeline.packed(spark, docs, "").collect()
+    full = {r["sequence_id"]: np.frombuffer(r["sequence"], "<u4") for r in rows if r["sequence"]}
+    assert len(full) == sum(r["sequence"] is not None for r in rows)
+    assert full.keys() == {r["sequence_id"] for r in rows}
+    filled = dict.fromkeys(full, 0)
+    found = []
+    for r in rows:
+        ids = full[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]].tolist()
+        filled[r["sequence_id"]] += r["length"]
+        found.append((str(r["doc_id"]), r["start"], ids))
+    wanted = []
+    for doc, text in tables.pairs_of(docs):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [1]
+        wanted += [(str(doc), at, ids[at : at + 2048]) for at in range(0, len(ids), 2048)]
+    assert sorted(found) == sorted(wanted)
+    for number, ids in full.items():
+        assert len(ids) == 2048 and set(ids[filled[number] :]) <= {packing.PAD_ID}
