@@ -8,7 +8,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.catalog.registry import Tables
-from rillflow.llm import htmlblocks, linefreq, oddsketch, packing, passages, phrases, seeds, templates, tokens, tokenstore, urls
+from rillflow.llm import (
+    htmlblocks, linefreq, oddsketch, packing, passages, phrases, seeds, templates, tokens, tokenstore,
+    urls, warc,
+)
 from rillflow.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +86,13 @@ def op1_template_tree(t: Tables) -> DataFrame:
 @query()
 def op3_phrase_automata(t: Tables) -> DataFrame:
     return phrases.remove_repeated(t.spark, t.documents, with_text=False)
+
+
+@query(warc.ARCHIVE_SQL)
+def op12_warc_reader(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "warc")
+    warc.write_archives(t.spark, t.pages, path)
+    records = warc.page_records(warc.read_archives(t.spark, path))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
