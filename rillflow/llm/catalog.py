@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rillflow.catalog.registry import Tables
 from rillflow.llm import (
     htmlblocks, linefreq, oddsketch, packing, passages, phrases, seeds, templates, tokens, tokenstore,
-    urls, warc,
+    urls, warc, whiten,
 )
 from rillflow.session import configure, scratch_path
 
@@ -96,3 +96,8 @@ def op12_warc_reader(t: Tables) -> DataFrame:
     return records.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query()
+def op11_refined_whitening(t: Tables) -> DataFrame:
+    return whiten.whiten(t.spark, t.embeddings)
