@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rillflow.catalog.registry import Tables
 from rillflow.llm import (
     htmlblocks, linefreq, oddsketch, packing, passages, phrases, seeds, templates, tokens, tokenstore,
-    urls, warc, whiten,
+    trie, urls, warc, whiten,
 )
 from rillflow.session import configure, scratch_path
 
@@ -101,3 +101,8 @@ def op12_warc_reader(t: Tables) -> DataFrame:
 @query()
 def op11_refined_whitening(t: Tables) -> DataFrame:
     return whiten.whiten(t.spark, t.embeddings)
+
+
+@query(trie.TRIE_SQL)
+def op13_burst_trie(t: Tables) -> DataFrame:
+    return trie.prefix_trie(t.spark, t.conversations)
