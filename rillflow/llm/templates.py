@@ -3,7 +3,8 @@
 A line goes down the tree by its number of words and its leading words; words with a digit are
 variable fields from the start. Within a leaf a word further on is constant where enough texts have
 it at its place, and a variable field otherwise. What is left is the line's template. Templates
-that recur across texts are dropped from every document but the first.
+that recur across texts are dropped from every document but the first. How many texts are enough
+depends on the line alone: a long one is no chance even in two.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from rillflow.llm.scratch import saved
 DEPTH = 4
 # A template recurs in this many different texts; exact copies of a text count once.
 TEXTS = 20
+# With so many constant words it recurs in two.
+LONG_WORDS, LONG_TEXTS = 10, 2
 # Share of constant words among those without a digit that a template must have.
 CONSTANT = 0.85
 FIELD = "<*>"
@@ -33,20 +36,26 @@ def _row(df: DataFrame) -> DataFrame:
     })
 
 
-def masked(line: Column) -> Column:
-    """A line with single spaces and a field in place of every word with a digit."""
-    blank = F.trim(F.translate(line, "\t\x0b\x0c\r", "    "))
-    plain = F.when(blank.contains("  "), F.regexp_replace(blank, " +", " ")).otherwise(blank)
-    fields = F.regexp_replace(plain, "[^ 0-9]*[0-9][^ ]*", FIELD)
-    return F.when(plain.rlike("[0-9]"), fields).otherwise(plain)
+def masked(text: Column) -> Column:
+    """A text with single spaces in its lines and a field in place of every word with a digit.
+
+    Every step reads the one before once, so that nothing is computed twice.
+    """
+    for blank in "\t\x0b\x0c\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    text = F.regexp_replace(text, " {2,}", " ")
+    for edge in (" \n", "\n "):
+        text = F.replace(text, F.lit(edge), F.lit("\n"))
+    # Matches begin at words only: long words without a digit are looked at once.
+    return F.regexp_replace(F.trim(text), "(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
 
 
 def masked_lines(docs: DataFrame) -> DataFrame:
     """The lines with a word of every row, masked, with their leaf in the tree."""
-    split = _row(docs).select(
-        "_row", "_key", "doc_id", F.posexplode(F.split("_text", "\n")).alias("line_no", "raw")
-    )
-    lines = split.withColumn("masked", masked(F.col("raw"))).where("masked <> ''")
+    lines = _row(docs).select(
+        "_row", "_key", "doc_id",
+        F.posexplode(F.split(masked(F.col("_text")), "\n")).alias("line_no", "masked"),
+    ).where("masked <> ''")
     text = F.col("masked")
     n = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
     fields = F.size(F.filter(F.split(text, " "), lambda t: t == FIELD))
@@ -58,37 +67,44 @@ def masked_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _checked(table: DataFrame, rows: int) -> DataFrame:
+def _checked(table: DataFrame, rows: int | None = None) -> DataFrame:
     """A saved table, marked for broadcast as long as it is small; joins work either way."""
+    rows = table.count() if rows is None else rows
     return F.broadcast(table) if rows <= BROADCAST_ROWS else table
 
 
-def line_templates(
-    spark: SparkSession, lines: DataFrame, narrow: DataFrame, texts: int = TEXTS
-) -> DataFrame:
+def _enough(words: str, texts: int) -> Column:
+    """The texts that make a template of so many constant words recur."""
+    return F.when(F.col(words) >= LONG_WORDS, min(LONG_TEXTS, texts)).otherwise(texts)
+
+
+def line_templates(spark: SparkSession, lines: DataFrame, texts: int = TEXTS) -> DataFrame:
     """The templates of lines longer than the tree is deep, in leaves that recur.
 
-    Gives (leaf, line, template) where enough of the line is constant.
+    Gives (leaf, line, template, constant) where enough of the line is constant.
     """
-    leaves = saved(spark, 
-        narrow.where(F.col("n") > DEPTH).select("leaf", "_key").distinct()
-        .groupBy("leaf").count().where(F.col("count") >= texts).select("leaf"),
+    deep = lines.where(F.col("n") > DEPTH)
+    leaves = saved(
+        spark,
+        deep.select("leaf", "n", "_key").distinct().groupBy("leaf", "n").count()
+        .where(F.col("count") >= _enough("n", texts)).select("leaf"),
         "leaves",
     )
     held = saved(
         spark,
-        lines.where(F.col("n") > DEPTH).join(_checked(leaves, leaves.count()), "leaf", "left_semi")
-        .select("leaf", "line", "masked", "worded", "_key").distinct()
-        .groupBy("leaf", "line", "masked", "worded").agg(F.count("*").alias("texts")),
+        deep.join(_checked(leaves), "leaf", "left_semi")
+        .select("leaf", "line", "masked", "n", "worded", "_key").distinct()
+        .groupBy("leaf", "line", "masked", "n", "worded").agg(F.count("*").alias("texts")),
         "held",
     )
     words = held.select(
-        "leaf", "line", "worded", "texts", F.posexplode(F.split("masked", " ")).alias("pos", "word")
-    ).where(F.col("word") != FIELD)
+        "leaf", "line", "n", "worded", "texts",
+        F.posexplode(F.split("masked", " ")).alias("pos", "word"),
+    ).where(F.col("word") != FIELD).withColumn("word", F.xxhash64("word"))
     steady = (
         words.where(F.col("pos") >= DEPTH)
-        .groupBy("leaf", "pos", "word").agg(F.sum("texts").alias("seen"))
-        .where(F.col("seen") >= texts).select("leaf", "pos", "word")
+        .groupBy("leaf", "n", "pos", "word").agg(F.sum("texts").alias("seen"))
+        .where(F.col("seen") >= _enough("n", texts)).select("leaf", "pos", "word")
     )
     constant = words.where(F.col("pos") >= DEPTH).join(steady, ["leaf", "pos", "word"]).unionByName(
         words.where(F.col("pos") < DEPTH), allowMissingColumns=True
@@ -98,7 +114,8 @@ def line_templates(
         constant.groupBy("leaf", "line", "worded")
         .agg(kept.alias("kept"))
         .where(F.size("kept") >= CONSTANT * F.col("worded"))
-        .select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"))
+        .select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"),
+                F.size("kept").alias("constant"))
     )
 
 
@@ -107,32 +124,37 @@ def drop_recurring_lines(
 ) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with its text without recurring lines.
 
-    The document with the smallest doc_id keeps its lines of a template; lines of rows without a
+    A template recurs in ``texts`` different texts, with ten constant words or more in two. The
+    document with the smallest doc_id keeps its lines of a template; lines of rows without a
     doc_id go whenever another document has the template. Lines without a word stay, and so do
     lines of digits alone. A null text is empty. Repeated rows are treated alike; rows with the
     same doc_id count as one document. Other columns stay, unless they have the name of a count.
     An empty table gives an empty one.
     """
-    lines = masked_lines(docs.select("doc_id", "text"))
-    narrow = saved(spark, lines.drop("masked"), "lines")
-    long = line_templates(spark, lines, narrow, texts)
+    lines = saved(spark, masked_lines(docs.select("doc_id", "text")), "lines", "zstd")
+    long = _checked(saved(spark, line_templates(spark, lines, texts), "templates"))
     short = F.when((F.col("n") <= DEPTH) & (F.col("worded") > 0), F.xxhash64("leaf", "line"))
     named = (
-        narrow.join(long, ["leaf", "line"], "left")
+        lines.drop("masked").join(long, ["leaf", "line"], "left")
         .select(
-            "_row", "_key", "doc_id", "line_no", "n", F.coalesce("template", short).alias("template")
+            "_row", "_key", "doc_id", "line_no", "n", F.coalesce("template", short).alias("template"),
+            F.coalesce("constant", "worded").alias("constant"),
         )
         .where("template IS NOT NULL")
     )
-    recurring = (
-        named.groupBy("template", "_key").agg(F.min("doc_id").alias("doc_id"))
-        .groupBy("template").agg(F.count("*").alias("found"), F.min("doc_id").alias("first"))
-        .where(F.col("found") >= texts).select("template", "first")
+    recurring = saved(
+        spark,
+        named.groupBy("template", "constant", "_key").agg(F.min("doc_id").alias("doc_id"))
+        .groupBy("template", "constant")
+        .agg(F.count("*").alias("found"), F.min("doc_id").alias("first"))
+        .where((F.col("found") >= _enough("constant", texts)) & F.col("first").isNotNull())
+        .select("template", "first"),
+        "recurring",
     )
     dropped = saved(
         spark,
-        named.join(recurring, "template")
-        .where(~F.col("doc_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull())
+        named.join(_checked(recurring), "template")
+        .where(~F.col("doc_id").eqNullSafe(F.col("first")))
         .select("_row", "line_no", "n").distinct()
         .groupBy("_row").agg(
             F.collect_list("line_no").alias("_dropped"), F.sum("n").alias("_lost")
@@ -158,6 +180,7 @@ def drop_recurring_lines(
     return counts.select("doc_id", "text", *([F.col("_other.*")] if others else []), *COUNTS)
 
 
+_ENOUGH = f"CASE WHEN {{0}} >= {LONG_WORDS} THEN {LONG_TEXTS} ELSE {TEXTS} END"
 # The same rules for DuckDB.
 TEMPLATE_SQL = rf"""
 WITH d AS (
@@ -177,30 +200,33 @@ WITH d AS (
       string_split(masked, ' ')[1:{DEPTH}]) AS leaf
   FROM m
 ), leaves AS (
-  SELECT leaf FROM w WHERE len(ws) > {DEPTH} GROUP BY leaf HAVING count(DISTINCT t) >= {TEXTS}
+  SELECT leaf FROM w WHERE len(ws) > {DEPTH} GROUP BY leaf
+  HAVING count(DISTINCT t) >= {_ENOUGH.format("any_value(len(ws))")}
 ), held AS (
   SELECT leaf, masked, worded, ws, count(DISTINCT t) AS texts FROM w JOIN leaves USING (leaf)
   WHERE len(ws) > {DEPTH} GROUP BY leaf, masked, worded, ws
 ), words AS (
-  SELECT leaf, masked, worded, texts, p, ws[p] AS word
+  SELECT leaf, masked, worded, len(ws) AS n, texts, p, ws[p] AS word
   FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS p FROM held)
   WHERE ws[p] <> '{FIELD}'
 ), steady AS (
   SELECT leaf, p, word FROM words WHERE p > {DEPTH} GROUP BY leaf, p, word
-  HAVING sum(texts) >= {TEXTS}
+  HAVING sum(texts) >= {_ENOUGH.format("any_value(n)")}
 ), constant AS (
   SELECT words.* FROM words JOIN steady USING (leaf, p, word) WHERE p > {DEPTH}
   UNION ALL SELECT * FROM words WHERE p <= {DEPTH}
 ), long AS (
-  SELECT leaf, masked, list((p, word) ORDER BY p)::VARCHAR AS template FROM constant
+  SELECT leaf, masked, list((p, word) ORDER BY p)::VARCHAR AS template, count(*) AS constant
+  FROM constant
   GROUP BY leaf, masked, worded HAVING count(*) >= {CONSTANT} * worded
 ), named AS (
-  SELECT w.doc_id, w.t, w.i, w.leaf::VARCHAR || coalesce(long.template, w.masked) AS template
+  SELECT w.doc_id, w.t, w.i, w.leaf::VARCHAR || coalesce(long.template, w.masked) AS template,
+    coalesce(long.constant, w.worded) AS constant
   FROM w LEFT JOIN long USING (leaf, masked)
   WHERE long.template IS NOT NULL OR (len(ws) <= {DEPTH} AND worded > 0)
 ), recurring AS (
   SELECT template, min(doc_id) AS first FROM named GROUP BY template
-  HAVING count(DISTINCT t) >= {TEXTS}
+  HAVING count(DISTINCT t) >= {_ENOUGH.format("any_value(constant)")}
 ), gone AS (
   SELECT DISTINCT doc_id, t, i FROM named JOIN recurring USING (template) WHERE doc_id <> first
 )

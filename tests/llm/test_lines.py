@@ -45,6 +45,36 @@ def test_fields_are_generalised(spark):
     assert all(out[100 + i]["text"] == "" for i in range(1, 25))
 
 
+def test_long_lines_recur_in_two_texts(spark):
+    long = "one of the long passages that two quite different documents have word for word"
+    ten, nine = "a b c d e f g h i j", "k l m n o p q r s"
+    table = "total 1 2 3 4 5 6 7 8 9 10 11 12"
+    fields = "order 17 left the house of the old miller near the river at 5 today"
+    other = "order 99 left the house of the old miller near the river at 23 today"
+    data = [(1, f"first own\n {long}\n{ten}"), (2, f"second own\n{long}\n{nine}\n{table}"),
+            (3, f"third own\n{nine}\n{long} \n{table}\n{fields}"), (4, f"fourth own\n{ten}\n{other}"),
+            (5, f"second own\n{long}\n{nine}\n{table}")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    out = {r["doc_id"]: r["text"] for r in templates.drop_recurring_lines(spark, docs).collect()}
+    assert out == {
+        1: data[0][1], 2: f"second own\n{nine}\n{table}", 3: f"third own\n{nine}\n{table}\n{fields}",
+        4: "fourth own", 5: f"second own\n{nine}\n{table}",
+    }
+
+
+def test_masks(spark):
+    texts = ["  a\tb  c \n\n x1y  z\r\n \n9\x0b", "", "no", "1", " \n ", "é2 ü\n3.5% of it",
+             "w" * 50_000 + " 7"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(templates.masked(df["t"])).collect()]
+    plain = [
+        "\n".join(" ".join("<*>" if any(c in "0123456789" for c in w) else w for w in x.split())
+                  for x in t.split("\n")) for t in texts
+    ]
+    assert [f.split("\n") for f in found if f] == [
+        p.split("\n") for p in plain if p.strip("\n") or "\n" in p]
+
+
 def test_prose_stays(spark):
     data = [(i, tables.prose(i, 200)) for i in range(60)]
     docs = spark.createDataFrame(data, "doc_id bigint, text string")
