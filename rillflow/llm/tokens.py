@@ -89,7 +89,7 @@ class PieceEncoder:
 
     @staticmethod
     def of(path: str) -> PieceEncoder:
-        return kept(("pieces", path), lambda: PieceEncoder(path))
+        return kept(("pieces", path), lambda: PieceEncoder(path), large=True)
 
     def _forget(self) -> None:
         self._table = HashTable(KNOWN_WORDS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable
 from types import ModuleType
@@ -11,9 +12,27 @@ from typing import Any
 HOLDER = "_rillflow_worker_objects"
 
 
-def kept(key: tuple, make: Callable[[], Any]) -> Any:
-    """The object made for this key in this process, made on first use."""
+def kept(key: tuple, make: Callable[[], Any], large: bool = False) -> Any:
+    """The object made for this key in this process, made on first use.
+
+    A large object is held only as long as nothing else is asked for, so that a worker that goes
+    on to another operator does not carry it along. Whoever keeps a large object asks for no other
+    between its uses.
+    """
     holder = sys.modules.setdefault(HOLDER, ModuleType(HOLDER)).__dict__
-    if key not in holder:
-        holder[key] = make()
-    return holder[key]
+    small, alone = holder.setdefault("small", {}), holder.setdefault("large", {})
+    if alone and key not in alone:
+        alone.clear()
+        _give_back()
+    held = alone if large else small
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def _give_back() -> None:
+    """Hand freed memory back to the system, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass
