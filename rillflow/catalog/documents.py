@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from rillflow.catalog.records import MOVIES, movies
-from rillflow.catalog.registry import query
+from rillflow.catalog.registry import ORACLES, query
 from rillflow.functions import analysed, highlight
-from rillflow.operators import aggregates, mutate, relational, search, views
+from rillflow.operators import aggregates, indexed, mutate, relational, search, views
+from rillflow.session import scratch_path
 
 # The oracle's analysis of a text: the same runs of letters, marks and digits.
 TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+')"
@@ -47,6 +48,45 @@ def match_phrase(t):
     return search.match_phrase(t.documents, "text", "of the").select("doc_id")
 
 
+def _index(t) -> indexed.TextIndex:
+    return indexed.build_index(
+        t.documents, "doc_id", "text", "documents_index", scratch_path(t.spark, "index")
+    )
+
+
+@query(ORACLES["match_or_scored"])
+def index_match(t):
+    """SCH-10, SCH-01: the same hits from the buckets of a saved index."""
+    return indexed.index_match(_index(t), QUERY)
+
+
+@query(ORACLES["match_and"])
+def index_match_all(t):
+    """SCH-10, SCH-02."""
+    return indexed.index_match_all(_index(t), QUERY)
+
+
+@query(ORACLES["match_phrase"])
+def index_phrase(t):
+    """SCH-10, SCH-03: positions of a saved index, joined."""
+    return indexed.index_phrase(_index(t), "of the")
+
+
+@query(f"""WITH {DOCS}, sizes AS (SELECT doc_id, coalesce(len(tokens), 0) AS length, tokens FROM docs),
+whole AS (SELECT count(*) AS documents, avg(length) AS mean FROM sizes),
+hits AS (
+  SELECT doc_id, length, token, len(list_filter(tokens, lambda x: x = token)) AS found
+  FROM sizes, (SELECT unnest(['the', 'token', 'and']) AS token) WHERE list_contains(tokens, token)),
+holding AS (SELECT token, count(*) AS holding FROM hits GROUP BY token)
+SELECT doc_id, round(sum(ln(1 + (documents - holding + 0.5) / (holding + 0.5)) * found * 2.2
+  / (found + 1.2 * (0.75 * length / mean + 0.25))), 6) AS score
+FROM hits JOIN holding USING (token), whole GROUP BY doc_id""")
+def match_ranked(t):
+    """SCH-01: scored by rarity and length, by the published formula, from a saved index."""
+    ranked = indexed.index_ranked(_index(t), QUERY)
+    return ranked.select("doc_id", F.round("score", 6).alias("score"))
+
+
 @query("SELECT doc_id, text, n_chars FROM documents")
 def match_everything(t):
     """SCH-09."""
@@ -213,6 +253,85 @@ def patch_documents(t):
     return mutate.patch(_parts(t), _returned(t), ["id"])
 
 
+# Every line item is a mutation of its part, in order of its order.
+LOG = """log AS (
+  SELECT l_partkey AS id, l_orderkey * 10 + l_linenumber AS seq,
+    CASE WHEN l_linenumber = 6 THEN 'delete' WHEN l_orderkey % 3 = 0 THEN 'put' ELSE 'patch' END AS op,
+    CASE WHEN l_linenumber = 2 THEN NULL ELSE concat('line ', l_orderkey) END AS movie_name,
+    CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE CAST(l_orderkey % 50 AS INTEGER) END AS size
+  FROM lineitem)"""
+
+
+def _part_log(t):
+    number = F.col("l_linenumber")
+    return t.lineitem.select(
+        F.col("l_partkey").alias("id"), (F.col("l_orderkey") * 10 + number).alias("seq"),
+        F.when(number == 6, mutate.DELETE).when(F.col("l_orderkey") % 3 == 0, mutate.PUT)
+        .otherwise(mutate.PATCH).alias("op"),
+        F.when(number != 2, F.concat(F.lit("line "), F.col("l_orderkey").cast("string"))).alias("movie_name"),
+        F.when(number % 2 != 0, (F.col("l_orderkey") % 50).cast("int")).alias("size"),
+    )
+
+
+@query(f"""WITH {PART}, {LOG}, whole AS (
+  SELECT id, max(seq) FILTER (op <> 'patch') AS base,
+    coalesce(arg_max(op, seq) FILTER (op <> 'patch'), 'put') AS kind FROM log GROUP BY id
+), start AS (
+  SELECT coalesce(p.id, w.id) AS id, w.base,
+    CASE WHEN w.base IS NULL THEN p.movie_name ELSE l.movie_name END AS movie_name,
+    CASE WHEN w.base IS NULL THEN p.size ELSE l.size END AS size
+  FROM part_names p FULL JOIN whole w ON w.id = p.id LEFT JOIN log l ON l.id = w.id AND l.seq = w.base
+  WHERE coalesce(w.kind, 'put') = 'put' AND (p.id IS NOT NULL OR w.base IS NOT NULL)
+), late AS (
+  SELECT s.id, arg_max(l.movie_name, l.seq) FILTER (l.movie_name IS NOT NULL) AS movie_name,
+    arg_max(l.size, l.seq) FILTER (l.size IS NOT NULL) AS size
+  FROM start s JOIN log l ON l.id = s.id AND l.op = 'patch' AND l.seq > coalesce(s.base, -1) GROUP BY s.id
+)
+SELECT s.id, coalesce(late.movie_name, s.movie_name) AS movie_name, coalesce(late.size, s.size) AS size
+FROM start s LEFT JOIN late ON late.id = s.id""")
+def mutation_log(t):
+    """MUT-01, MUT-02, MUT-04, MUT-06: puts, patches and deletes in order, as a new version."""
+    path = scratch_path(t.spark, "parts")
+    mutate.apply_log(_parts(t), _part_log(t), ["id"], ["seq"]).write.parquet(path)
+    # Readers switch to the new version by name.
+    views.publish("current_parts", t.spark.read.parquet(path))
+    return t.spark.sql("SELECT id, movie_name, size FROM current_parts")
+
+
+REPEATED = """batch AS (
+  SELECT l_partkey AS id, concat('returned ', l_orderkey) AS movie_name, CAST(l_orderkey % 50 AS INTEGER) AS size,
+    l_orderkey * 10 + l_linenumber AS seq FROM lineitem WHERE l_returnflag = 'R')"""
+
+
+def _repeated(t):
+    """Returned lines as they come: a part may be written many times."""
+    return t.lineitem.where("l_returnflag = 'R'").select(
+        F.col("l_partkey").alias("id"),
+        F.concat(F.lit("returned "), F.col("l_orderkey").cast("string")).alias("movie_name"),
+        (F.col("l_orderkey") % 50).cast("int").alias("size"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+    )
+
+
+@query(f"""WITH {PART}, {REPEATED}
+SELECT id, movie_name, size FROM part_names WHERE id NOT IN (SELECT id FROM batch)
+UNION ALL SELECT id, arg_max(movie_name, seq), arg_max(size, seq) FROM batch GROUP BY id""")
+def put_repeated_keys(t):
+    """MUT-01, MUT-06: a batch that repeats its keys; the last write wins."""
+    return mutate.put(_parts(t), _repeated(t), ["id"], ["seq"])
+
+
+@query(f"""WITH {PART}, {REPEATED}, last AS (
+  SELECT id, arg_max(movie_name, seq) AS movie_name,
+    arg_max(size, seq) FILTER (size % 2 = 0) AS size FROM batch GROUP BY id)
+SELECT p.id, coalesce(b.movie_name, p.movie_name) AS movie_name, coalesce(b.size, p.size) AS size
+FROM part_names p LEFT JOIN last b ON b.id = p.id""")
+def patch_repeated_keys(t):
+    """MUT-02: the last value of every column that is not null."""
+    batch = _repeated(t).withColumn("size", F.when(F.col("size") % 2 == 0, F.col("size")))
+    return mutate.patch(_parts(t), batch, ["id"], ["seq"])
+
+
 @query(f"""WITH {PART} SELECT id, CASE WHEN movie_name = 'red bolt' THEN 'blue bolt' ELSE movie_name END
 AS movie_name, size FROM part_names""")
 def update_by_query(t):

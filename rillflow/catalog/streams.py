@@ -12,7 +12,7 @@ from rillflow.catalog.warehouse import CHANGES, DAU, MESSAGE_FIELDS, message_fie
 from rillflow.operators import relational
 from rillflow.plans import change_split, daily_users, log_split, order_wide
 from rillflow.schemas import DAU_INFO, SENSOR, struct
-from rillflow.session import scratch_path, state_partitions
+from rillflow.session import plan_bytes, scratch_path, state_partitions
 from rillflow.sinks.keyed import KeyedTable
 from rillflow.sinks.topics import stream_messages
 from rillflow.streaming import jobs, state
@@ -28,37 +28,59 @@ ARRIVAL = {
 }
 
 
+# Bytes of a file of a slice, as the plan estimates them.
+FILE_BYTES = 128 << 20
+
+
 class StreamedTables(Tables):
     """The same tables, with the named ones read as streams of several batches.
 
-    A table arrives in slices by time or key. Each slice is written after the one before, and the
-    source takes a slice's files at a time.
+    A table arrives in slices by time or key. The slices are ranges of the column it is ordered by,
+    so each is read by itself where the files are in that order, and is written by as many tasks as
+    its size asks for. All slices have the same number of files, and the source takes so many at
+    a time.
     """
 
-    def __init__(self, t: Tables, *streamed: str):
+    def __init__(self, t: Tables, *streamed: str, slices: int = BATCHES):
         super().__init__(t.spark, t.folder)
         self.streamed = {name: scratch_path(t.spark, name) for name in streamed}
         self.arrived = 0
-        self.arrive(BATCHES)
+        self.slices: dict[str, list[DataFrame]] = {}
+        self.arrive(slices)
+
+    def files(self, name: str) -> int:
+        """The files of a slice."""
+        table = self.spark.read.parquet(self.path(name))
+        return max(1, plan_bytes(table) // (BATCHES * FILE_BYTES))
+
+    def cut(self, name: str) -> list[DataFrame]:
+        """The slices of a table; rows without a place in the order are in the first."""
+        table = self.spark.read.parquet(self.path(name))
+        at, kind = F.col(ARRIVAL[name]), dict(table.dtypes)[ARRIVAL[name]]
+        whole = kind in ("bigint", "int")
+        order = at if whole else F.unix_seconds(at.cast("timestamp"))
+        shares = [i / BATCHES for i in range(1, BATCHES)]
+        found = table.agg(F.percentile_approx(order, shares)).first()[0] or [0] * len(shares)
+        ends = [F.lit(c) if whole else F.timestamp_seconds(F.lit(c)).cast(kind) for c in found]
+        first = at.isNull() | (at <= ends[0])
+        between = [(at > low) & (at <= high) for low, high in zip(ends, ends[1:])]
+        return [table.where(c) for c in (first, *between, at > ends[-1])]
 
     def arrive(self, slices: int) -> None:
         """Write the next slices of every streamed table."""
         for name, path in self.streamed.items():
-            table = self.spark.read.parquet(self.path(name))
-            at = F.col(ARRIVAL[name])
-            order = at if dict(table.dtypes)[ARRIVAL[name]] == "bigint" else F.unix_seconds(at.cast("timestamp"))
-            shares = [i / BATCHES for i in range(1, BATCHES)]
-            cuts = table.agg(F.percentile_approx(order, shares)).first()[0] or []
-            number = sum((order > cut).cast("int") for cut in cuts) if cuts else F.lit(0)
-            for i in range(self.arrived, min(self.arrived + slices, BATCHES)):
-                part = table.where(F.coalesce(number, F.lit(0)) == i)
-                part.coalesce(1).write.mode("append").parquet(path)
+            if name not in self.slices:
+                self.slices[name] = self.cut(name)
+            for part in self.slices[name][self.arrived : self.arrived + slices]:
+                part.repartition(self.files(name)).write.mode("append").parquet(path)
         self.arrived += slices
 
     def __getattr__(self, name: str) -> DataFrame:
         table = super().__getattr__(name)
         if name in self.streamed:
-            return jobs.file_stream(self.spark, self.streamed[name], table.schema, files_per_batch=1)
+            return jobs.file_stream(
+                self.spark, self.streamed[name], table.schema, files_per_batch=self.files(name)
+            )
         return table
 
 
@@ -131,11 +153,14 @@ def stream_session(t):
     return _saved(t, jobs.session_stream(rows, ["id"], "ts", 6 * HOUR), "sessions", t.events)
 
 
-def _keyed(t: Tables, processor, event_time: bool = False, latest: bool = False) -> DataFrame:
+def _keyed(
+    t: Tables, processor, event_time: bool = False, latest: bool = False, extra: list[str] = (),
+    time: str = "None",
+) -> DataFrame:
     """What a processor sends; with ``latest`` only the last row of every id counts."""
-    rows = records.readings(StreamedTables(t, "events")).select("id", "ts", "seq", "temperature")
+    rows = records.readings(StreamedTables(t, "events")).select("id", "ts", "seq", "temperature", *extra)
     rows = jobs.bounded_lateness(rows, "ts") if event_time else _instants(rows)
-    states = state.keyed(rows, processor, event_time)
+    states = state.keyed(rows, processor, event_time, time)
     root = scratch_path(t.spark, type(processor).__name__)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -143,7 +168,8 @@ def _keyed(t: Tables, processor, event_time: bool = False, latest: bool = False)
 
     mode = "append" if event_time else "update"
     jobs.run(
-        states, f"{root}/checkpoint", write=write, mode=mode, store=jobs.ROCKSDB,
+        states, f"{root}/checkpoint", write=write, mode=mode,
+        store=jobs.EXPIRING if time == "ProcessingTime" else jobs.ROCKSDB,
         partitions=state_partitions(t.events),
     )
     schema = T.StructType.fromDDL(processor.schema)
@@ -291,3 +317,59 @@ def stream_order_wide(t):
     details = records.order_details(s).withColumn("at", F.to_timestamp("create_time"))
     joined = order_wide.wide_order_stream(infos, details, "at", "at", "30 days")
     return _saved(t, joined, "wide", t.lineitem)
+
+
+@query(f"""WITH {records.ORDER_INFOS}, infos AS (
+  SELECT id, date_trunc('day', CAST(create_time AS TIMESTAMP)) AS seen FROM order_infos
+), lines AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_orderkey AS order_id,
+    CAST(l_shipdate AS TIMESTAMP) AS seen FROM lineitem
+), closed AS (
+  SELECT least((SELECT max(seen) FROM infos), (SELECT max(seen) FROM lines)) - INTERVAL 31 DAYS AS t
+), pairs AS (
+  SELECT i.id AS order_id, d.id AS detail_id FROM infos i JOIN lines d ON i.id = d.order_id
+    AND d.seen BETWEEN i.seen - INTERVAL 30 DAYS AND i.seen + INTERVAL 30 DAYS
+)
+SELECT order_id, detail_id, 'both' AS match_state FROM pairs
+UNION ALL SELECT id, NULL, 'info_only' FROM infos WHERE seen < (SELECT t FROM closed)
+  AND id NOT IN (SELECT order_id FROM pairs)
+UNION ALL SELECT order_id, id, 'detail_only' FROM lines WHERE seen < (SELECT t FROM closed)
+  AND id NOT IN (SELECT detail_id FROM pairs)""")
+def stream_order_match(t):
+    """JON-06, STR-06: pairs at once, what stays alone when the watermark has passed its time."""
+    s = StreamedTables(t, "orders", "lineitem")
+    infos = records.order_infos(s).withColumn("at", F.date_trunc("day", F.to_timestamp("create_time")))
+    details = records.order_details(s).withColumn("at", F.to_timestamp("create_time"))
+    joined = order_wide.match_state_stream(infos, details, "at", "at", "30 days", "1 day")
+    return _saved(t, joined, "match", t.lineitem)
+
+
+@query(f"WITH {DAU} SELECT dt, mid, ts FROM dau")
+def stream_dau_restored(t):
+    """STA-08: a query that has lost its checkpoint takes its state from what it has written."""
+    root, s = scratch_path(t.spark, "restored"), StreamedTables(t, "events", slices=BATCHES - 1)
+    schema = T.StructType.fromDDL(state.FirstInDay.schema)
+    found = daily_users.entries(records.page_views(s))
+    for life in ("first", "second"):
+        table = KeyedTable(f"{root}/table", ("mid",), schema, ("ts",))
+        known = table.read(t.spark)
+        if life == "second":
+            # Written apart, so that what the state begins with does not change under the query.
+            known.write.parquet(f"{root}/known")
+            known = t.spark.read.schema(schema).parquet(f"{root}/known")
+            s.arrive(1)
+        begin = 0 if life == "first" else 1_000_000
+        jobs.run(
+            state.first_in_day(found, known), f"{root}/checkpoint-{life}", store=jobs.ROCKSDB,
+            write=lambda batch, n, begin=begin: table.write_batch(batch, begin + n),
+            partitions=state_partitions(t.events),
+        )
+    # Every written row, not the last of a key: a device that came out twice would be seen.
+    return table.versions(t.spark).select("dt", "mid", "ts")
+
+
+@query("""SELECT concat('sensor_', user_id) AS id, event_type AS kind, min(event_id) AS seq
+FROM events GROUP BY ALL""")
+def stream_first_of_kind(t):
+    """STA-09: entries of the state that live for a day."""
+    return _keyed(t, state.FirstOfKind(24 * HOUR), extra=["kind"], time="ProcessingTime")

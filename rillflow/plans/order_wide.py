@@ -44,6 +44,32 @@ def wide_order_stream(
     return assembled(left.join(right, same & near, "inner"))
 
 
+def match_state_stream(
+    infos: DataFrame, details: DataFrame, info_time: str, detail_time: str, buffer: str = "24 hours",
+    lateness: str = "1 hour",
+) -> DataFrame:
+    """Orders and details as a stream with whether the other side came in time (JON-06).
+
+    A pair comes out when its second half arrives. What finds no other half within ``buffer`` comes
+    out alone once the watermark, ``lateness`` behind the slower input, has passed that time; until
+    then it waits in the state, and afterwards it leaves it.
+    """
+    left = infos.select(
+        F.col("id").alias("info_id"), F.col(info_time).alias("info_at")
+    ).withWatermark("info_at", lateness)
+    right = details.select(
+        F.col("id").alias("detail_id"), "order_id", F.col(detail_time).alias("detail_at")
+    ).withWatermark("detail_at", lateness)
+    wait = F.expr(f"INTERVAL {buffer}")
+    near = F.col("detail_at").between(F.col("info_at") - wait, F.col("info_at") + wait)
+    joined = left.join(right, (F.col("info_id") == F.col("order_id")) & near, "full_outer")
+    return joined.select(
+        F.coalesce("info_id", "order_id").alias("order_id"), "detail_id",
+        F.when(F.col("detail_id").isNull(), "info_only").when(F.col("info_id").isNull(), "detail_only")
+        .otherwise("both").alias("match_state"),
+    )
+
+
 def wide_table(path: str, wide: DataFrame) -> KeyedTable:
     """Where wide rows are saved: by detail, in the day of their order; a repeated pair changes nothing."""
     return KeyedTable(path, ("detail_id",), wide.schema, ("create_time",), day="create_date")

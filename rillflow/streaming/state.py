@@ -206,13 +206,77 @@ class ReadingStates(_Readings):
         }])
 
 
-def keyed(readings: DataFrame, processor: _Readings, event_time: bool = False) -> DataFrame:
+class FirstOfKind(_Readings):
+    """The first reading of each kind, forgotten a while after it was last seen anew (STA-09).
+
+    The entries of the map state have a time to live and go by themselves; nothing scans for them.
+    The input has a ``kind`` as well.
+    """
+
+    schema = "id string, kind string, seq bigint"
+
+    def __init__(self, live_seconds: int):
+        self.live = live_seconds * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", "kind string", "seq bigint", ttlDurationMs=self.live)
+
+    def step(self, key, rows):
+        first = rows.drop_duplicates("kind")
+        new = [not self.seen.containsKey((kind,)) for kind in first["kind"]]
+        first = first[new]
+        for kind, seq in zip(first["kind"], first["seq"]):
+            self.seen.updateValue((kind,), (int(seq),))
+        return first[["id", "kind", "seq"]]
+
+
+class FirstInDay(StatefulProcessor):
+    """The first entry of a device and day; what a table holds already is seen from the start (STA-08).
+
+    The state begins as the rows given to the query, so a query that has lost its checkpoint goes
+    on where its sink stands.
+    """
+
+    schema = "dt string, mid string, ts bigint"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "ts bigint")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.seen.update((int(initialState["ts"].min()),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = min(int(part["ts"].min()) for part in rows)
+        if not self.seen.exists():
+            self.seen.update((first,))
+            yield pd.DataFrame({"dt": [key[0]], "mid": [key[1]], "ts": [first]})
+
+    def close(self) -> None:
+        pass
+
+
+def first_in_day(entries: DataFrame, known: DataFrame) -> DataFrame:
+    """New devices of a day among ``entries`` (dt, mid, ts), beside those ``known`` (dt, mid, ts).
+
+    ``known`` is read once, when the query starts without a checkpoint.
+    """
+    seen = known.select("dt", "mid", "ts").groupBy("dt", "mid")
+    return entries.select("dt", "mid", "ts").groupBy("dt", "mid").transformWithStateInPandas(
+        statefulProcessor=FirstInDay(), outputStructType=FirstInDay.schema, outputMode="Append",
+        timeMode="None", initialState=seen,
+    )
+
+
+def keyed(
+    readings: DataFrame, processor: _Readings, event_time: bool = False, time: str = "None"
+) -> DataFrame:
     """Run a processor per ``id``; with event time the readings carry a watermark.
 
+    State with a time to live needs ``time="ProcessingTime"``.
     Start the result with `jobs.start(..., store=jobs.ROCKSDB)`: this state needs that store.
     """
     return readings.groupBy("id").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.schema,
         outputMode="Update" if not event_time else "Append",
-        timeMode="EventTime" if event_time else "None",
+        timeMode="EventTime" if event_time else time,
     )

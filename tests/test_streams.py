@@ -173,3 +173,25 @@ def test_topic_reader_over_files(spark, tmp_path):
     stream = read_topic(spark, {}, "parquet", MESSAGE, str(tmp_path / "in"))
     jobs.run(stream, str(tmp_path / "c"), path=str(tmp_path / "out"))
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("t", "k", "v")]
+
+
+def test_entries_of_the_state_expire(spark, tmp_path):
+    """A kind is new again once its entry's time to live is over, and not before."""
+    from datetime import datetime
+
+    schema = f"{READING}, kind string"
+    root, out = tmp_path / "in", {}
+    row = ("s", datetime(2024, 1, 1), 1, 1.0, "a")
+    for life in (1, 3600):
+        for run in range(2):
+            spark.createDataFrame([row[:2] + (run,) + row[3:]], schema).coalesce(1).write.mode("append").json(f"{root}{life}")
+            rows_in = jobs.file_stream(spark, f"{root}{life}", spark.createDataFrame([], schema).schema, 1, "json")
+            found = state.keyed(rows_in, state.FirstOfKind(life), time="ProcessingTime")
+
+            def write(batch, batch_id, life=life):
+                batch.write.mode("overwrite").json(f"{tmp_path}/out{life}/batch_id={batch_id}")
+
+            jobs.run(found, f"{tmp_path}/c{life}", write=write, mode="update", store=jobs.EXPIRING)
+            time.sleep(2.5 if run == 0 and life == 1 else 0)
+        out[life] = rows(spark.read.schema(state.FirstOfKind.schema).json(f"{tmp_path}/out{life}").select("seq"))
+    assert out == {1: [(0,), (1,)], 3600: [(0,)]}
