@@ -43,7 +43,7 @@ def _packed(shard: int, block: int, first: int, docs: list[int], ids: list[np.nd
     return {
         "shard": [shard], "block": [block], "first_id": [first], "n_docs": [len(docs)],
         "n_ids": [len(flat)], "width": [width], "base_doc": [docs[0]],
-        "docs": [eliasfano.encode(np.array(docs, np.int64) - docs[0])],
+        "docs": [eliasfano.encode(np.array(docs, np.int64) - docs[0]) if docs[0] is not None else None],
         "bounds": [eliasfano.encode(np.concatenate([[0], np.cumsum(sizes)]))],
         "ids": [flat.astype(f"<u{width}").tobytes()],
     }
@@ -53,13 +53,12 @@ def write_store(docs: DataFrame, path: str, vocabulary: str) -> None:
     """Encode the texts of ``docs`` (doc_id, text) and write a store.
 
     A null text is empty, and every document ends with id 1, so an empty one has one token. Rows
-    without a doc_id cannot be addressed and are refused. Rows with the same doc_id follow one
-    another in order of their texts. An empty table gives a store without blocks.
+    without a doc_id come first, in blocks of their own without document numbers. Rows with the same
+    doc_id follow one another in order of their texts. An empty table gives a store without blocks.
     """
     ordered = (
         docs.select(
-            F.coalesce("doc_id", F.raise_error(F.lit("doc_id is null"))).cast("bigint")
-            .alias("doc_id"),
+            F.col("doc_id").cast("bigint").alias("doc_id"),
             F.coalesce("text", F.lit("")).alias("text"),
         )
         .repartitionByRange("doc_id")
@@ -85,7 +84,13 @@ def write_store(docs: DataFrame, path: str, vocabulary: str) -> None:
             numbers = iter(batch.column("doc_id").to_pylist())
             for group in encoder.batches(byte_texts(batch.column("text"))):
                 for ids in group:
-                    held_docs.append(next(numbers))
+                    number = next(numbers)
+                    if held_docs and held_docs[0] is None and number is not None:
+                        yield flush()
+                        block, first, size = block + 1, first + size, 0
+                        held_docs.clear()
+                        held_ids.clear()
+                    held_docs.append(number)
                     held_ids.append(np.concatenate([ids, end]))
                     size += len(ids) + 1
                     if size >= BLOCK_IDS:
@@ -101,13 +106,19 @@ def write_store(docs: DataFrame, path: str, vocabulary: str) -> None:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Each document of a store: where it starts, its length and the CRC of its ids."""
+    """Each document of a store: where it starts, its length and the CRC of its ids.
+
+    Every offset is a select on the bounds of its block.
+    """
     blocks = spark.read.schema(BLOCK).parquet(path)
 
     def decode(batch: pa.RecordBatch):
         for row in batch.to_pylist():
-            bounds = eliasfano.Coded(row["bounds"]).all()
-            numbers = eliasfano.Coded(row["docs"]).all() + row["base_doc"]
+            coded, count = eliasfano.Coded(row["bounds"]), row["n_docs"]
+            bounds = np.fromiter(map(coded.select, range(count + 1)), np.int64, count + 1)
+            numbers = [None] * count
+            if row["base_doc"] is not None:
+                numbers = eliasfano.Coded(row["docs"]).all() + row["base_doc"]
             ids = np.frombuffer(row["ids"], f"<u{row['width']}")
             yield {
                 "shard": np.full(len(numbers), row["shard"]), "doc_id": numbers,
@@ -131,6 +142,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def ids_of(block: dict, doc_id: int) -> list[int]:
     """The ids of a document in a block row, by two selects; empty when it is not there."""
+    if block["base_doc"] is None:
+        return []
     numbers, bounds = eliasfano.Coded(block["docs"]), eliasfano.Coded(block["bounds"])
     low, high = 0, numbers.count
     while low < high:

@@ -14,33 +14,30 @@ RULES = [
     ("allow", "org/fr/"),
 ]
 
-# Labelled hosts, made by hand: 1 is a host to block.
-LABELLED_HOSTS = [
-    ("www.daily-casino-slots.com", 1), ("win-cash-now.net", 1), ("buy-cheap-meds.org", 1),
-    ("m.hot-dates-4u.com", 1), ("free-iphone-gift.net", 1), ("casino777-bonus.com", 1),
-    ("adult-video-x.org", 1), ("pills-24h.com", 1), ("www.best-bets-online.net", 1),
-    ("track-ads-cdn.com", 1), ("loan-fast-cash.org", 1), ("xxx-cams.example.com", 1),
-    ("spam-mailer.example.org", 1), ("poker-win.example.net", 1), ("m.ad-click.example.com", 1),
-    ("www.crypto-double.example.org", 1), ("diet-pills.example.net", 1),
-    ("link-farm.example.com", 1), ("sex-x.example.org", 1), ("bets-live.example.net", 1),
-    ("clicks-track.example.com", 1), ("prize-win.example.org", 1), ("cheap-seo.example.net", 1),
-    ("warez-free.example.com", 1), ("a1b2c3d4e5.example.org", 1), ("x9f3k2.example.net", 1),
-    ("www.shop.example.com", 0), ("blog.example.org", 0), ("news.example.net", 0),
-    ("en.encyclopedia.org", 0), ("library.university.edu", 0), ("docs.project.org", 0),
-    ("www.gardening.com", 0), ("recipes.example.com", 0), ("history.example.org", 0),
-    ("m.weather.net", 0), ("blog.travelling.example.com", 0), ("www.museum.example.net", 0),
-    ("science.example.org", 0), ("forum.cycling.example.net", 0), ("www.theatre.example.com", 0),
-    ("music.example.org", 0), ("m.football.example.com", 0), ("blog.cooking.example.net", 0),
-    ("www.bridges.example.org", 0), ("poems.example.com", 0), ("maps.city.gov", 0),
-    ("www.hospital.org", 0), ("m.trains.example.net", 0), ("blog.stars.example.org", 0),
-    ("therapy.example.com", 0), ("thunder.example.net", 0),
-]
-# Each host occurs with each of these: schemes, and paths with a country, number and ending.
-LABELLED_SCHEMES = ["http", "https"]
-LABELLED_PATHS = [
-    "/", "/en/12", "/en/345.html", "/de/78/", "/fr/901?page=2&ref=x", "/es/23?utm_source=feed",
-    "/en/456#top", "/2024/05/17/a-long-title-of-a-story", "/index.php?id=77&s=1",
-]
+# Labelled parts of URLs, made by hand. Harmless and harmful hosts alike have hyphens, digits and
+# plain words; what tells them apart is spread over suffix, digits, entropy and length.
+GOOD_HOSTS = """www.shop.example.com blog.example.org news.example.net en.encyclopedia.org
+library.university.edu docs.project.org www.gardening.com recipes.example.com history.example.org
+m.weather.net blog.travelling.example.com www.museum.example.net science.example.org maps.city.gov
+www.long-standing-community.example.org route-66-travel.com m.formula-1-news.net 3sat-archive.org
+old-town-theatre.example.com 24h-pharmacy.org the-daily-herald.net casino.example.org poker.example.net
+dating.example.com loans.bank.com video.example.org bets.museum.org music-of-the-80s.example.net
+www.hospital.org forum.cycling.example.net thunder.example.net""".split()
+BAD_HOSTS = """casinobonus.top winbig.click freegift.win hotdates.xyz cheapmeds.top bestbets.click
+prizes.win adultvideo.xyz fastloan.top cryptodouble.click x7f9q2k4.example.com a1b2c3d4e5.example.org
+q8w7z5x3v1.example.net k3j9h2g8.com zx81cv72bn.net 185x220x101.org secure.login.account.update.example.com
+www.paypa1.signin.verify.session.example.net free.money.now.today.only.example.org
+win-cash-now.top buy-cheap-meds.click hot-dates-4u.xyz m.free-iphone-gift.win daily-casino-slots.top
+xkqzjwvbpfgh.com wqxzvkjhgfdp.net""".split()
+GOOD_PATHS = """/ /en/12 /en/345.html /de/78/ /fr/901?page=2 /es/23 /en/456#top /index.php?id=77
+/2024/05/17/a-long-title-of-a-story /docs/user-guide.pdf /img/photo.jpg /search?q=red+sea&page=2
+/about/team.html /blog/2023/11/how-to-grow-tomatoes-in-a-small-garden""".split()
+BAD_PATHS = """/win-cash-now?aff=1&sub=2&clk=3&ref=4&cid=5 /go?u=a8f3k2&src=push&cid=99182&tid=7&z=1
+/casino/slots/bonus?code=A8F3K2&src=push&cid=99182&sid=55 /dl/setup.exe /free/iphone.apk?id=8842
+/c/8f7a6b5c4d3e2f1a0b9c8d7e6f5a4b3c /r/93847561029384756102938475 /update/flash.exe?v=12
+/wp-content/plugins/x/y/z/a/b/c/login.php?e=1&t=2&s=3&q=4 /track?i=1&j=2&k=3&l=4&m=5&n=6
+/cracked/games.zip /m/e/r/c/h/a/n/t/verify.php?session=8273645&token=99aa88bb77cc""".split()
+SCHEMES = ("http", "https")
 
 FEATURES = [
     "url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio",
@@ -122,15 +119,16 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small labelled table: url and label."""
-    hosts = spark.createDataFrame(LABELLED_HOSTS, "host string, label int")
-    shapes = F.array(*[
-        F.struct(F.lit(s).alias("s"), F.lit(p).alias("p"))
-        for s in LABELLED_SCHEMES for p in LABELLED_PATHS
-    ])
-    return hosts.select("label", "host", F.inline(shapes)).select(
-        F.concat("s", F.lit("://"), "host", "p").alias("url"), "label"
-    )
+    """The small labelled table: url, label, host and path.
+
+    A URL is one to block for its host or for its path: harmless hosts have harmful paths as well,
+    so neither part decides alone.
+    """
+    pairs = [(h, p, 0) for h in GOOD_HOSTS for p in GOOD_PATHS]
+    pairs += [(h, p, 1) for h in GOOD_HOSTS for p in BAD_PATHS]
+    pairs += [(h, p, 1) for h in BAD_HOSTS for p in GOOD_PATHS]
+    rows = [(f"{s}://{h}{p}", label, h, p) for h, p, label in pairs for s in SCHEMES]
+    return spark.createDataFrame(rows, "url string, label int, host string, path string")
 
 
 class UrlModel:
@@ -141,9 +139,9 @@ class UrlModel:
         self.trees, self.rates, self.prior = trees, rates, prior
 
     @staticmethod
-    def train(labelled: DataFrame, trees: int = 12, depth: int = 3) -> UrlModel:
+    def train(labelled: DataFrame, trees: int = 30, depth: int = 4) -> UrlModel:
         """Learn from (url, label); the table is small, its suffixes are too."""
-        rows = lexical(url_parts(labelled)).cache()
+        rows = lexical(url_parts(labelled.select("url", "label"))).cache()
         prior = float(rows.agg(F.avg("label")).first()[0])
         rates = {}
         for name in ("_suffix", "_ending"):

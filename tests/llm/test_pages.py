@@ -97,9 +97,39 @@ def test_hosts_paths_and_rules(spark, model):
     assert urls.judge(pages.limit(0), model, urls.RULES).count() == 0
 
 
-def test_trees_judge_unseen_hosts(spark, model):
-    good = ["https://www.valley.example.com/en/8", "http://birds.example.org/es/77.html"]
-    bad = ["https://win-money.example.com/en/8", "http://www.free-slots.example.org/de/3?page=2"]
-    pages = spark.createDataFrame([(i, u) for i, u in enumerate(good + bad)], "page_id int, url string")
+def scores(spark, model, found):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(found)], "page_id int, url string")
     out = {r["page_id"]: r["url_score"] for r in urls.judge(pages, model, []).collect()}
-    assert out[0] < 0.5 and out[1] < 0.5 and out[2] > 0.5 and out[3] > 0.5
+    return [out[i] for i in range(len(found))]
+
+
+def test_trees_judge_unseen_urls(spark, model):
+    good = [
+        "https://www.valley.example.com/en/8", "http://birds.example.org/es/77.html",
+        "https://www.long-running-society.example.org/en/5", "http://abc.example.com/docs/tool.pdf",
+    ]
+    bad = [
+        "http://friendly.top/en/4", "http://abc.example.com/dl/tool.exe",  # suffix of host, of path
+        "http://z9x8c7v6b5.example.org/en/1",  # digits and entropy of the host
+        "https://www.gallery.example.net/sale?aff=1&sub=2&c=3&d=4&e=5",  # parameters
+    ]
+    out = scores(spark, model, good + bad)
+    assert all(x < 0.5 for x in out[:4]) and all(x > 0.5 for x in out[4:])
+
+
+def test_trees_use_many_features(model):
+    shares = sorted(model.trees.featureImportances.toArray(), reverse=True)
+    assert shares[0] < 0.5 and sum(x > 0.04 for x in shares) >= 5
+
+
+def test_held_out_hosts_and_paths(spark):
+    """URLs whose host and path are both unseen."""
+    from pyspark.sql import functions as F
+
+    table = urls.labelled_urls(spark)
+    host, path = (F.pmod(F.xxhash64(c), F.lit(4)) == 0 for c in ("host", "path"))
+    held = table.where(host & path).select("url", "label").collect()
+    learned = urls.UrlModel.train(table.where(~host & ~path))
+    out = scores(spark, learned, [r["url"] for r in held])
+    right = sum((x >= 0.5) == (r["label"] == 1) for x, r in zip(out, held))
+    assert len(held) > 40 and right >= 0.8 * len(held)

@@ -87,10 +87,18 @@ def test_store_round_trip(spark, library, monkeypatch):
         assert held == [direct(library, texts[doc])]
 
 
-def test_store_refuses_a_null_id(spark):
-    path = scratch_path(spark, "store")
-    with pytest.raises(Exception, match="doc_id is null"):
-        tokenstore.write_store(tables.documents(spark), path, tokens.default_vocabulary())
+def test_rows_without_an_id_come_first(spark, library, monkeypatch):
+    monkeypatch.setattr(tokenstore, "BLOCK_IDS", 3000)
+    docs, path = tables.documents(spark), scratch_path(spark, "store")
+    tokenstore.write_store(docs, path, tokens.default_vocabulary())
+    out = [tuple(r) for r in tokenstore.read_documents(spark, path).orderBy("start").collect()]
+    start, expected = 0, []
+    order = sorted(tables.pairs_of(docs), key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    for doc, text in order:
+        ids = direct(library, text)
+        expected.append((doc, start, len(ids), crc(ids)))
+        start += len(ids)
+    assert out == expected and out[0][0] is None and out[1][0] is None
 
 
 def test_store_of_an_empty_table(spark):
