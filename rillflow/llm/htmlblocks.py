@@ -38,6 +38,9 @@ HINTS = frozenset(
     " recommendations widget pagination pager search complementary contentinfo disclaimer"
     " copyright legal gdpr form".split()
 )
+# Beside these names a header belongs to the article.
+OWN = frozenset("article post entry story headline".split())
+HEADS = frozenset(["header", "masthead", "side"])
 COMMENTS = frozenset("comment comments reply replies disqus discussion respond feedback".split())
 
 TOKEN = re.compile(
@@ -71,6 +74,8 @@ class Block:
     in_hint: bool
     in_comments: bool
     heading: bool
+    elements: tuple[int, ...] = ()
+    names: tuple[int, ...] = ()
 
     @property
     def density(self) -> float:
@@ -83,10 +88,11 @@ class _Open:
 
     name: str
     article: bool = False
-    furniture: bool = False
-    hint: bool = False
     comments: bool = False
     heading: bool = False
+    # The containers around it that say they are furniture, by element and by name.
+    elements: tuple[int, ...] = ()
+    names: tuple[int, ...] = ()
 
 
 @dataclass
@@ -96,6 +102,7 @@ class _Reader:
     links: list[str] = field(default_factory=list)
     in_link: bool = False
     blocks: list[Block] = field(default_factory=list)
+    containers: int = 0
 
     def text(self, piece: str) -> None:
         if piece:
@@ -110,8 +117,8 @@ class _Reader:
                 linked = min(len(html.unescape("".join(self.links)).split()), len(words))
                 top = self.stack[-1]
                 self.blocks.append(Block(
-                    " ".join(words), len(words), linked, top.article, top.furniture, top.hint,
-                    top.comments, top.heading,
+                    " ".join(words), len(words), linked, top.article, bool(top.elements),
+                    bool(top.names), top.comments, top.heading, top.elements, top.names,
                 ))
         self.parts, self.links = [], []
 
@@ -134,11 +141,13 @@ class _Reader:
         comments = above.comments or bool(said & COMMENTS)
         # What lies around an article says nothing about the article, comments excepted.
         fresh = article and not comments
+        hinted = said & HINTS - (HEADS if said & OWN else frozenset())
+        self.containers += 1
+        mine = (self.containers,)
         self.stack.append(_Open(
-            name, above.article or article,
-            name in FURNITURE or above.furniture and not fresh,
-            bool(said & HINTS) or above.hint and not fresh,
-            comments, name in HEADINGS or above.heading,
+            name, above.article or article, comments, name in HEADINGS or above.heading,
+            (() if fresh else above.elements) + (mine if name in FURNITURE else ()),
+            (() if fresh else above.names) + (mine if hinted else ()),
         ))
 
     def end(self, name: str) -> None:
@@ -184,7 +193,28 @@ def blocks(page: str) -> list[Block]:
             reader.start(name, found[4] or found[7] or "")
     reader.text(page[at:])
     reader.close_block()
-    return reader.blocks
+    return _settled(reader.blocks)
+
+
+def _settled(found: list[Block]) -> list[Block]:
+    """Take back what containers with most of a page's own text say of themselves.
+
+    A page may lie in one form, or in a container named for a sidebar beside it; such names tell
+    furniture from text only where they mark the smaller part. Pages with an article have said
+    already where their text is.
+    """
+    if any(b.in_article for b in found):
+        return found
+    own: dict[int, int] = {}
+    for b in found:
+        for container in {*b.elements, *b.names}:
+            own[container] = own.get(container, 0) + b.words - b.linked
+    half = sum(b.words - b.linked for b in found) / 2
+    most = {container for container, words in own.items() if words > half}
+    for b in found:
+        b.in_furniture = not most.issuperset(b.elements)
+        b.in_hint = not most.issuperset(b.names)
+    return found
 
 
 def features(found: list[Block]) -> np.ndarray:
@@ -293,6 +323,37 @@ LABELLED = [
      f"<p>{_MID}</p><div><a href='/up'>To the top of this page</a></div><div>All rights reserved"
      f"</div>", "0 0 1 1 1 1 0 0"),
 ]
+
+
+def _said(words: int) -> str:
+    """Running text of so many words."""
+    return " ".join((_LONG.split() * 12)[:words])
+
+
+# Pages without an article element: text of many lengths between short and linked blocks.
+for _a, _b, _c in (
+    (20, 45, 90), (90, 20, 45), (45, 90, 20), (14, 30, 14), (150, 150, 60), (30, 14, 150), (60, 25, 30),
+):
+    _p, _q, _r = (f"<p>{_said(n)}</p>" for n in (_a, _b, _c))
+    LABELLED += [
+        (_p, "1"), (f"{_p}{_q}", "1 1"), (f"<div class='post'>{_p}{_q}{_r}</div>", "1 1 1"),
+        (f"<h1>High water</h1>{_p}{_q}{_r}", "1 1 1 1"),
+        (f"<div class='page with-sidebar'><ul>{_NAV}</ul><h1>Flood</h1>{_p}{_q}{_r}"
+         f"<div class='sidebar'><p>{_MID}</p></div></div>", "0000 1 1 1 1 0"),
+        (f"<form><ul>{_NAV}</ul><h2>High water in town</h2>{_p}{_q}<p>Nobody was hurt.</p>{_r}"
+         f"<p>Sign up</p></form>", "0000 1 1 1 1 1 0"),
+        (f"<section id='legal-news'><h1>Court</h1>{_q}{_r}{_p}</section><div>Call us</div>",
+         "1 1 1 1 0"),
+        (f"<div>Valley Post</div><div class='post'>{_r}<p>Yes.</p>{_p}{_q}</div>"
+         f"<div><a href='/o'>Older stories from the valley</a></div><div>Imprint</div>",
+         "0 1 1 1 1 0 0"),
+        (f"<ul>{_NAV}</ul><div class='article-header'><h1>Rain again</h1></div><div>{_p}{_r}</div>",
+         "0000 1 1 1"),
+    ]
+LABELLED += [
+    (f"<ul>{_NAV}</ul>", "0000"), ("<div>Home</div><div>Page not found</div>", "0 0"),
+    (f"<div>Valley Post</div><ul>{_NAV}</ul><div>All rights reserved</div>", "0 0000 0"),
+]
 # Furniture with as much text as an article, before, inside and after one.
 for _wrap in (
     "<nav>{}</nav>", "<header>{}</header>", "<footer>{}</footer>", "<aside>{}</aside>",
@@ -300,11 +361,11 @@ for _wrap in (
     "<div id='sidebar'>{}</div>", "<section class='notice'>{}</section>",
     "<div class='comments'>{}</div>",
 ):
-    _said = _wrap.format(f"<p>{_LONG}</p><p>{_MID}</p>")
+    _also = _wrap.format(f"<p>{_LONG}</p><p>{_MID}</p>")
     LABELLED += [
-        (f"{_said}<div><p>{_LONG}</p><p>{_MID}</p><p>{_LONG}</p></div>{_said}", "00 1 1 1 00"),
-        (f"{_said}<article><h1>Rain</h1><p>{_LONG}</p>{_said}<p>It rains.</p><p>{_LONG}</p>{_said}"
-         f"</article>{_said}", "00 1 1 00 1 1 00 00"),
+        (f"{_also}<div><p>{_LONG}</p><p>{_MID}</p><p>{_LONG}</p></div>{_also}", "00 1 1 1 00"),
+        (f"{_also}<article><h1>Rain</h1><p>{_LONG}</p>{_also}<p>It rains.</p><p>{_LONG}</p>{_also}"
+         f"</article>{_also}", "00 1 1 00 1 1 00 00"),
     ]
 
 

@@ -133,3 +133,51 @@ def test_held_out_hosts_and_paths(spark):
     out = scores(spark, learned, [r["url"] for r in held])
     right = sum((x >= 0.5) == (r["label"] == 1) for x, r in zip(out, held))
     assert len(held) > 40 and right >= 0.8 * len(held)
+
+
+def words(n, seed=0):
+    return " ".join(f"w{seed}x{i}" for i in range(n))
+
+
+BARE_PAGES = {
+    "paragraphs": (f"<p>{words(40)}</p><p>{words(70)}</p>", [words(40), words(70)]),
+    "post": (f"<div class='post'><p>{words(60)}</p><p>{words(13)}</p><p>{words(80)}</p></div>",
+             [words(60), words(13), words(80)]),
+    "with-sidebar": (
+        "<div class='page with-sidebar'><ul><li><a href=x>Home</a></li><li><a href=y>News</a></li></ul>"
+        f"<p>{words(50)}</p><p>{words(33)}</p></div>", [words(50), words(33)]),
+    "legal-news": (f"<section id='legal-news'><h1>Judge rules</h1><p>{words(35)}</p><p>{words(66)}</p></section>",
+                   ["Judge rules", words(35), words(66)]),
+    "social-policy": (f"<div class='post social-policy'><p>{words(35)}</p><p>{words(66)}</p></div>",
+                      [words(35), words(66)]),
+    "form around all": (
+        f"<form><nav><a href=1>a</a></nav><h1>Title of it</h1><p>{words(35)}</p><p>{words(66)}</p></form>",
+        ["Title of it", words(35), words(66)]),
+    "article-header": (
+        f"<article><div class='article-header'><h1>Headline here</h1></div><p>{words(35)}</p></article>",
+        ["Headline here", words(35)]),
+    "sidebar beside": (
+        f"<div><p>{words(35)}</p><p>{words(66)}</p><p>{words(50)}</p></div><div class='sidebar'><p>{words(30, 1)}</p></div>",
+        [words(35), words(66), words(50)]),
+    "links only": ("<ul><li><a href=1>One two</a></li><li><a href=2>Three</a></li></ul>", []),
+}
+
+
+@pytest.mark.parametrize("name", BARE_PAGES)
+def test_pages_without_an_article_element(name):
+    tree = htmlblocks.Tree.train(*htmlblocks.labelled_blocks())
+    page, kept = BARE_PAGES[name]
+    assert htmlblocks.main_text(page, tree)[0] == "\n\n".join(kept)
+
+
+def test_the_tree_splits_on_words_and_links():
+    used = set()
+
+    def walk(tree):
+        if tree.feature >= 0:
+            used.add(htmlblocks.FEATURES[tree.feature])
+            walk(tree.low)
+            walk(tree.high)
+
+    walk(htmlblocks.Tree.train(*htmlblocks.labelled_blocks()))
+    assert {"words", "link_density", "words_before", "words_after", "density_before"} <= used
