@@ -344,7 +344,7 @@ for _a, _b, _c in (
          f"<p>Sign up</p></form>", "0000 1 1 1 1 1 0"),
         (f"<section id='legal-news'><h1>Court</h1>{_q}{_r}{_p}</section><div>Call us</div>",
          "1 1 1 1 0"),
-        (f"<div>Valley Post</div><div class='post'>{_r}<p>Yes.</p>{_p}{_q}</div>"
+        (f"<div><a href='/'>Valley Post</a></div><div class='post'>{_r}<p>Yes.</p>{_p}{_q}</div>"
          f"<div><a href='/o'>Older stories from the valley</a></div><div>Imprint</div>",
          "0 1 1 1 1 0 0"),
         (f"<ul>{_NAV}</ul><div class='article-header'><h1>Rain again</h1></div><div>{_p}{_r}</div>",
