@@ -23,6 +23,11 @@ from rillflow.session import scratch_path
 
 # Any 13 words with two substitutions, and any 16 with three, are hit by one of these.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 5, 8, 9), (0, 1, 2, 4, 7), (0, 2, 4, 7, 9))
+# Items of fewer words than SHORT are hit by further masks: up to four words as they are, and more
+# with the substitutions that four fifths allow between the first word and the last.
+SHORT_MASKS = ((0,), (0, 1), (0, 1, 2), (0, 1, 2, 3), (0, 1, 3))
+ALL_MASKS = MASKS + SHORT_MASKS
+SHORT = 11
 LEAST_WORDS = 13
 IDENTITY = 0.8
 FILTER_BITS = 1 << 24
@@ -36,9 +41,19 @@ def plain(text: bytes) -> bytes:
     return text.translate(LOWER, SIGNS)
 
 
-def seeds(words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def masks_of(words: int) -> list[int]:
+    """The numbers of the masks that find an item of so many words."""
+    long = list(range(len(MASKS)))
+    if words >= SHORT:
+        return long
+    fit = (words - 1,) if words <= 4 else (2, 4)
+    return [*long, *(len(MASKS) + i for i in fit if i >= 0)]
+
+
+def seeds(words: np.ndarray, masks: list[int]) -> Iterator[tuple[int, np.ndarray]]:
     """For each mask its number and the hash at every position where it fits."""
-    for number, mask in enumerate(MASKS):
+    for number in masks:
+        mask = ALL_MASKS[number]
         count = len(words) - mask[-1]
         if count > 0:
             out = np.zeros(count, np.uint64)
@@ -91,7 +106,7 @@ def benchmark_seeds(items: DataFrame) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for item, words in zip(*(batch.column(c).to_pylist() for c in ("item_id", "item_words"))):
-            for _, found in seeds(np.array(words, np.int64).view(np.uint64)):
+            for _, found in seeds(np.array(words, np.int64).view(np.uint64), masks_of(len(words))):
                 yield {
                     "seed": found.view(np.int64), "item_id": np.full(len(found), item),
                     "item_at": np.arange(len(found)),
@@ -106,7 +121,9 @@ SEGMENT = (
 )
 
 
-def hit_segments(docs: DataFrame, seen: np.ndarray, reach: int) -> DataFrame:
+def hit_segments(
+    docs: DataFrame, seen: np.ndarray, reach: int, masks: list[int]
+) -> DataFrame:
     """Stretches of documents around seeds that pass the filter, ``reach`` words to either side."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
     known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -119,11 +136,11 @@ def hit_segments(docs: DataFrame, seen: np.ndarray, reach: int) -> DataFrame:
         texts = (plain(x) for x in byte_texts(batch.column("text")))
         for first, words, bounds in hasher.texts(texts):
             places, values = [], []
-            for number, found in seeds(words):
+            for number, found in seeds(words, masks):
                 place = np.flatnonzero(passing(bits, found))
                 # A seed must lie within one text.
                 owner = np.searchsorted(bounds, place, "right")
-                place = place[place + MASKS[number][-1] < bounds[owner]]
+                place = place[place + ALL_MASKS[number][-1] < bounds[owner]]
                 places.append(place)
                 values.append(found[place])
             if not places:
@@ -163,8 +180,7 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Data
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Positions and lengths count words
     without signs. A passage has at least 13 words, or the whole item if that is shorter, of which
-    four fifths are equal. Items of fewer than five words, null texts, and rows without an id are
-    never found. Rows with the same doc_id count as one document. Of passages as long the one with
+    four fifths are equal. Items without words, null texts, and rows without an id are never found. Rows with the same doc_id count as one document. Of passages as long the one with
     more equal words counts, then the first. Empty tables give an empty one.
     """
     # Words as hashes; as large as the benchmark, and read four times below.
@@ -172,13 +188,17 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Data
     benchmark_words(benchmark).write.parquet(path)
     items = spark.read.parquet(path)
     table = benchmark_seeds(items)
-    longest = items.agg(F.max(F.size("item_words"))).first()[0] or 0
+    # Only masks that some item needs are laid on the documents; there is one row per short length.
+    size = F.size("item_words")
+    lengths = items.select(F.least(size, F.lit(SHORT)).alias("n")).distinct().collect()
+    masks = sorted({m for r in lengths for m in masks_of(r["n"])})
+    longest = items.agg(F.max(size)).first()[0] or 0
     # A passage lies within an item's length of any of its seeds.
     reach = max(longest, 1) + MASKS[1][-1] + 1
 
     path = scratch_path(spark, "segments")
     named = docs.where("doc_id IS NOT NULL")
-    hit_segments(named, bitmap(table.select("seed"), FILTER_BITS), reach).write.parquet(path)
+    hit_segments(named, bitmap(table.select("seed"), FILTER_BITS), reach, masks).write.parquet(path)
     segments = spark.read.schema(SEGMENT).parquet(path)
 
     hits = segments.select("segment", F.inline("hits"))

@@ -172,3 +172,28 @@ def test_slopes_are_those_of_the_loss():
         model.weights[name] = moved
         assert (loss() - before) / 1e-6 == pytest.approx(slopes[name][at], abs=1e-4)
         model.weights[name] = weight
+
+
+def test_short_items_with_all_substitutions_are_found(spark):
+    """Every item of 1 to 14 words, with each choice of words changed that four fifths allow."""
+    from itertools import combinations
+
+    items, docs, wanted = [], [], set()
+    for n in range(1, 15):
+        words = [f"item{n}word{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        for changes in range(n // 5 + 1):
+            for places in combinations(range(1, n - 1), changes):
+                own = [f"x{len(docs)}" if i in places else w for i, w in enumerate(words)]
+                docs.append((len(docs), " ".join(["before", *own, "after"])))
+                wanted.add((len(docs) - 1, n))
+    found = seeds.overlaps(
+        spark, spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+    )
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == wanted
+
+
+def test_masks_follow_the_items():
+    assert seeds.masks_of(0) == seeds.masks_of(11) == list(range(len(seeds.MASKS)))
+    assert all(len(seeds.masks_of(n)) > len(seeds.MASKS) for n in range(1, seeds.SHORT))
