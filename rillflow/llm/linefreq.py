@@ -96,42 +96,85 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(plain, SPACES, " "))
 
 
-def line_verdicts(
-    docs: DataFrame, host: str = "source", texts: int = LINE_TEXTS, share: float = LINE_SHARE
-) -> DataFrame:
-    """Documents with their base rules, removed words and verdict.
-
-    ``docs`` has doc_id, text and a host column; a null host is the empty one. Documents without
-    a line above the limits lose nothing. Rows that repeat are judged alike. Ties do not matter:
-    a line at a limit stays. An empty table gives an empty one.
-    """
+def _keyed(docs: DataFrame, host: str) -> DataFrame:
+    """Rows with their host, text and a name for the text."""
     plain = docs.select(
         "doc_id", F.coalesce(host, F.lit("")).alias("_host"),
         F.coalesce("text", F.lit("")).alias("_text"),
     )
-    keyed = plain.withColumn("_key", F.xxhash64("_text"))
+    return plain.withColumn("_key", F.xxhash64("_text"))
 
+
+def _line(line: Column) -> Column:
+    return F.xxhash64(normalised(line))
+
+
+def host_lines(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per host, text and line, with its words in all copies, and the copies of each text."""
     pieces = F.transform(
         word_lines(F.col("_text")),
-        lambda x: F.struct(
-            F.xxhash64(normalised(x)).alias("line"), F.size(text_words(x)).alias("words")
-        ),
+        lambda x: F.struct(_line(x).alias("line"), F.size(text_words(x)).alias("words")),
     )
     lines = keyed.select("_host", "_key", F.inline(pieces))
-    # One row per host, text and line; copies of a text add up here and are divided out below.
-    # The table is read three times.
+    # Copies of a text add up here and are divided out by the reader. The table is read three times.
     lines = lines.groupBy("_host", "_key", "line").agg(F.sum("words").alias("words"))
-    lines = saved(docs.sparkSession, lines, "host-lines")
     copies = keyed.groupBy("_host", "_key").agg(F.count("*").alias("copies"))
-    hosts = copies.groupBy("_host").agg(F.count("*").alias("texts"))
+    return saved(keyed.sparkSession, lines, "host-lines"), copies
 
+
+def frequent_lines(lines: DataFrame, copies: DataFrame, texts: int, share: float) -> DataFrame:
+    """The lines (_host, line) above the limits."""
+    hosts = copies.groupBy("_host").agg(F.count("*").alias("texts"))
     counts = lines.groupBy("_host", "line").agg(F.count("*").alias("found"))
-    frequent = (
+    return (
         counts.where(F.col("found") > texts)
         .join(hosts, "_host")
         .where(F.col("found") > share * F.col("texts"))
         .select("_host", "line")
     )
+
+
+def without_frequent_lines(
+    docs: DataFrame, host: str = "source", texts: int = LINE_TEXTS, share: float = LINE_SHARE
+) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and a host column) without the lines above the limits.
+
+    Every such line goes from every text of its host, the first included. All else of a text stays
+    as it is, lines without a word too; a null text stays null. Other columns and repeated rows
+    stay. An empty table gives an empty one.
+    """
+    keyed = _keyed(docs, host)
+    lines, copies = host_lines(keyed)
+    # A text's own lines that go: no more than it has.
+    gone = (
+        lines.join(frequent_lines(lines, copies, texts, share), ["_host", "line"])
+        .groupBy("_host", "_key").agg(F.collect_set("line").alias("_gone"))
+    )
+    rows = docs.select(
+        F.struct("*").alias("_row"), F.coalesce(host, F.lit("")).alias("_host"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"),
+    ).join(gone, ["_host", "_key"], "left")
+    left = F.filter(
+        F.split("_row.text", "\n"), lambda x: ~F.array_contains(F.col("_gone"), _line(x))
+    )
+    text = F.when(F.col("_gone").isNotNull(), F.array_join(left, "\n")).otherwise(F.col("_row.text"))
+    return rows.select(*[
+        text.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns
+    ])
+
+
+def line_verdicts(
+    docs: DataFrame, host: str = "source", texts: int = LINE_TEXTS, share: float = LINE_SHARE
+) -> DataFrame:
+    """Documents with their base rules, the words of lines above the limits and the verdict.
+
+    ``docs`` has doc_id, text and a host column; a null host is the empty one. Documents without
+    a line above the limits lose nothing. Rows that repeat are judged alike. Ties do not matter:
+    a line at a limit stays. An empty table gives an empty one.
+    """
+    keyed = _keyed(docs, host)
+    lines, copies = host_lines(keyed)
+    frequent = frequent_lines(lines, copies, texts, share)
     removed = (
         lines.join(frequent, ["_host", "line"])
         .groupBy("_host", "_key").agg(F.sum("words").alias("words"))

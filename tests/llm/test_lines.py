@@ -147,3 +147,35 @@ def test_depleted_documents_are_rejected(spark, copies):
 
 def test_verdicts_of_an_empty_table(spark):
     assert linefreq.line_verdicts(tables.empty(spark)).count() == 0
+
+
+def test_frequent_lines_go_from_every_text(spark):
+    """Against a plain count of the different texts of a host that hold a line."""
+    import re
+    from collections import defaultdict
+
+    docs = tables.documents(spark).cache()
+
+    def name(line):
+        return " ".join(re.sub("[0-9]", "0", line.lower()).split(" "))
+
+    found, seen = defaultdict(set), defaultdict(set)
+    rows = docs.select("line", "text", "source").collect()
+    for r in rows:
+        seen[r["source"] or ""].add(r["text"] or "")
+        for line in re.split("\n", r["text"] or ""):
+            if line.split():
+                found[(r["source"] or "", " ".join(name(line).split()))].add(r["text"])
+    gone = {k for k, t in found.items() if len(t) > 5 and len(t) > 0.01 * len(seen[k[0]])}
+    assert gone
+    wanted = {
+        r["line"]: None if r["text"] is None else "\n".join(
+            x for x in r["text"].split("\n")
+            if (r["source"] or "", " ".join(name(x).split())) not in gone or not x.split())
+        for r in rows
+    }
+    out = linefreq.without_frequent_lines(docs, texts=5)
+    assert out.columns == docs.columns
+    left = {r["line"]: r["text"] for r in out.collect()}
+    assert left == wanted and any(left[r["line"]] != r["text"] for r in rows)
+    assert linefreq.without_frequent_lines(tables.empty(spark)).count() == 0
