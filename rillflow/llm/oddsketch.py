@@ -7,17 +7,18 @@
 3. In each band bucket every class is compared with the bucket's centre. The best centre of a
    class, if the sketches allow the similarity, is verified on the full sets, and links are joined up.
 4. Buckets that still hold classes of different groups are compared in blocks, sketch against
-   sketch, across groups only; each pair is named once. Pairs are verified on the full sets as well.
+   sketch, across groups only. A block names its members that have a pair to verify; their full sets
+   come to the block, which verifies the pairs in its task and gives out the links that join groups.
 
-Groups of copies therefore cost their size, not its square. What can still grow with the square of
-a group are pairs of step 4: texts of the same buckets that are nearly, but not quite, similar enough
-and belong to no common group.
+Groups of copies therefore cost their size, not its square, and no pair leaves a task before it is
+verified. What still grows with the square of a bucket is the comparing itself, block against block,
+of texts that are nearly, but not quite, similar enough and belong to no common group.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ SKETCH_LONGS = 16
 # Sketches estimate the similarity with a standard deviation of about 0.016 at 85 %; a pair is
 # dropped without a look at its sets only this far below that limit. See ``margin``.
 MARGIN = 0.07
-BLOCK = 1024
+# Classes of a block, and shingles of all its classes together.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 
 SIGNED = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>, sketch array<bigint>"
 
@@ -179,94 +181,199 @@ def star_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def _mixed_buckets(classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets with classes of different groups, in pairs of blocks (i, j)."""
-    grouped = classes.join(labels, "node", "left").select(
+def _grouped(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    return classes.join(labels, "node", "left").select(
         "node", "bands", "sketch", "n_shingles", F.coalesce("component", "node").alias("label")
     )
-    entries = grouped.select("node", "label", F.explode("bands").alias("bucket"))
-    blocks = (
-        entries.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-        .where("low <> high")
-        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda other: F.struct(
-            F.least(F.col("own"), other).alias("i"), F.greatest(F.col("own"), other).alias("j")
-        ),
+
+
+def _mixed_buckets(grouped: DataFrame, percent: int) -> DataFrame:
+    """Members of buckets with classes of different groups, in pairs of blocks (i, j).
+
+    A large bucket is cut by set size into levels, of which only neighbours can hold a pair: the
+    sizes of two levels apart differ by more than the limit allows. Levels are cut into blocks.
+    """
+    step = math.log(100 / min(percent, 99)) * (1 + 1e-9)
+    entries = grouped.select(
+        "node", "label", "n_shingles", F.explode("bands").alias("bucket"),
+        F.floor(F.log("n_shingles") / step).cast("bigint").alias("level"),
     )
-    dealt = (
-        entries.join(blocks, "bucket").withColumn("own", own)
-        .select("bucket", "node", "own", F.inline(others))
+    measures = [F.min("label").alias("low"), F.max("label").alias("high")]
+    by_level = entries.groupBy("bucket", "level").agg(
+        *measures, F.count("*").alias("n"), F.sum("n_shingles").alias("size")
     )
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_SHINGLES))
+    # A bucket has few levels, since they grow with the logarithm of a size.
+    level = F.struct("level", F.struct("low", "high", blocks.alias("blocks")))
+    buckets = by_level.groupBy("bucket").agg(
+        F.min("low").alias("least"), F.max("high").alias("most"),
+        ((F.sum("n") <= BLOCK) & (F.sum("size") <= BLOCK_SHINGLES)).alias("small"),
+        F.map_from_entries(F.collect_list(level)).alias("levels"),
+    ).where("least <> most").select("bucket", "small", "levels")
+
+    at = F.col("levels")[F.col("level")]
+    own = F.shiftleft(F.col("level"), 32) + F.pmod(F.xxhash64("node"), at["blocks"])
+
+    def against(other: Column) -> Column:
+        """Pairs of blocks with another level; none if both hold one and the same group."""
+        there = F.col("levels")[other]
+        mixed_labels = F.least(at["low"], there["low"]) != F.greatest(at["high"], there["high"])
+        return F.when(there.isNull() | ~mixed_labels, F.array().cast("array<bigint>")).otherwise(
+            F.transform(
+                F.sequence(F.lit(0).cast("bigint"), there["blocks"] - 1),
+                lambda block: F.shiftleft(other, 32) + block,
+            )
+        )
+
+    others = F.concat(*[against(F.col("level") + away) for away in (-1, 0, 1)])
+    dealt = entries.join(buckets, "bucket").select(
+        "bucket", "node", F.when(F.col("small"), F.lit(0)).otherwise(own).alias("own"),
+        F.when(F.col("small"), F.array(F.lit(0).cast("bigint"))).otherwise(others).alias("others"),
+    ).select("bucket", "node", "own", F.explode("others").alias("other"))
     member = F.struct("own", "node", "label", "n_shingles", "sketch", "bands")
     return (
-        dealt.join(grouped, "node")
+        dealt.select("bucket", "node", "own", F.least("own", "other").alias("i"),
+                     F.greatest("own", "other").alias("j"))
+        .join(grouped, "node")
         .groupBy("bucket", "i", "j").agg(F.collect_list(member).alias("members"))
         .select("bucket", "i", "j", "members")
     )
 
 
-def _compared(batch: pa.RecordBatch, percent: int, least: float) -> Iterator[tuple]:
-    """For each member of a block the members of other groups that its sketch allows.
+FIELDS = ("own", "node", "label", "n_shingles")
+
 
-    Yields (nodes, bands, bucket, x, ys) with positions in the block.
+def _allowed(
+    key: tuple, own: np.ndarray, label: np.ndarray, size: np.ndarray, sketch: np.ndarray,
+    bands: np.ndarray, percent: int,
+) -> Iterator[tuple[int, np.ndarray]]:
+    """For the members of a block (bucket, i, j) those of other groups that their sketches allow.
+
+    A pair belongs to the first bucket that its classes share. Yields positions in the block.
     """
+    bucket, first, second = key
     bits = 64 * SKETCH_LONGS
     # The same estimate as ``similarity``, solved for the number of differing bits.
-    most_bits = bits / 2 * (1 - np.exp(-4 * (1 - least) * SAMPLES / bits))
-    lists = batch.column("members")
-    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    flat = lists.flatten()
-    column = {f: flat.field(f).to_numpy(False) for f in ("own", "node", "label", "n_shingles")}
-    sketch = flat.field("sketch").flatten().to_numpy(False).view(np.uint64)
-    sketch = sketch.reshape(-1, SKETCH_LONGS)
-    bands = flat.field("bands").flatten().to_numpy(False).reshape(-1, bands_of(percent))
-    buckets = batch.column("bucket").to_numpy()
-    firsts, seconds = batch.column("i").to_numpy(), batch.column("j").to_numpy()
-    for k in range(batch.num_rows):
-        here = slice(offsets[k], offsets[k + 1])
-        block, node, label, size = (column[f][here] for f in column)
-        bitmap, band = sketch[here], bands[here]
-        right = np.flatnonzero(block == seconds[k])
-        for x in np.flatnonzero(block == firsts[k]):
-            y = right[right > x] if firsts[k] == seconds[k] else right
-            y = y[label[y] != label[x]]
-            small, large = np.minimum(size[y], size[x]), np.maximum(size[y], size[x])
-            y = y[100 * small >= percent * large]
-            differing = np.bitwise_count(bitmap[y] ^ bitmap[x]).sum(1, dtype=np.int64)
-            y = y[differing <= most_bits]
-            if len(y):
-                yield node, band, buckets[k], x, y
-
-
-def cross_pairs(classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of a bucket in different groups whose sketches allow the similarity.
-
-    Each pair comes from the first bucket that its classes share.
-    """
+    most_bits = bits / 2 * (1 - np.exp(-4 * (1 - _least_similarity(percent)) * SAMPLES / bits))
+    right = np.flatnonzero(own == second)
+    for x in np.flatnonzero(own == first):
+        y = right[right > x] if first == second else right
+        y = y[label[y] != label[x]]
+        small, large = np.minimum(size[y], size[x]), np.maximum(size[y], size[x])
+        y = y[100 * small >= percent * large]
+        differing = np.bitwise_count(sketch[y] ^ sketch[x]).sum(1, dtype=np.int64)
+        y = y[differing <= most_bits]
+        if len(y):
+            y = y[bands[x][(bands[y] == bands[x]).argmax(1)] == bucket]
+        if len(y):
+            yield x, y
+
+
+def _table(flat: Callable[[str], pa.Array], percent: int) -> dict[str, np.ndarray]:
+    """The columns of members; sketches and bands as rows of a table."""
+    out = {f: flat(f).to_numpy(False) for f in FIELDS}
+    out["sketch"] = flat("sketch").flatten().to_numpy(False).view(np.uint64).reshape(-1, SKETCH_LONGS)
+    out["bands"] = flat("bands").flatten().to_numpy(False).reshape(-1, bands_of(percent))
+    return out
+
+
+def cross_members(grouped: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Members of blocks with a pair to verify there: (bucket, i, j, own, node)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for node, band, bucket, x, y in _compared(batch, percent, _least_similarity(percent)):
-            y = y[band[x][(band[y] == band[x]).argmax(1)] == bucket]
-            found.append((np.minimum(node[y], node[x]), np.maximum(node[y], node[x])))
-        if found:
-            yield {"a": np.concatenate([a for a, _ in found]),
-                   "b": np.concatenate([b for _, b in found])}
-
-    return map_batches(_mixed_buckets(classes, labels), work, "a bigint, b bigint").distinct()
-
+        lists = batch.column("members")
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        column = _table(lists.flatten().field, percent)
+        keys = [batch.column(c).to_numpy() for c in ("bucket", "i", "j")]
+        wanted = np.zeros(len(column["node"]), bool)
+        for k, key in enumerate(zip(*keys)):
+            here = slice(offsets[k], offsets[k + 1])
+            fields = [column[f][here] for f in ("own", "label", "n_shingles", "sketch", "bands")]
+            for x, y in _allowed(key, *fields, percent):
+                wanted[here][x] = wanted[here][y] = True
+        found = np.flatnonzero(wanted)
+        if len(found):
+            block = np.searchsorted(offsets, found, "right") - 1
+            yield {
+                **{c: k[block] for c, k in zip(("bucket", "i", "j"), keys)},
+                "own": column["own"][found], "node": column["node"][found],
+            }
 
-def verified(
-    docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int = WIDTH,
+    schema = "bucket bigint, i bigint, j bigint, own bigint, node bigint"
+    return map_batches(_mixed_buckets(grouped, percent), work, schema)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Rows in order of their block, block by block."""
+    key, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "i", "j")])
+        edges = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()
+        for begin, end in zip([0, *edges], [*edges, batch.num_rows]):
+            here = tuple(keys[:, begin].tolist())
+            if held and here != key:
+                yield key, pa.Table.from_batches(held)
+                held = []
+            key = here
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield key, pa.Table.from_batches(held)
+
+
+def _joined(key: tuple, rows: pa.Table, percent: int) -> Iterator[tuple[int, int]]:
+    """Links (a, b) that the full sets confirm, as many as join the groups of a block up."""
+    column = _table(lambda f: rows.column(f).combine_chunks(), percent)
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+    node, label = column["node"], column["label"]
+    above: dict[int, int] = {}
+
+    def top(group: int) -> int:
+        while group in above:
+            group = above[group]
+        return group
+
+    fields = [column[f] for f in ("own", "label", "n_shingles", "sketch", "bands")]
+    for x, others in _allowed(key, *fields, percent):
+        for y in others.tolist():
+            one, other = top(int(label[x])), top(int(label[y]))
+            if one != other and similar(sets[x], sets[y], percent):
+                above[max(one, other)] = min(one, other)
+                yield int(node[x]), int(node[y])
+
+
+def cross_links(
+    docs: DataFrame, classes: DataFrame, labels: DataFrame, width: int = WIDTH,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """The pairs whose full shingle sets are as similar as asked."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    """Links (a, b) between classes of different groups that join these groups up."""
+    spark = docs.sparkSession
+    grouped = _grouped(classes, labels)
+    members = saved(spark, cross_members(grouped, percent), "members")
+    sets = full_sets(docs, classes, members.select("node").distinct(), width)
+    block = ["bucket", "i", "j"]
+    rows = members.join(sets, "node").join(grouped, "node").repartition(*block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, table in _blocks(batches):
+            links = list(_joined(key, table, percent))
+            if links:
+                columns = [pa.array(c, pa.int64()) for c in zip(*links)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return rows.sortWithinPartitions(*block).mapInArrow(run, "a bigint, b bigint")
+
+
+def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two ascending sets reach the similarity."""
+    places = np.minimum(np.searchsorted(other, one), len(other) - 1)
+    shared = int((other[places] == one).sum())
+    return 100 * shared >= percent * (len(one) + len(other) - shared)
+
+
+def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """The shingle sets of the named classes: (node, shingles)."""
     names = classes.join(nodes, "node").select(F.col("rep").alias("doc_id"), "node")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
@@ -286,17 +393,23 @@ def verified(
     # Rows that repeat give the same set twice; rows with another text under the same doc_id
     # are left out by the name of the set.
     full = map_batches(texts.join(names, "doc_id"), sets, "node bigint, shingles binary")
-    full = full.dropDuplicates(["node"])
+    return full.dropDuplicates(["node"])
+
+
+def verified(
+    docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int = WIDTH,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """The pairs whose full shingle sets are as similar as asked."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    full = full_sets(docs, classes, nodes, width)
     left = full.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = full.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
 
     def check(batch: pa.RecordBatch) -> Iterator[dict]:
         good_a, good_b = [], []
         for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "set_a", "set_b"))):
-            one, other = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            places = np.minimum(np.searchsorted(other, one), len(other) - 1)
-            shared = int((other[places] == one).sum())
-            if 100 * shared >= percent * (len(one) + len(other) - shared):
+            if similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent):
                 good_a.append(a)
                 good_b.append(b)
         yield {"a": good_a, "b": good_b}
@@ -325,16 +438,12 @@ def near_duplicates(
     )
     classes = saved(spark, classes, "classes")
 
-    def grown(links: DataFrame | None, pairs: DataFrame) -> DataFrame:
-        pairs = saved(spark, pairs, "pairs")
-        more = saved(spark, verified(docs, classes, pairs, width, percent), "links")
-        return links.union(more) if links is not None else more
-
-    links = grown(None, star_pairs(classes, percent))
+    pairs = saved(spark, star_pairs(classes, percent), "pairs")
+    links = saved(spark, verified(docs, classes, pairs, width, percent), "links")
     labels = components(links)
-    cross = saved(spark, cross_pairs(classes, labels, percent), "pairs")
+    cross = saved(spark, cross_links(docs, classes, labels, width, percent), "links")
     if not cross.isEmpty():
-        labels = components(grown(links, cross))
+        labels = components(links.union(cross))
 
     # A group is named by the smallest document of its classes.
     grouped = classes.select("node", "key_b", "rep").join(labels, "node", "left").select(

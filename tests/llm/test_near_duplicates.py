@@ -67,6 +67,35 @@ def test_chains_and_large_groups_of_copies(spark):
     assert found(spark, docs) == brute(rows)
 
 
+def test_buckets_in_blocks(spark, monkeypatch):
+    # Texts of one base that are linked in chains only, of sizes on several levels.
+    base = tables.prose(52, 120)
+    rows = [(i, tables.changed(base, i, 2 + i % 4)) for i in range(60)]
+    rows += [(100 + i, tables.changed(base, 200 + i, 3) + " " + tables.prose(300 + i, 4 * i)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    wanted = brute(rows)
+    for classes, shingles in ((4, 2_000_000), (1024, 500)):
+        monkeypatch.setattr(oddsketch, "BLOCK", classes)
+        monkeypatch.setattr(oddsketch, "BLOCK_SHINGLES", shingles)
+        assert found(spark, docs) == wanted
+
+
+def test_a_block_gives_no_more_links_than_join_its_groups(spark):
+    base = tables.prose(53, 200)
+    rows = [(i, tables.changed(base, i, 1)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    signed = oddsketch.signatures(docs)
+    classes = signed.select(
+        F.col("key_a").alias("node"), "key_b", F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch"
+    )
+    alone = spark.createDataFrame([], "node bigint, component bigint")
+    # Without the groups of the bucket centres, blocks have all pairs to verify.
+    members = oddsketch.cross_members(oddsketch._grouped(classes, alone))
+    per_block = Counter((r["bucket"], r["i"], r["j"]) for r in members.collect())
+    links = oddsketch.cross_links(docs, classes, alone)
+    assert per_block and 29 <= links.count() <= sum(n - 1 for n in per_block.values())
+
+
 def test_empty_table(spark):
     assert oddsketch.near_duplicates(spark, tables.empty(spark)).count() == 0
 
