@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rillflow.catalog.records import MOVIES, movies
 from rillflow.catalog.registry import ORACLES, query
 from rillflow.functions import analysed, highlight
+from rillflow.functions.sqltext import register_text_functions
 from rillflow.operators import aggregates, indexed, mutate, relational, search, views
 from rillflow.session import scratch_path
 
@@ -200,6 +201,34 @@ def terms_by_avg_matched(t):
         FROM matched_movies GROUP BY group_key ORDER BY avg_value DESC, group_key LIMIT 10""")
 
 
+@query(ORACLES["terms_by_avg_matched"])
+def terms_by_avg_in_sql(t):
+    """AGG-14: match and grouping in one statement."""
+    register_text_functions(t.spark)
+    _weighed(t).createOrReplaceTempView("weighed_movies")
+    return t.spark.sql("""
+        SELECT group_key, count(*) AS doc_count,
+               CAST(sum(CAST(weight AS DECIMAL(28,10))) AS DOUBLE) / count(weight) AS avg_value
+        FROM weighed_movies LATERAL VIEW explode(array_distinct(actorList.name)) AS group_key
+        WHERE match(name, 'red bolt')
+        GROUP BY group_key ORDER BY avg_value DESC, group_key LIMIT 10""")
+
+
+@query(f"""WITH {DOCS} SELECT doc_id,
+  CAST(list_contains(tokens, 'the') AS INTEGER) + CAST(list_contains(tokens, 'token') AS INTEGER) AS score,
+  list_has_all(tokens, ['the', 'token']) AS every_token,
+  contains(concat(' ', array_to_string(tokens, ' '), ' '), ' of the ') AS phrase
+FROM docs WHERE list_has_any(tokens, ['the', 'token'])""")
+def match_in_sql(t):
+    """SCH-01, SCH-02, SCH-03 as functions of SQL."""
+    register_text_functions(t.spark)
+    t.documents.createOrReplaceTempView("searched_documents")
+    return t.spark.sql("""
+        SELECT doc_id, match_score(text, 'The token') AS score, match_all(text, 'The token') AS every_token,
+               match_phrase(text, 'of the') AS phrase
+        FROM searched_documents WHERE match(text, 'The token')""")
+
+
 @query(f"""WITH {MOVIES}
 SELECT id, regexp_replace(name, '\\b(red|bolt)\\b', '<em>\\1</em>', 'g') AS name, "doubanScore",
        {SCORE} AS score FROM movies WHERE "doubanScore" >= 5 AND {SCORE} > 0

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from rillflow.catalog.records import CELLS, customer_cells, text
 from rillflow.catalog.registry import query
-from rillflow.operators import keyrange
+from rillflow.operators import keyrange, loads
 from rillflow.operators import widecolumn as wc
+from rillflow.session import scratch_path
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS row_key, c_name AS name,
@@ -115,6 +116,28 @@ def bucketed_load(t):
     return keyrange.bucketed(customer_cells(t), keyrange.split_keys(3, 10, "0", "10"))
 
 
+@query(r"""WITH salted AS (
+  SELECT concat(substr(md5(CAST(p_partkey AS VARCHAR)), 1, 3), p_partkey) AS row_key, p_name, p_size FROM part)
+SELECT row_key, 'info' AS family, q AS qualifier, CAST(0 AS BIGINT) AS ts,
+  CASE q WHEN 'name' THEN p_name ELSE CAST(p_size AS VARCHAR) END AS value
+FROM salted, (VALUES ('name'), ('size')) AS v(q) WHERE row_key >= '4' AND row_key < 'b7'""")
+def written_load(t):
+    """SNK-13: salted keys written as sorted files, and a key range read back."""
+    rows = t.part.select(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"), F.col("p_size").alias("size"))
+    path = scratch_path(t.spark, "load")
+    loads.write_load(wc.sorted_load(rows, "key", "info"), path)
+    return loads.read_range(t.spark, path, "4", "b7")
+
+
+@query(f"""WITH {CELLS} SELECT *, CAST(row_key >= '3' AS INTEGER) + CAST(row_key >= '6' AS INTEGER)
+  + CAST(row_key >= '9' AS INTEGER) AS bucket FROM cells WHERE row_key >= '25' AND row_key < '61'""")
+def written_bucket_load(t):
+    """DST-02: a folder per bucket, of which a range read opens its own."""
+    path, splits = scratch_path(t.spark, "load"), keyrange.split_keys(3, 10, "0", "10")
+    loads.write_load(customer_cells(t), path, splits)
+    return loads.read_range(t.spark, path, "25", "61", splits)
+
+
 def _moves(t):
     """Customers with an open order get their segment overwritten."""
     found = t.orders.where(F.col("o_orderstatus") == "O").select(text("o_custkey").alias("row_key")).distinct()
