@@ -15,7 +15,8 @@ from rillflow.schemas import DAU_INFO, SENSOR, struct
 from rillflow.session import plan_bytes, scratch_path, state_partitions
 from rillflow.sinks.keyed import KeyedTable
 from rillflow.sinks.topics import stream_messages
-from rillflow.streaming import jobs, state
+from rillflow.sources import records as record_files
+from rillflow.streaming import jobs, offsets, state
 
 HOUR = 3600
 
@@ -373,3 +374,47 @@ FROM events GROUP BY ALL""")
 def stream_first_of_kind(t):
     """STA-09: entries of the state that live for a day."""
     return _keyed(t, state.FirstOfKind(24 * HOUR), extra=["kind"], time="ProcessingTime")
+
+
+def _event_records(s: StreamedTables, topic: str, checkpoint: str) -> None:
+    """Write what has arrived of the events as records: the next epoch."""
+    record_files.register(s.spark)
+    sent = s.events.select(records.text("event_id").alias("key"), F.col("event_type").alias("value"))
+    jobs.run(sent, checkpoint, path=topic, source="keyed_records")
+
+
+EVENT_RECORDS = "SELECT CAST(event_id AS VARCHAR) AS key, event_type AS value FROM events"
+
+
+@query(EVENT_RECORDS)
+def stream_records(t):
+    """EXT-04, EXT-05 as streams: epochs written, read as they come and written again."""
+    s, root = StreamedTables(t, "events", slices=0), scratch_path(t.spark, "records")
+    for _ in range(BATCHES):
+        s.arrive(1)
+        _event_records(s, f"{root}/topic", f"{root}/sent")
+        read = t.spark.readStream.format("keyed_records").load(f"{root}/topic")
+        jobs.run(read, f"{root}/got", path=f"{root}/copy", source="keyed_records")
+    return t.spark.read.format("keyed_records").load(f"{root}/copy")
+
+
+@query(EVENT_RECORDS)
+def stream_from_offsets(t):
+    """STR-08, SRC-06: a query without its checkpoint goes on from the offsets it has saved."""
+    s, root = StreamedTables(t, "events", slices=0), scratch_path(t.spark, "offsets")
+    schema, name = struct(key="string", value="string"), "from-offsets"
+    table = KeyedTable(f"{root}/table", ("key",), schema, ("value",), day=None)
+    for life in range(BATCHES):
+        s.arrive(1)
+        _event_records(s, f"{root}/topic", f"{root}/sent")
+        known = offsets.saved_offsets(f"{root}/saved", name)
+        reader = t.spark.readStream.format("keyed_records")
+        if known:
+            reader = reader.option("startingEpoch", known[0]["epoch"])
+        with offsets.OffsetKeeper(t.spark, f"{root}/saved", name):
+            jobs.run(
+                reader.load(f"{root}/topic"), f"{root}/checkpoint-{life}", name=name,
+                write=lambda batch, n, life=life: table.write_batch(batch, life * 1_000_000 + n),
+            )
+    # Every written row, so that one that came twice would be seen.
+    return table.versions(t.spark).select("key", "value")

@@ -59,23 +59,26 @@ def start(
     df: DataFrame, checkpoint: str, path: str | None = None,
     write: Callable[[DataFrame, int], None] | None = None, mode: str = "append",
     every: str | None = EVERY, store: dict[str, str] | None = None,
-    partitions: int | None = None,
+    partitions: int | None = None, source: str = "parquet", name: str | None = None,
 ) -> StreamingQuery:
     """Start a query into files or a batch writer (STR-07, STR-08, STR-09).
 
     Progress is kept at ``checkpoint``: a restart goes on after the last finished batch. With
     ``every=None`` the query takes what is there and ends. ``store`` sets the state store and
     ``partitions`` the partitions of the state, which stay as they are for the query's life.
+    ``source`` names the format of the files, ``name`` the query in reports.
     """
     settings = dict(store or {})
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    if name:
+        writer = writer.queryName(name)
     with _settings(df.sparkSession, settings):
         if write is not None:
             return writer.foreachBatch(write).start()
-        return writer.format("parquet").start(path)
+        return writer.format(source).start(path)
 
 
 def run(df: DataFrame, checkpoint: str, **options) -> None:
