@@ -10,7 +10,8 @@ A window of 13 words goes wherever its words also start in a document with a sma
 3. The windows of the stretches are counted: those of two documents or more are confirmed, and
    their first documents give them as passages.
 4. Owners are dealt to shards. A shard compiles automata from its passages, a bounded number of
-   windows at a time, and streams its stretches through them. Shards with many stretches are split.
+   windows at a time, and streams the stretches of their owners through them. Shards with many
+   stretches or passages are split.
 """
 
 from __future__ import annotations
@@ -61,16 +62,20 @@ def fingerprints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
     return places, grams[places]
 
 
-def _squeezed(words: list[bytes]) -> bytes:
+def _squeezed(data: bytes) -> bytes:
     from zstandard import ZstdCompressor
 
-    return kept(("squeeze",), lambda: ZstdCompressor(level=1)).compress(b" ".join(words))
+    return kept(("squeeze",), lambda: ZstdCompressor(level=1)).compress(data)
 
 
-def _words(data: bytes) -> list[bytes]:
+def _unsqueezed(data: bytes) -> bytes:
     from zstandard import ZstdDecompressor
 
-    return kept(("unsqueeze",), ZstdDecompressor).decompress(data).split()
+    return kept(("unsqueeze",), ZstdDecompressor).decompress(data)
+
+
+def _words(data: bytes) -> list[bytes]:
+    return _unsqueezed(data).split()
 
 
 def _runs(places: np.ndarray, span: int) -> list[tuple[int, int]]:
@@ -98,43 +103,57 @@ def fingerprint_rows(docs: DataFrame) -> DataFrame:
 
 STRETCH = (
     "doc_id bigint, key bigint, part bigint, start bigint, words binary,"
-    " marks array<struct<fp:bigint,at:bigint>>"
+    " fp array<bigint>, at array<bigint>"
 )
 
 
+def _lists(values: np.ndarray, firsts: np.ndarray) -> pa.Array:
+    """Values cut into lists that begin at ``firsts``, the first of them at 0."""
+    return pa.LargeListArray.from_arrays(np.append(firsts, len(values)), values).cast(
+        pa.list_(pa.int64())
+    )
+
+
+def _ranks(groups: np.ndarray) -> np.ndarray:
+    """The place of every row in its run of equal groups."""
+    rows = np.arange(len(groups))
+    new = np.append(True, groups[1:] != groups[:-1])[: len(groups)]
+    return rows - np.maximum.accumulate(np.where(new, rows, 0))
+
+
 def candidate_stretches(docs: DataFrame, seen: np.ndarray) -> DataFrame:
     """Stretches of documents around fingerprints that pass the filter, with these."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         hasher, bits = kept(("hasher",), Hasher), shared.value
-        doc_ids, keys = (batch.column(c).to_pylist() for c in ("doc_id", "key"))
+        doc_ids, keys = (batch.column(c).to_numpy() for c in ("doc_id", "key"))
         texts = byte_texts(batch.column("text"))
-        for first, hashes, bounds in hasher.texts(texts):
+        for first, hashes, bounds, data, starts, ends in hasher.placed(texts):
             places, values = fingerprints(hashes, bounds)
             held = passing(bits, values)
             places, values = places[held], values[held].view(np.int64)
-            owner = np.searchsorted(bounds, places, "right") - 1
-            rows = {f: [] for f in ("doc_id", "key", "part", "start", "words", "marks")}
-            for i in np.unique(owner):
-                low, high = int(bounds[i]), int(bounds[i + 1])
-                words = texts[first + i].split()
-                own = slice(*np.searchsorted(owner, [i, i + 1]))
-                at, value = places[own] - low, values[own]
-                reach = np.maximum(at - RUN + 1, 0)
-                cuts = np.flatnonzero(reach[1:] > at[:-1] + WIDTH) + 1
-                for part, (p, v) in enumerate(zip(np.split(at, cuts), np.split(value, cuts))):
-                    begin = max(0, int(p[0]) - RUN + 1)
-                    end = min(high - low, int(p[-1]) + WIDTH)
-                    rows["doc_id"].append(doc_ids[first + i])
-                    rows["key"].append(keys[first + i])
-                    rows["part"].append(part)
-                    rows["start"].append(begin)
-                    rows["words"].append(_squeezed(words[begin:end]))
-                    rows["marks"].append([
-                        {"fp": f, "at": a - begin} for f, a in zip(v.tolist(), p.tolist())
-                    ])
-            yield rows
+            if not len(places):
+                continue
+            text = np.searchsorted(bounds, places, "right") - 1
+            reach = np.maximum(places - RUN + 1, bounds[text])
+            apart = (reach[1:] > places[:-1] + WIDTH) | (text[1:] != text[:-1])
+            firsts = np.append(0, np.flatnonzero(apart) + 1)
+            lasts = np.append(firsts[1:], len(places)) - 1
+            text_of, begin = text[firsts], reach[firsts]
+            end = np.minimum(bounds[text_of + 1], places[lasts] + WIDTH)
+            yield {
+                "doc_id": doc_ids[first + text_of],
+                "key": keys[first + text_of],
+                "part": _ranks(text_of),
+                "start": begin - bounds[text_of],
+                "words": [
+                    _squeezed(data[a:b])
+                    for a, b in zip(starts[begin].tolist(), ends[end - 1].tolist())
+                ],
+                "fp": _lists(values, firsts),
+                "at": _lists(places - np.repeat(begin, lasts - firsts + 1), firsts),
+            }
 
     return map_batches(docs.select("doc_id", "key", "text"), work, STRETCH)
 
@@ -146,51 +165,66 @@ def owned_stretches(stretches: DataFrame, owners: DataFrame, copies: DataFrame)
     """Stretches cut by the owner of their fingerprints, without exact copies."""
     names = ["doc_id", "key", "part"]
     marks = (
-        stretches.select(*names, F.inline("marks"))
+        stretches.select(*names, F.inline(F.arrays_zip("fp", "at")))
         .join(copies, ["doc_id", "key"], "left_anti")
         .join(owners, "fp")
-        .groupBy(*names).agg(F.collect_set(F.struct("at", "owner")).alias("owned"))
+        .groupBy(*names).agg(F.collect_list(F.struct("owner", "at")).alias("owned"))
     )
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        rows = {f: [] for f in ("owner", "doc_id", "key", "start", "n_words", "words")}
-        for r in batch.to_pylist():
-            words = _words(r["words"])
-            owned = sorted((m["owner"], m["at"]) for m in r["owned"])
-            owner = np.array([o for o, _ in owned])
-            at = np.array([a for _, a in owned])
-            for one in np.unique(owner):
-                reach = np.maximum(at[owner == one] - RUN + 1, 0)
-                for begin, end in _runs(reach, RUN - 1 + WIDTH):
-                    end = min(end, len(words))
-                    rows["owner"].append(int(one))
-                    rows["doc_id"].append(r["doc_id"])
-                    rows["key"].append(r["key"])
-                    rows["start"].append(r["start"] + begin)
-                    rows["n_words"].append(end - begin)
-                    rows["words"].append(_squeezed(words[begin:end]))
-        yield rows
+        owned = batch.column("owned")
+        owner, at = (x.to_numpy(False) for x in owned.flatten().flatten())
+        row = np.repeat(np.arange(batch.num_rows), owned.value_lengths().to_numpy(False))
+        order = np.lexsort((at, owner, row))
+        row, owner, at = row[order], owner[order], at[order]
+        apart = (
+            (row[1:] != row[:-1]) | (owner[1:] != owner[:-1])
+            | (np.maximum(at[1:] - RUN + 1, 0) > at[:-1] + WIDTH)
+        )
+        firsts = np.append(0, np.flatnonzero(apart) + 1)
+        lasts = np.append(firsts[1:], len(at)) - 1
+        row, owner = row[firsts], owner[firsts]
+        begin, end = np.maximum(at[firsts] - RUN + 1, 0), at[lasts] + WIDTH
+        sizes, pieces, words, last = [], [], [], -1
+        texts = batch.column("words")
+        for r, a, b in zip(row.tolist(), begin.tolist(), end.tolist()):
+            if r != last:
+                words, last = _words(texts[r].as_py()), r
+            piece = words[a:b]
+            sizes.append(len(piece))
+            pieces.append(_squeezed(b" ".join(piece)))
+        yield {
+            "owner": owner,
+            "doc_id": batch.column("doc_id").to_numpy()[row],
+            "key": batch.column("key").to_numpy()[row],
+            "start": batch.column("start").to_numpy()[row] + begin,
+            "n_words": sizes,
+            "words": pieces,
+        }
 
-    kept_columns = stretches.drop("marks").join(marks, names)
+    kept_columns = stretches.drop("fp", "at").join(marks, names)
     return map_batches(kept_columns, work, OWNED)
 
 
+def _found_windows(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For groups of texts every window, the text it is in, and its place in the group."""
+    hasher = kept(("hasher",), Hasher)
+    for first, hashes, bounds in hasher.texts(texts):
+        found = windows(hashes, WIDTH).view(np.int64)
+        starts = np.arange(len(found))
+        row = np.searchsorted(bounds, starts, "right")
+        inside = starts + WIDTH <= bounds[row]
+        yield found[inside], first + row[inside] - 1, starts[inside] - bounds[row[inside] - 1]
+
+
 def confirmed_windows(owned: DataFrame) -> DataFrame:
     """Windows of two documents or more with the first of them: (window, first)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        hasher = kept(("hasher",), Hasher)
         doc_ids = batch.column("doc_id").to_numpy()
-        texts = [b" ".join(_words(x)) for x in batch.column("words").to_pylist()]
-        for first, hashes, bounds in hasher.texts(texts):
-            found = windows(hashes, WIDTH)
-            starts = np.arange(len(found))
-            row = np.searchsorted(bounds, starts, "right")
-            inside = starts + WIDTH <= bounds[row]
-            yield {
-                "window": found[inside].view(np.int64),
-                "doc_id": doc_ids[first + row[inside] - 1],
-            }
+        texts = [_unsqueezed(x) for x in batch.column("words").to_pylist()]
+        for found, text, _ in _found_windows(texts):
+            yield {"window": found, "doc_id": doc_ids[text]}
 
     rows = map_batches(owned.select("doc_id", "words"), work, "window bigint, doc_id bigint")
     return (
@@ -208,24 +242,37 @@ def first_passages(owned: DataFrame, confirmed: DataFrame) -> DataFrame:
     pieces = owned.groupBy("doc_id").agg(F.collect_list(F.struct("owner", "words")).alias("pieces"))
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        hasher = kept(("hasher",), Hasher)
-        for r in batch.to_pylist():
-            wanted = np.sort(np.array(r["found"], np.int64))
-            rows = {f: [] for f in ("owner", "first", "n_words", "passage")}
-            for piece in r["pieces"]:
-                words = _words(piece["words"])
-                found = windows(hasher.text(b" ".join(words)), WIDTH).view(np.int64)
-                near = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
-                places = np.flatnonzero(wanted[near] == found)
-                # Runs of windows one after the other are one passage.
-                for group in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
-                    if len(group):
-                        passage = words[group[0] : group[-1] + WIDTH]
-                        rows["owner"].append(piece["owner"])
-                        rows["first"].append(r["first"])
-                        rows["n_words"].append(len(passage))
-                        rows["passage"].append(_squeezed(passage))
-            yield rows
+        # A window has one first document, so those of a batch can be looked up together.
+        wanted = batch.column("found").flatten().to_numpy(False)
+        sizes = batch.column("found").value_lengths().to_numpy(False)
+        document = np.repeat(np.arange(batch.num_rows), sizes)
+        order = np.argsort(wanted)
+        wanted, document = wanted[order], document[order]
+        held = batch.column("pieces")
+        owners, squeezed = held.flatten().flatten()
+        row = np.repeat(np.arange(batch.num_rows), held.value_lengths().to_numpy(False))
+        owners, firsts = owners.to_numpy(False), batch.column("first").to_numpy()
+        texts = [_unsqueezed(x) for x in squeezed.to_pylist()]
+        rows = {f: [] for f in ("owner", "first", "n_words", "passage")}
+        for found, text, at in _found_windows(texts):
+            near = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+            own = (wanted[near] == found) & (document[near] == row[text])
+            text, at = text[own], at[own]
+            if not len(at):
+                continue
+            # Runs of windows one after the other are one passage.
+            apart = (text[1:] != text[:-1]) | (np.diff(at) > 1)
+            begins = np.append(0, np.flatnonzero(apart) + 1)
+            lasts = np.append(begins[1:], len(at)) - 1
+            words, last = [], -1
+            for t, a, b in zip(text[begins].tolist(), at[begins].tolist(), at[lasts].tolist()):
+                if t != last:
+                    words, last = texts[t].split(), t
+                rows["owner"].append(int(owners[t]))
+                rows["first"].append(int(firsts[row[t]]))
+                rows["n_words"].append(b + WIDTH - a)
+                rows["passage"].append(_squeezed(b" ".join(words[a : b + WIDTH])))
+        yield rows
 
     return map_batches(pieces.join(lists, F.col("doc_id") == F.col("first")), work, PASSAGE)
 
@@ -276,13 +323,24 @@ COVERED = "doc_id bigint, key bigint, begin bigint, end bigint"
 
 
 def locate(key, passages: pd.DataFrame, stretches: pd.DataFrame) -> pd.DataFrame:
-    """Ranges of words of a shard's stretches that windows of smaller documents cover."""
+    """Ranges of words of a shard's stretches that windows of smaller documents cover.
+
+    A stretch can only hold passages of its own owner. Owners are taken some at a time, as many as
+    fill an automaton, and only their stretches are streamed.
+    """
     rows: list[tuple[int, int, int, int]] = []
-    if len(passages) and len(stretches):
-        known = [(int(f), _words(x)) for f, x in zip(passages["first"], passages["passage"])]
+    passages = passages.sort_values("owner", kind="stable")
+    filled = (passages["n_words"] - WIDTH + 1).cumsum() // AUTOMATON_WINDOWS
+    by_owner = stretches.groupby("owner").indices
+    for _, some in passages.groupby(filled.to_numpy()):
+        at = [by_owner[o] for o in some["owner"].unique() if o in by_owner]
+        if not at:
+            continue
+        mine = stretches.iloc[np.concatenate(at)]
+        known = [(int(f), _words(x)) for f, x in zip(some["first"], some["passage"])]
         lexicon = _Lexicon(w for _, words in known for w in words)
-        texts = [lexicon.text(_words(x)) for x in stretches["words"]]
-        names = list(zip(stretches["doc_id"], stretches["key"], stretches["start"]))
+        texts = [lexicon.text(_words(x)) for x in mine["words"]]
+        names = list(zip(mine["doc_id"], mine["key"], mine["start"]))
         for automaton in _automata(known, lexicon):
             for text, (doc, name, start) in zip(texts, names):
                 ends = [end >> 1 for end, first in automaton.iter(text) if first < doc]
@@ -292,27 +350,39 @@ def locate(key, passages: pd.DataFrame, stretches: pd.DataFrame) -> pd.DataFrame
 
 
 def covered_ranges(owned: DataFrame, passages: DataFrame) -> DataFrame:
-    """Ranges of words to remove, found by the automata of all shards."""
+    """Ranges of words to remove, found by the automata of all shards.
+
+    A shard with many stretches is split by these, each split with all passages; one with many
+    passages, for an owner may have more than a shard should, also by these.
+    """
     total = passages.agg(F.sum("n_words")).first()[0] or 0
     shards = max(1, -(-total // SHARD_WORDS))
     shard = F.pmod(F.xxhash64("owner"), F.lit(shards)).alias("shard")
-    streamed = owned.select("*", shard)
+    streamed, patterns = owned.select("*", shard), passages.select("*", shard)
+
+    def ways(df: DataFrame, words: int, name: str) -> DataFrame:
+        return df.groupBy("shard").agg(F.ceil(F.sum("n_words") / words).cast("int").alias(name))
+
     # One row per shard.
-    splits = streamed.groupBy("shard").agg(
-        F.ceil(F.sum("n_words") / SPLIT_WORDS).cast("int").alias("splits")
+    cuts = ways(streamed, SPLIT_WORDS, "splits").join(
+        ways(patterns, 2 * SHARD_WORDS, "parts"), "shard"
     )
-    stretches = streamed.join(splits, "shard").select(
+
+    def each(name: str):
+        return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+    stretches = streamed.join(cuts, "shard").select(
         "shard", F.pmod(F.xxhash64("doc_id", "start"), F.col("splits")).cast("int").alias("split"),
-        "doc_id", "key", "start", "words",
+        each("parts").alias("part"), "owner", "doc_id", "key", "start", "words",
     )
-    patterns = passages.select("*", shard).join(splits, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("split"),
-        "first", "passage",
+    patterns = patterns.join(cuts, "shard").select(
+        "shard", each("splits").alias("split"),
+        F.pmod(F.xxhash64("first", "passage"), F.col("parts")).cast("int").alias("part"),
+        "owner", "first", "n_words", "passage",
     )
+    names = ["shard", "split", "part"]
     return (
-        patterns.groupBy("shard", "split")
-        .cogroup(stretches.groupBy("shard", "split"))
-        .applyInPandas(locate, COVERED)
+        patterns.groupBy(*names).cogroup(stretches.groupBy(*names)).applyInPandas(locate, COVERED)
     )
 
 
@@ -332,9 +402,16 @@ def remove_repeated(spark: SparkSession, docs: DataFrame, with_text: bool = True
     ).withColumn("key", F.xxhash64("text"))
     usable = named.where("doc_id IS NOT NULL")
 
-    firsts = usable.groupBy("key").agg(F.min("doc_id").alias("first"))
+    # Copies are told by 128 bits. Only repeated texts are kept, so this table is seldom large.
+    texts = usable.select("doc_id", "key", F.xxhash64(F.lit(1), "text").alias("more"))
+    firsts = saved(
+        spark,
+        texts.groupBy("key", "more").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+        .where("n > 1").drop("n"),
+        "firsts",
+    )
     copies = (
-        usable.select("doc_id", "key").join(firsts, "key").where("doc_id > first")
+        texts.join(firsts, ["key", "more"]).where("doc_id > first")
         .select("doc_id", "key").distinct()
     )
     owners = (
@@ -376,7 +453,7 @@ def _finished(
         for may, text in zip(maybe.tolist(), byte_texts(batch.column("text"))):
             words = text.split()
             rows["n_words"].append(len(words))
-            rows["words"].append(_squeezed(words) if may else None)
+            rows["words"].append(_squeezed(text) if may else None)
             rows["kept_sha256"].append(None if may else _digest(words))
             rows["kept_text"].append(b" ".join(words).decode() if with_text and not may else None)
         yield {"doc_id": batch.column("doc_id"), "key": batch.column("key"), **rows}

@@ -62,21 +62,37 @@ class Hasher:
         parts = [self.spans(piece)[2] for piece in blocks(data)]
         return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
+    def long_spans(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The spans of a text of any length."""
+        offset, parts = 0, [(np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)]
+        for piece in blocks(data):
+            starts, ends, hashes = self.spans(piece)
+            parts.append((starts + offset, ends + offset, hashes))
+            offset += len(piece)
+        starts, ends, hashes = (np.concatenate(p) for p in zip(*parts))
+        return starts, ends, hashes
+
+    def placed(self, texts: Iterable[bytes]) -> Iterator[tuple]:
+        """Groups of whole texts: index of the first, words' hashes, bounds, data and spans.
+
+        The words of text ``first + i`` are ``hashes[bounds[i]:bounds[i + 1]]``; word ``w`` is
+        ``data[starts[w]:ends[w]]``.
+        """
+        first = 0
+        for group in grouped(texts):
+            data = b"\n".join(group)
+            starts, ends, hashes = self.long_spans(data)
+            begins = np.cumsum([0] + [len(x) + 1 for x in group])
+            yield first, hashes, np.searchsorted(starts, begins), data, starts, ends
+            first += len(group)
+
     def texts(self, texts: Iterable[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Groups of whole texts: index of the first, words' hashes, and bounds.
 
         The words of text ``first + i`` are ``hashes[bounds[i]:bounds[i + 1]]``.
         """
-        first = 0
-        for group in grouped(texts):
-            if len(group) == 1:
-                hashes = self.text(group[0])
-                yield first, hashes, np.array([0, len(hashes)])
-            else:
-                starts, _, hashes = self.spans(b"\n".join(group))
-                begins = np.cumsum([0] + [len(x) + 1 for x in group])
-                yield first, hashes, np.searchsorted(starts, begins)
-            first += len(group)
+        for first, hashes, bounds, *_ in self.placed(texts):
+            yield first, hashes, bounds
 
 
 def blocks(data: bytes) -> Iterator[bytes]:
