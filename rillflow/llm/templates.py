@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm.linefreq import word_lines
+from rillflow.llm.linefreq import text_words, word_lines
 from rillflow.llm.scratch import saved
 
 DEPTH = 4
@@ -120,7 +120,7 @@ def line_templates(spark: SparkSession, lines: DataFrame, texts: int = TEXTS) ->
 
 
 def drop_recurring_lines(
-    spark: SparkSession, docs: DataFrame, texts: int = TEXTS
+    spark: SparkSession, docs: DataFrame, texts: int = TEXTS, leave_copies: bool = False
 ) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) with its text without recurring lines.
 
@@ -129,6 +129,8 @@ def drop_recurring_lines(
     doc_id go whenever another document has the template. Lines without a word stay, and so do
     lines of digits alone. A null text is empty. Repeated rows are treated alike; rows with the
     same doc_id count as one document. Other columns stay, unless they have the name of a count.
+    With ``leave_copies`` a document keeps the lines it shares with fewer than ``texts`` texts if
+    they hold over half of its words: it is a changed copy, and whoever looks for those needs it.
     An empty table gives an empty one.
     """
     lines = saved(spark, masked_lines(docs.select("doc_id", "text")), "lines", "zstd")
@@ -148,16 +150,20 @@ def drop_recurring_lines(
         .groupBy("template", "constant")
         .agg(F.count("*").alias("found"), F.min("doc_id").alias("first"))
         .where((F.col("found") >= _enough("constant", texts)) & F.col("first").isNotNull())
-        .select("template", "first"),
+        .select("template", "first", (F.col("found") < texts).alias("few")),
         "recurring",
     )
-    dropped = saved(
-        spark,
+    lost = (
         named.join(_checked(recurring), "template")
         .where(~F.col("doc_id").eqNullSafe(F.col("first")))
-        .select("_row", "line_no", "n").distinct()
-        .groupBy("_row").agg(
-            F.collect_list("line_no").alias("_dropped"), F.sum("n").alias("_lost")
+        .groupBy("_row", "line_no", "n").agg(F.min("few").alias("few"))
+    )
+    dropped = saved(
+        spark,
+        lost.groupBy("_row").agg(
+            F.collect_list("line_no").alias("_dropped"), F.sum("n").alias("_lost"),
+            F.collect_list(F.when(~F.col("few"), F.col("line_no"))).alias("_common"),
+            F.coalesce(F.sum(F.when(F.col("few"), F.col("n"))), F.lit(0)).alias("_few"),
         ),
         "dropped",
     )
@@ -167,9 +173,15 @@ def drop_recurring_lines(
     if not others:
         own = docs.select("doc_id", "text")
     rows = _row(own).join(_checked(dropped, places), "_row", "left")
+    if leave_copies:
+        copy = (F.col("_few") > 0) & (2 * F.col("_few") > F.size(text_words(F.col("_text"))))
+        rows = rows.withColumn("_copy", F.coalesce(copy, F.lit(False))).withColumns({
+            "_dropped": F.when(F.col("_copy"), F.col("_common")).otherwise(F.col("_dropped")),
+            "_lost": F.col("_lost") - F.when(F.col("_copy"), F.col("_few")).otherwise(0),
+        })
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     rest = F.array_join(F.transform(left, lambda i: F.get(F.col("_lines"), i)), "\n")
-    gone = F.col("_dropped").isNotNull()
+    gone = F.size("_dropped") > 0
     counts = rows.withColumn("_lines", F.split("_text", "\n")).select(
         "doc_id", F.when(gone, rest).otherwise(F.col("_text")).alias("text"),
         *([F.col("_other")] if others else []),

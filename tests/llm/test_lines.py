@@ -179,3 +179,22 @@ def test_frequent_lines_go_from_every_text(spark):
     left = {r["line"]: r["text"] for r in out.collect()}
     assert left == wanted and any(left[r["line"]] != r["text"] for r in rows)
     assert linefreq.without_frequent_lines(tables.empty(spark)).count() == 0
+
+
+def test_changed_copies_are_left(spark):
+    base, passage = tables.prose(61, 60), tables.prose(62, 24)
+    rows = [
+        (1, base), (2, base.rsplit("\n", 1)[0] + "\n" + tables.prose(63, 12)),
+        (3, passage), (4, tables.prose(64, 60) + "\n" + passage), (5, None), (6, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    strict, left = (
+        {r["doc_id"]: (r["text"], r["n_dropped"], r["n_dropped_words"])
+         for r in templates.drop_recurring_lines(spark, docs, leave_copies=x).collect()}
+        for x in (False, True)
+    )
+    assert strict[2] == (tables.prose(63, 12), 4, 48)
+    assert left[2] == (rows[1][1], 0, 0)
+    # A passage within other text goes in both forms.
+    assert strict[4] == left[4] == (tables.prose(64, 60), 2, 24)
+    assert all(strict[i] == left[i] for i in (1, 3, 5, 6))
