@@ -27,9 +27,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop recurring lines, and documents of which they leave nothing.
 
     What is left of any other document stays, however little: it may be the only place of its
-    words. Copies are the next stage's.
+    words. Copies are the next stage's, so changed ones reach it whole.
     """
-    changed = templates.drop_recurring_lines(spark, docs)
+    changed = templates.drop_recurring_lines(spark, docs, leave_copies=True)
     words = F.size(linefreq.text_words(F.col("text")))
     emptied = F.when(F.col("n_dropped_words") > 0, words == 0).otherwise(False)
     return changed.where(~emptied).select(
