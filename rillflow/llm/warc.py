@@ -59,13 +59,15 @@ def with_roles(spark: SparkSession, pages: DataFrame, least: int = REVISIT_BYTES
     """Each row of ``pages`` (page_id, url, html) with what its record is.
 
     Of rows with equal payloads of at least ``least`` bytes the one with the largest page_id is
-    the response (of several such rows the last one scanned; a null page_id is the smallest), and
+    the response (of several such rows the one with the largest url; nulls are the smallest), and
     all others revisit it. Payloads are equal when SHA-1, length and a second hash are.
+
+    The response is told by its values: the table is scanned more than once, and a row number
+    does not come out the same in every scan. Of rows equal in all columns one is the response.
     """
     keyed = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url",
         F.coalesce("html", F.lit("")).cast("binary").alias("payload"),
-        F.monotonically_increasing_id().alias("_row"),
     ).withColumns({
         "_sha1": F.sha1("payload"), "_size": F.octet_length("payload"),
         "_more": F.xxhash64("payload"),
@@ -73,22 +75,40 @@ def with_roles(spark: SparkSession, pages: DataFrame, least: int = REVISIT_BYTES
     key = ["_sha1", "_size", "_more"]
     groups = saved(
         spark,
-        keyed.where(F.col("_size") >= least).groupBy(*key)
-        .agg(F.count("*").alias("_members"), F.max(F.struct("page_id", "_row")).alias("_first"))
+        keyed.where(F.col("_size") >= least).groupBy(*key, "page_id", "url").agg(F.count("*").alias("_n"))
+        .groupBy(*key).agg(F.sum("_n").alias("_members"), F.max(F.struct("page_id", "url", "_n")).alias("_first"))
         .where("_members > 1").drop("_members"),
         "payloads",
     )
-    if groups.count() <= BROADCAST_ROWS:
+    n_groups, most = groups.agg(F.count("*"), F.max("_first._n")).first()
+    if n_groups <= BROADCAST_ROWS:
         groups = F.broadcast(groups)
-    first = F.col("_first")
-    revisits = first.isNotNull() & (first["_row"] != F.col("_row"))
-    return keyed.join(groups, key, "left").select(
-        "page_id", "url", "_sha1",
-        F.when(revisits, F.lit(None)).otherwise(F.col("payload")).alias("payload"),
-        F.col("_size").cast("bigint").alias("size"),
-        _uuid(F.col("page_id"), F.col("_row"), F.col("_sha1")).alias("record_id"),
-        F.when(revisits, _uuid(first["page_id"], first["_row"], F.col("_sha1"))).alias("refers_to_id"),
-        F.when(revisits, first["page_id"]).alias("refers_to"),
+    first, own, none = F.col("_first"), F.monotonically_increasing_id(), F.lit(None)
+    again = first.isNotNull()
+    # Null outside groups, where there is no response to be.
+    chosen = first["page_id"].eqNullSafe(F.col("page_id")) & first["url"].eqNullSafe(F.col("url")) & again
+
+    def roles(rows: DataFrame, revisits: Column, number: Column) -> DataFrame:
+        """The response of a group has a record id without a number, so that all others can name it."""
+        return rows.select(
+            "page_id", "url", "_sha1",
+            F.when(revisits, none).otherwise(F.col("payload")).alias("payload"),
+            F.col("_size").cast("bigint").alias("size"),
+            _uuid(F.col("page_id"), F.when(~again | revisits, number), F.col("_sha1")).alias("record_id"),
+            F.when(revisits, _uuid(first["page_id"], none, F.col("_sha1"))).alias("refers_to_id"),
+            F.when(revisits, first["page_id"]).alias("refers_to"),
+        )
+
+    joined = keyed.join(groups, key, "left")
+    if (most or 1) == 1:
+        return roles(joined, again & ~chosen, own)
+    equal = chosen & (first["_n"] > 1)
+    copies = joined.where(equal).groupBy(*key, "page_id", "url", "_first").agg(
+        F.any_value("payload").alias("payload")
+    ).select("*", F.explode(F.sequence(F.lit(1), first["_n"])).alias("_copy"))
+    rest = roles(joined.where(~equal | ~again), again & ~chosen, own)
+    return rest.unionByName(
+        roles(copies, F.col("_copy") > 1, F.concat(F.lit("copy "), F.col("_copy").cast("string")))
     )
 
 

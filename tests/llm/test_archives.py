@@ -70,6 +70,24 @@ def test_round_trip(spark):
     assert any(bytes(b) == LONG.encode() and p == 9 for p, b in payloads)
 
 
+def test_one_response_of_every_group_of_a_spread_table(spark, tmp_path):
+    """Copies in several files, spread before the work, with rows equal in all columns."""
+    rows = [
+        (page + k * 1000, f"http://h.example/{page}", f"<p>{page}</p>" + tables.prose(page, 700))
+        for k in range(3) for page in range(300)
+    ]
+    rows += 3 * rows[-5:] + 2 * [(None, "http://n.example/", LONG)]
+    spark.createDataFrame(rows, PAGES).repartition(3).write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    path = scratch_path(spark, "warc")
+    warc.write_archives(spark, pages, path)
+    found = warc.page_records(warc.read_archives(spark, path)).collect()
+    assert Counter(tuple(r)[:5] for r in found) == expected(rows)
+    assert len({r["record_id"] for r in found}) == len(rows)
+    responses = {r["record_id"] for r in found if r["record_type"] == "response"}
+    assert {r["refers_to_id"] for r in found if r["refers_to_id"]} <= responses
+
+
 def archive_files(path):
     store, root = fs.FileSystem.from_uri(f"{path}/archives")
     return [
