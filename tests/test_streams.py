@@ -75,6 +75,35 @@ def test_state_carries_over_batches_and_restarts(spark, tmp_path, parts, name):
     assert whole.count() > 0 and rows(whole.select(*names)) == rows(split.select(*names))
 
 
+@pytest.mark.parametrize("name", sorted(PROCESSORS))
+def test_state_and_calls_follow_buckets_not_keys(spark, tmp_path, parts, name):
+    """Many ids, one of them null: a row of state per bucket, and what each id would give alone."""
+    make, _ = PROCESSORS[name]
+    many = [
+        [(f"{row[0]}-{n}" if n else None, *row[1:]) for row in part if row[0] == "s1" for n in range(60)]
+        for part in parts
+    ]
+    write_files(spark, tmp_path / "in", many, READING)
+    schema, root = make().schema, tmp_path / "many"
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").json(f"{root}/out/batch_id={batch_id}")
+
+    query = jobs.start(
+        state.keyed(source(spark, tmp_path / "in"), make(), buckets=4), f"{root}/checkpoint", write=write,
+        mode="update", every=None, store=jobs.ROCKSDB,
+    )
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    write_files(spark, tmp_path / "one", [[r for r in part if r[0] == "s1"] for part in parts], READING)
+    alone = collected(spark, state.keyed(source(spark, tmp_path / "one"), make()), tmp_path / "alone", schema)
+    columns = alone.columns[1:]
+    ids = spark.createDataFrame([(f"s1-{n}" if n else None,) for n in range(60)], "id string")
+    got = spark.read.schema(schema).json(f"{root}/out").select("id", *columns)
+    wanted = ids.crossJoin(alone.select(*columns))
+    assert got.count() and rows(got.fillna("none", ["id"])) == rows(wanted.fillna("none", ["id"]))
+
+
 def test_jump_alert_stream_equals_batch(spark, tmp_path, parts):
     write_files(spark, tmp_path / "in", parts, READING)
     maker = state.JumpAlert(10.0)
