@@ -224,3 +224,14 @@ def test_entries_of_the_state_expire(spark, tmp_path):
             time.sleep(2.5 if run == 0 and life == 1 else 0)
         out[life] = rows(spark.read.schema(state.FirstOfKind.schema).json(f"{tmp_path}/out{life}").select("seq"))
     assert out == {1: [(0,), (1,)], 3600: [(0,)]}
+
+
+def test_files_of_a_slice_follow_the_size_of_the_table(spark, monkeypatch):
+    """A task reads one file of a slice, so a table six times as large has more files, not larger ones."""
+    from rillflow.catalog import streams
+    from rillflow.catalog.registry import Tables
+
+    s = streams.StreamedTables(Tables(spark, "/root/testdata/sf0.001"), slices=0)
+    for size in (120 << 20, 720 << 20):
+        monkeypatch.setattr(streams, "plan_bytes", lambda table, size=size: size)
+        assert size / (streams.BATCHES * s.files("events")) <= 16 << 20
