@@ -10,7 +10,7 @@ from rillflow.plans import order_wide
 from rillflow.schemas import ORDER_DETAIL, ORDER_INFO
 from rillflow.sources.topics import MESSAGE, read_topic
 from rillflow.streaming import jobs, state
-from tests.conftest import rows
+from tests.conftest import ids, rows
 from tests.test_warehouse import detail, dims, order  # noqa: F401
 
 READING = "id string, ts timestamp, seq bigint, temperature double"
@@ -235,3 +235,32 @@ def test_files_of_a_slice_follow_the_size_of_the_table(spark, monkeypatch):
     for size in (120 << 20, 720 << 20):
         monkeypatch.setattr(streams, "plan_bytes", lambda table, size=size: size)
         assert size / (streams.BATCHES * s.files("events")) <= 16 << 20
+
+
+def test_a_larger_table_comes_in_more_batches(spark, monkeypatch):
+    """A batch of the order joins is in the state at once, so its share of a table must not grow."""
+    from rillflow.catalog import streams
+    from rillflow.catalog.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for size in (1 << 30, 6 << 30):
+        monkeypatch.setattr(streams, "plan_bytes", lambda table, size=size: size)
+        assert size / streams._batches(t, "orders", "lineitem") <= 64 << 20
+
+
+def test_order_joins_in_many_batches(spark, monkeypatch):
+    """Slices hold every row once, in order, and the join over many of them gives the rows of the SQL."""
+    from rillflow.catalog import ORACLES, QUERIES, streams
+    from rillflow.catalog.registry import Tables
+    from tests.oracle import compare, connect
+
+    folder = "/root/testdata/sf0.001"
+    t = Tables(spark, folder)
+    s = streams.StreamedTables(t, "orders", slices=0, batches=6)
+    parts = [part.select("o_orderkey", "o_orderdate").collect() for part in s.cut("orders")]
+    assert len(parts) == 6 and all(parts)
+    assert sorted(r[0] for part in parts for r in part) == ids(t.orders, "o_orderkey")
+    for before, after in zip(parts, parts[1:]):
+        assert max(r[1] for r in before) < min(r[1] for r in after)
+    monkeypatch.setattr(streams, "_batches", lambda *names: 6)
+    assert compare(QUERIES["stream_order_match"](spark, folder), connect(folder), ORACLES["stream_order_match"]) == ""
