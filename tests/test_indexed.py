@@ -72,3 +72,20 @@ def test_blocks_of_a_frequent_token(spark, index):
     # The index is found again by its name.
     again = indexed.TextIndex(spark, index.name)
     assert rows(indexed.index_match(again, "operation")) == [(20_000, 1)]
+
+
+def test_pieces_of_unordered_repeated_and_missing_ids(spark, monkeypatch):
+    """Places meet in one list a document, wherever its rows stand, and a length for every document."""
+    texts = [(9, "a b a"), (None, "b"), (2, "a"), (9, "c a"), (2, None), (7, ""), (-3, "b a 红b")] * 2
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    for n, tokens in enumerate((1, 4, 1 << 20)):
+        monkeypatch.setattr(indexed, "PIECE_TOKENS", tokens)
+        made = indexed.build_index(
+            docs.coalesce(1), "doc_id", "text", f"pieces_{n}", scratch_path(spark, "pieces"), span=4, buckets=2
+        )
+        assert {tuple(r) for r in made.lengths.collect()} == {(9, 10), (None, 2), (2, 2), (7, 0), (-3, 8)}
+        found = {(r["token"], r["doc_id"]): r["positions"] for r in made.postings("a b c 红").collect()}
+        assert found == {
+            ("a", 9): [0, 0, 1, 1, 2, 2], ("b", 9): [1, 1], ("c", 9): [0, 0], ("b", None): [0, 0],
+            ("a", 2): [0, 0], ("a", -3): [1, 1], ("b", -3): [0, 0, 3, 3], ("红", -3): [2, 2],
+        }
