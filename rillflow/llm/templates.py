@@ -90,32 +90,35 @@ def line_templates(spark: SparkSession, lines: DataFrame, texts: int = TEXTS) ->
         .where(F.col("count") >= _enough("n", texts)).select("leaf"),
         "leaves",
     )
+    recurrent = deep.join(_checked(leaves), "leaf", "left_semi")
+    # A line's text is shuffled once; its different texts are counted by hashes alone.
+    counts = recurrent.select("line", "_key").distinct().groupBy("line").agg(F.count("*").alias("texts"))
     held = saved(
         spark,
-        deep.join(_checked(leaves), "leaf", "left_semi")
-        .select("leaf", "line", "masked", "n", "worded", "_key").distinct()
-        .groupBy("leaf", "line", "masked", "n", "worded").agg(F.count("*").alias("texts")),
+        recurrent.groupBy("line").agg(*[F.max(c).alias(c) for c in ("leaf", "masked", "n", "worded")])
+        .join(counts, "line"),
         "held",
     )
-    words = held.select(
-        "leaf", "line", "n", "worded", "texts",
-        F.posexplode(F.split("masked", " ")).alias("pos", "word"),
-    ).where(F.col("word") != FIELD).withColumn("word", F.xxhash64("word"))
+    split = F.split("masked", " ")
+    # The leaf tells the leading words, so they need no count. A word is one with its place.
+    words = held.select("line", "leaf", "n", "texts", F.posexplode(split).alias("pos", "word")).where(
+        (F.col("pos") >= DEPTH) & (F.col("word") != FIELD)
+    ).select("line", "n", "texts", F.xxhash64("leaf", "pos", "word").alias("word"))
     steady = (
-        words.where(F.col("pos") >= DEPTH)
-        .groupBy("leaf", "n", "pos", "word").agg(F.sum("texts").alias("seen"))
-        .where(F.col("seen") >= _enough("n", texts)).select("leaf", "pos", "word")
+        words.groupBy("word").agg(F.sum("texts").alias("seen"), F.max("n").alias("n"))
+        .where(F.col("seen") >= _enough("n", texts)).select("word")
     )
-    constant = words.where(F.col("pos") >= DEPTH).join(steady, ["leaf", "pos", "word"]).unionByName(
-        words.where(F.col("pos") < DEPTH), allowMissingColumns=True
+    # The words of a line differ by their places, so none cancels another out.
+    kept = words.select("line", "word").join(steady, "word").groupBy("line").agg(
+        F.bit_xor("word").alias("kept"), F.count("*").alias("found")
     )
-    kept = F.array_sort(F.collect_list(F.struct("pos", "word")))
+    leading = F.size(F.filter(F.slice(split, 1, DEPTH), lambda w: w != FIELD))
+    constant = (F.col("leading") + F.coalesce("found", F.lit(0))).cast("int")
     return (
-        constant.groupBy("leaf", "line", "worded")
-        .agg(kept.alias("kept"))
-        .where(F.size("kept") >= CONSTANT * F.col("worded"))
-        .select("leaf", "line", F.xxhash64("leaf", "kept").alias("template"),
-                F.size("kept").alias("constant"))
+        held.select("leaf", "line", "worded", leading.alias("leading")).join(kept, "line", "left")
+        .withColumn("constant", constant)
+        .where((F.col("constant") > 0) & (F.col("constant") >= CONSTANT * F.col("worded")))
+        .select("leaf", "line", F.xxhash64("leaf", F.coalesce("kept", F.lit(0))).alias("template"), "constant")
     )
 
 

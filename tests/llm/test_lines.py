@@ -198,3 +198,15 @@ def test_changed_copies_are_left(spark):
     # A passage within other text goes in both forms.
     assert strict[4] == left[4] == (tables.prose(64, 60), 2, 24)
     assert all(strict[i] == left[i] for i in (1, 3, 5, 6))
+
+
+def test_templates_shuffle_hashes_of_words(spark):
+    """A word goes between tasks as a hash beside its line's, and the words of a line meet in one number."""
+    texts = [(i, f"one two three four five{'' if i % 2 else ' six'} seven eight nine ten eleven {i}") for i in range(6)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = templates.line_templates(spark, templates.masked_lines(docs))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "bit_xor" in plan
+    # Three texts share all words; the leading four are constants as well.
+    got = {(r["template"], r["constant"]) for r in found.collect()}
+    assert sorted(n for _, n in got) == [10, 11]
