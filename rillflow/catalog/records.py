@@ -141,7 +141,7 @@ def log_lines(t: Tables) -> DataFrame:
         ).alias("start"),
         F.col("ts"),
     )
-    lines = compute_once(spread(view), "value", F.to_json(line))
+    lines = compute_once(spread(view, large=True), "value", F.to_json(line))
     return lines.select("value", "event_id")
 
 

@@ -161,3 +161,15 @@ def test_reports(spark):
     assert reports.sales_by_age(wide, "green bolt").count() == 0
     young = wide.where("user_age < 20")
     assert dict(rows(reports.sales_by_age(young, "red"))) == {"20岁以下": 1.1, "20到29岁": 0.0, "30岁以上": 0.0}
+
+
+def test_log_lines_are_spread_by_size(spark, monkeypatch):
+    """A table six times as large is split in more tasks, not in longer ones."""
+    from rillflow import session
+    from rillflow.catalog import records
+    from rillflow.catalog.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for size in (200 << 20, 1200 << 20):
+        monkeypatch.setattr(session, "plan_bytes", lambda df, size=size: size)
+        assert size / records.log_lines(t).rdd.getNumPartitions() <= 16 << 20
