@@ -101,22 +101,36 @@ def line_templates(spark: SparkSession, lines: DataFrame, texts: int = TEXTS) ->
     )
     split = F.split("masked", " ")
     # The leaf tells the leading words, so they need no count. A word is one with its place.
-    words = held.select("line", "leaf", "n", "texts", F.posexplode(split).alias("pos", "word")).where(
-        (F.col("pos") >= DEPTH) & (F.col("word") != FIELD)
-    ).select("line", "n", "texts", F.xxhash64("leaf", "pos", "word").alias("word"))
+    places = F.transform(split, lambda word, pos: F.struct(word.alias("word"), pos.alias("pos")))
+    places = F.filter(places, lambda x: (x["pos"] >= DEPTH) & (x["word"] != FIELD))
+    placed = F.transform(places, lambda x: F.xxhash64("leaf", x["pos"], x["word"]))
+    # All words of a line that recurs as it is are constant; only other lines ask what they share.
+    alone = F.col("texts") >= _enough("n", texts)
+    leaf = held.groupBy("leaf").agg(F.count("*").alias("lines"), F.min(alone).alias("settled"))
+    asking = saved(
+        spark, leaf.where((F.col("lines") > 1) & ~F.col("settled")).select("leaf"), "asking"
+    )
+    words = held.join(_checked(asking), "leaf", "left_semi").select(
+        "line", "n", "texts", alone.alias("alone"), F.explode(placed).alias("word")
+    )
     steady = (
         words.groupBy("word").agg(F.sum("texts").alias("seen"), F.max("n").alias("n"))
         .where(F.col("seen") >= _enough("n", texts)).select("word")
     )
     # The words of a line differ by their places, so none cancels another out.
-    kept = words.select("line", "word").join(steady, "word").groupBy("line").agg(
+    shared = words.where(~F.col("alone")).select("line", "word").join(steady, "word").groupBy("line").agg(
         F.bit_xor("word").alias("kept"), F.count("*").alias("found")
     )
     leading = F.size(F.filter(F.slice(split, 1, DEPTH), lambda w: w != FIELD))
-    constant = (F.col("leading") + F.coalesce("found", F.lit(0))).cast("int")
+    whole = F.aggregate(placed, F.lit(0).cast("bigint"), lambda kept, word: kept.bitwiseXOR(word))
+    own = held.select(
+        "leaf", "line", "worded", leading.alias("leading"), F.when(alone, whole).alias("whole"),
+        F.when(alone, F.col("worded") - leading).alias("rest"),
+    )
+    constant = (F.col("leading") + F.coalesce("rest", "found", F.lit(0))).cast("int")
     return (
-        held.select("leaf", "line", "worded", leading.alias("leading")).join(kept, "line", "left")
-        .withColumn("constant", constant)
+        own.join(shared, "line", "left")
+        .withColumns({"constant": constant, "kept": F.coalesce("whole", "kept")})
         .where((F.col("constant") > 0) & (F.col("constant") >= CONSTANT * F.col("worded")))
         .select("leaf", "line", F.xxhash64("leaf", F.coalesce("kept", F.lit(0))).alias("template"), "constant")
     )

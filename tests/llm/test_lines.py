@@ -210,3 +210,32 @@ def test_templates_shuffle_hashes_of_words(spark):
     # Three texts share all words; the leading four are constants as well.
     got = {(r["template"], r["constant"]) for r in found.collect()}
     assert sorted(n for _, n in got) == [10, 11]
+
+
+def test_only_lines_that_do_not_recur_as_they_are_ask_for_shared_words(spark, monkeypatch):
+    """Words are exploded and counted in leaves only where a line needs others to have a template."""
+    kept = {}
+
+    def saved(session, df, name, codec=None):
+        kept[name] = save(session, df, name, codec)
+        return kept[name]
+
+    save = templates.saved
+    monkeypatch.setattr(templates, "saved", saved)
+    same = "here are many words that stand in two texts as they are"
+    near = "there was an old miller by the river in the year {} of {} wars"
+    mixed = "now comes a long line of which one word is {} in other texts again"
+    data = [(i, f"own {i} {tables.prose(i, 12)}\n{same}") for i in range(3)]
+    data += [(10 + i, f"{tables.prose(10 + i, 9)}\n" + near.format("one", w)) for i, w in enumerate(("two", "six"))]
+    # A leaf with a line in two texts and lines in one.
+    data += [(20 + i, f"{tables.prose(20 + i, 9)}\n" + mixed.format(w))
+             for i, w in enumerate(("red", "red", "blue", "green"))]
+    docs = spark.createDataFrame([(*r, "s") for r in data], "doc_id bigint, text string, source string").cache()
+    columns = "doc_id, text, n_lines, n_dropped, n_dropped_words"
+    out = templates.drop_recurring_lines(spark, docs)
+    assert rows(out, columns) == sql_rows(docs, templates.TEMPLATE_SQL, columns)
+    assert kept["held"].where(f"masked = '{same}'").count() == 1
+    lines = kept["held"].join(kept["asking"], "leaf", "left_semi").collect()
+    assert sorted(r["masked"] for r in lines) == sorted(
+        [near.format("one", w) for w in ("two", "six")] + [mixed.format(w) for w in ("red", "blue", "green")]
+    )
