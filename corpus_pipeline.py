@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import linefreq, oddsketch, packing, passages, seeds, templates, tokens
+from rillflow.llm import filters, linefreq, oddsketch, packing, passages, seeds, templates, tokens
+from rillflow.llm.scratch import saved
 from rillflow.session import configure, scratch_path
 
 # What a stage calls near copies: these shingles of words, this similarity in percent.
@@ -41,8 +42,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies, the one with the smallest doc_id."""
     near = oddsketch.near_duplicates(spark, docs, NEAR_WORDS, NEAR_PERCENT)
-    groups = near.where(~F.col("kept")).select("doc_id")
-    return docs.join(groups.distinct(), "doc_id", "left_anti").select(
+    copies = saved(spark, near.where(~F.col("kept")).select("doc_id").distinct(), "copies")
+    return filters.without(docs, "doc_id", copies, filters.slots(copies)).select(
         "doc_id", "text", "lang", "source", "n_chars"
     )
 

@@ -4,8 +4,8 @@
    MinHash bands and an odd sketch: every MinHash sample flips one bit of a parity bitmap, so the
    bits in which two bitmaps differ count the samples in which the documents differ.
 2. Documents with the same set are one class, whatever their number. Only classes go on.
-3. In each band bucket every class is compared with the bucket's centre. The best centre of a
-   class, if the sketches allow the similarity, is verified on the full sets, and links are joined up.
+3. In each band bucket of several classes each is compared with the bucket's centre; the other
+   buckets, which are most, are left after a count. The best centre of a class, if the sketches allow the similarity, is verified on the full sets, and links are joined up.
 4. Buckets that still hold classes of different groups are compared in blocks, sketch against
    sketch, across groups only. A block names its members that have a pair to verify; their full sets
    come to the block, which verifies the pairs in its task and gives out the links that join groups.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.arrow import byte_texts, map_batches
 from rillflow.llm.components import components
+from rillflow.llm.filters import possible, slots
 from rillflow.llm.scratch import saved
 from rillflow.llm.words import Hasher, mixed, numbers, windows
 from rillflow.llm.worker import kept
@@ -152,16 +153,22 @@ def _differing_bits(a: Column, b: Column) -> Column:
     return F.aggregate(counts, F.lit(0), lambda s, x: s + x)
 
 
-def star_pairs(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def shared_buckets(classes: DataFrame) -> DataFrame:
+    """The entries (bucket, node) of buckets that hold several classes; most hold one."""
+    entries = classes.select(F.explode("bands").alias("bucket"), "node")
+    several = entries.groupBy("bucket").count().where("count > 1").select("bucket")
+    return entries.join(several, "bucket", "left_semi")
+
+
+def star_pairs(
+    classes: DataFrame, percent: int = PERCENT, shared: DataFrame | None = None
+) -> DataFrame:
     """For each class the bucket centre most similar by its sketch, if that allows a link: (a, b).
 
-    A bucket's centre is its smallest class.
+    A bucket's centre is its smallest class. ``shared`` are the ``shared_buckets`` of the classes.
     """
-    entries = classes.select("node", F.explode("bands").alias("bucket"))
-    centres = (
-        entries.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n"))
-        .where("n > 1").drop("n")
-    )
+    entries = shared_buckets(classes) if shared is None else shared
+    centres = entries.groupBy("bucket").agg(F.min("node").alias("a"))
     pairs = (
         entries.join(centres, "bucket").where("node <> a")
         .select("a", F.col("node").alias("b")).distinct()
@@ -187,17 +194,16 @@ def _grouped(classes: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _mixed_buckets(grouped: DataFrame, percent: int) -> DataFrame:
+def _mixed_buckets(grouped: DataFrame, percent: int, shared: DataFrame | None = None) -> DataFrame:
     """Members of buckets with classes of different groups, in pairs of blocks (i, j).
 
     A large bucket is cut by set size into levels, of which only neighbours can hold a pair: the
     sizes of two levels apart differ by more than the limit allows. Levels are cut into blocks.
     """
     step = math.log(100 / min(percent, 99)) * (1 + 1e-9)
-    entries = grouped.select(
-        "node", "label", "n_shingles", F.explode("bands").alias("bucket"),
-        F.floor(F.log("n_shingles") / step).cast("bigint").alias("level"),
-    )
+    shared = shared_buckets(grouped) if shared is None else shared
+    level = F.floor(F.log("n_shingles") / step).cast("bigint").alias("level")
+    entries = shared.join(grouped.select("node", "label", "n_shingles", level), "node")
     measures = [F.min("label").alias("low"), F.max("label").alias("high")]
     by_level = entries.groupBy("bucket", "level").agg(
         *measures, F.count("*").alias("n"), F.sum("n_shingles").alias("size")
@@ -234,7 +240,7 @@ def _mixed_buckets(grouped: DataFrame, percent: int) -> DataFrame:
     return (
         dealt.select("bucket", "node", "own", F.least("own", "other").alias("i"),
                      F.greatest("own", "other").alias("j"))
-        .join(grouped, "node")
+        .join(possible(grouped, "node", slots(shared.select("node"))), "node")
         .groupBy("bucket", "i", "j").agg(F.collect_list(member).alias("members"))
         .select("bucket", "i", "j", "members")
     )
@@ -277,7 +283,9 @@ def _table(flat: Callable[[str], pa.Array], percent: int) -> dict[str, np.ndarra
     return out
 
 
-def cross_members(grouped: DataFrame, percent: int = PERCENT) -> DataFrame:
+def cross_members(
+    grouped: DataFrame, percent: int = PERCENT, shared: DataFrame | None = None
+) -> DataFrame:
     """Members of blocks with a pair to verify there: (bucket, i, j, own, node)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -300,7 +308,7 @@ def cross_members(grouped: DataFrame, percent: int = PERCENT) -> DataFrame:
             }
 
     schema = "bucket bigint, i bigint, j bigint, own bigint, node bigint"
-    return map_batches(_mixed_buckets(grouped, percent), work, schema)
+    return map_batches(_mixed_buckets(grouped, percent, shared), work, schema)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
@@ -345,15 +353,17 @@ def _joined(key: tuple, rows: pa.Table, percent: int) -> Iterator[tuple[int, int
 
 def cross_links(
     docs: DataFrame, classes: DataFrame, labels: DataFrame, width: int = WIDTH,
-    percent: int = PERCENT,
+    percent: int = PERCENT, shared: DataFrame | None = None,
 ) -> DataFrame:
     """Links (a, b) between classes of different groups that join these groups up."""
     spark = docs.sparkSession
     grouped = _grouped(classes, labels)
-    members = saved(spark, cross_members(grouped, percent), "members")
-    sets = full_sets(docs, classes, members.select("node").distinct(), width)
+    members = saved(spark, cross_members(grouped, percent, shared), "members")
+    nodes = members.select("node").distinct()
+    sets = full_sets(docs, classes, nodes, width)
     block = ["bucket", "i", "j"]
-    rows = members.join(sets, "node").join(grouped, "node").repartition(*block)
+    own = possible(grouped, "node", slots(nodes))
+    rows = members.join(sets, "node").join(own, "node").repartition(*block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, table in _blocks(batches):
@@ -375,6 +385,7 @@ def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
 def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """The shingle sets of the named classes: (node, shingles)."""
     names = classes.join(nodes, "node").select(F.col("rep").alias("doc_id"), "node")
+    names = saved(docs.sparkSession, names, "names")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def sets(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -392,6 +403,7 @@ def full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, width: int)
 
     # Rows that repeat give the same set twice; rows with another text under the same doc_id
     # are left out by the name of the set.
+    texts = possible(texts, "doc_id", slots(names.select("doc_id")))
     full = map_batches(texts.join(names, "doc_id"), sets, "node bigint, shingles binary")
     return full.dropDuplicates(["node"])
 
@@ -438,10 +450,11 @@ def near_duplicates(
     )
     classes = saved(spark, classes, "classes")
 
-    pairs = saved(spark, star_pairs(classes, percent), "pairs")
+    shared = saved(spark, shared_buckets(classes), "shared")
+    pairs = saved(spark, star_pairs(classes, percent, shared), "pairs")
     links = saved(spark, verified(docs, classes, pairs, width, percent), "links")
     labels = components(links)
-    cross = saved(spark, cross_links(docs, classes, labels, width, percent), "links")
+    cross = saved(spark, cross_links(docs, classes, labels, width, percent, shared), "links")
     if not cross.isEmpty():
         labels = components(links.union(cross))
 

@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from rillflow.llm import components, oddsketch
+from rillflow.llm import components, filters, oddsketch
 from tests.llm import tables
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -123,3 +123,46 @@ def test_components(spark):
     assert out[101] == 100 and out[200] == 200
     none = spark.createDataFrame([], "a bigint, b bigint")
     assert components.components(none).count() == 0
+
+
+def test_only_shared_buckets_and_asked_texts_are_shuffled(spark, monkeypatch):
+    kept = {}
+
+    def saved(session, df, name, codec=None):
+        kept.setdefault(name, save(session, df, name, codec))
+        return kept[name] if name in ("shared", "names") else save(session, df, name, codec)
+
+    save = oddsketch.saved
+    rows = [(i, tables.prose(400 + i, 80)) for i in range(60)]
+    rows += [(100 + i, tables.changed(rows[0][1], 500 + i, 1)) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    classes = oddsketch.signatures(docs).select(
+        F.col("key_a").alias("node"), F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch"
+    ).cache()
+    shared = Counter(r["bucket"] for r in oddsketch.shared_buckets(classes).collect())
+    every = Counter(b for r in classes.collect() for b in r["bands"])
+    assert shared == Counter({b: n for b, n in every.items() if n > 1}) and len(shared) < len(every) / 10
+    assert set(map(tuple, oddsketch.star_pairs(classes).collect())) == set(
+        map(tuple, oddsketch.star_pairs(classes, shared=oddsketch.shared_buckets(classes)).collect())
+    )
+    monkeypatch.setattr(oddsketch, "saved", saved)
+    asked = classes.where("rep IN (0, 101)").select("node")
+    assert oddsketch.full_sets(docs, classes, asked, 3).count() == 2
+    texts = filters.possible(docs, "doc_id", filters.slots(kept["names"].select("doc_id")))
+    assert sorted(r["doc_id"] for r in texts.collect()) == [0, 101]
+
+
+def test_bitmaps_decide_nothing_alone(spark, monkeypatch):
+    rows = [(i, str(i)) for i in range(-50, 300)] + [(None, "none"), (7, "again")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    gone = docs.where("doc_id % 5 = 2").select("doc_id").distinct()
+    # A remainder has the sign of its number.
+    wanted = Counter(r for r in rows if r[0] is None or r[0] < 0 or r[0] % 5 != 2)
+    # In a bitmap of few bits other keys pass too, and a join decides.
+    for bits in (filters.SLOT_BITS, 64, 128):
+        monkeypatch.setattr(filters, "SLOT_BITS", bits)
+        out = filters.without(docs, "doc_id", gone, filters.slots(gone))
+        assert Counter(map(tuple, out.collect())) == wanted
+        passed = {r["doc_id"] for r in filters.possible(docs, "doc_id", filters.slots(gone)).collect()}
+        assert passed >= {r["doc_id"] for r in gone.collect()}
+        assert bits <= 128 or len(passed) < 100
