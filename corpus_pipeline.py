@@ -7,6 +7,9 @@ copies and documents with benchmark passages go; what is left is cut and packed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +20,27 @@ from rillflow.session import configure, scratch_path
 # What a stage calls near copies: these shingles of words, this similarity in percent.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def configured(stage: Stage) -> Stage:
+    """The stage with the runtime settings, whoever made the session and calls it."""
+
+    @wraps(stage)
+    def run_configured(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(configure(spark), docs, sf_dir)
+
+    return run_configured
+
 
+@configured
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects."""
     model = passages.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return passages.accepted(docs, model)
 
 
+@configured
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop recurring lines, and documents of which they leave nothing.
 
@@ -39,6 +56,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+@configured
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies, the one with the smallest doc_id."""
     near = oddsketch.near_duplicates(spark, docs, NEAR_WORDS, NEAR_PERCENT)
@@ -48,6 +66,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+@configured
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that share a passage with the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -57,6 +76,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     )
 
 
+@configured
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut and pack the documents that are left; rows with a ``sequence`` are what to train on."""
     return packing.cut_sequences(packing.sequences(spark, docs, tokens.default_vocabulary()))
@@ -72,7 +92,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; each is written and read again by the next."""
-    configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")

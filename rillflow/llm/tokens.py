@@ -12,7 +12,7 @@ from rillflow.llm.words import Hasher, blocks, grouped
 from rillflow.llm.worker import kept
 
 # Words and word parts a worker remembers at a time, about 60 bytes each.
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 19
 KNOWN_PARTS = 200_000
 # How the vocabulary cuts lower-case words of Latin letters, digits and plain signs. The last
 # alternative stands for any other character: such words go through the library as they are.

@@ -2,8 +2,11 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from rillflow.llm.arrow import map_batches
 from tests.llm import tables
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -68,3 +71,20 @@ def test_registered():
     for n in range(1, 11):
         assert len([q for q in named if q.startswith(f"op{n}_")]) == 1
     assert {"op1_template_tree", "op7_line_frequency"} <= set(oracle_sql())
+
+
+def test_batches_of_long_texts_end_at_a_size(spark, tmp_path):
+    """Whoever calls a stage: Python never gets thousands of long texts at once."""
+    limit, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.unset(limit)
+    try:
+        corpus_pipeline.near_dedup(spark, write_tables(spark, str(tmp_path)), str(tmp_path))
+        long = spark.range(0, 9000, 1, 1).select("id", F.repeat(F.lit("word "), 400).alias("text"))
+        sizes = map_batches(long, lambda batch: [{"n": [batch.num_rows], "size": [batch.nbytes]}],
+                            "n bigint, size bigint").collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert int(spark.conf.get(rows)) > 9000
+    assert sum(r["n"] for r in sizes) == 9000
+    assert max(r["size"] for r in sizes) < 5 << 20
