@@ -264,3 +264,26 @@ def test_order_joins_in_many_batches(spark, monkeypatch):
         assert max(r[1] for r in before) < min(r[1] for r in after)
     monkeypatch.setattr(streams, "_batches", lambda *names: 6)
     assert compare(QUERIES["stream_order_match"](spark, folder), connect(folder), ORACLES["stream_order_match"]) == ""
+
+
+def test_what_batches_look_up_is_judged_by_its_real_size(spark, monkeypatch, capsys):
+    """Parts whose file is below the limit for broadcasts, but whose rows are not, stay off the driver."""
+    from rillflow.catalog import ORACLES, QUERIES
+    from rillflow.session import plan_bytes
+    from tests.oracle import compare, connect
+
+    folder, limit, started, start = "/root/testdata/sf0.001", 1600, [], jobs.start
+    assert plan_bytes(spark.read.parquet(f"{folder}/part.parquet").select("p_partkey")) < limit
+    monkeypatch.setattr(jobs, "start", lambda *a, **b: started.append(start(*a, **b)) or started[-1])
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit))
+    try:
+        found = QUERIES["stream_order_match"](spark, folder)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    started[0].explain()
+    plan = capsys.readouterr().out
+    assert "InMemoryTableScan" in plan and "BroadcastExchange" not in plan
+    assert compare(found, connect(folder), ORACLES["stream_order_match"]) == ""
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
