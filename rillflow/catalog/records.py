@@ -218,21 +218,28 @@ ORDER_INFOS = """order_infos AS (
   FROM orders)"""
 
 
-def order_details(t: Tables) -> DataFrame:
+def order_lines(t: Tables) -> DataFrame:
+    """Details as they arrive, without the names of what was sold."""
     line_id = F.concat_ws("-", *[text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
-    lines = t.lineitem.join(
-        t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"), "left"
-    )
-    return lines.select(
+    return t.lineitem.select(
         line_id.alias("id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
         F.col("l_extendedprice").alias("order_price"), F.col("l_quantity").cast("bigint").alias("sku_num"),
-        F.col("p_name").alias("sku_name"),
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
         F.col("l_extendedprice").alias("split_total_amount"),
         F.col("l_discount").alias("split_activity_amount"), F.col("l_tax").alias("split_coupon_amount"),
     )
 
 
+def with_sku_name(lines: DataFrame, part: DataFrame) -> DataFrame:
+    """Name of what was sold; a missing part leaves null."""
+    names = part.select(F.col("p_partkey").alias("_sku"), F.col("p_name").alias("sku_name"))
+    return lines.join(names, F.col("sku_id") == F.col("_sku"), "left").drop("_sku")
+
+
+def order_details(t: Tables) -> DataFrame:
+    return with_sku_name(order_lines(t), t.part)
+
+
 ORDER_DETAILS = """order_details AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
          l_orderkey AS order_id, l_partkey AS sku_id, l_extendedprice AS order_price,

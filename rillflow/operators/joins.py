@@ -6,6 +6,8 @@ from the measured size and AQE splits skewed partitions of the larger side.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,18 @@ def marked(df: DataFrame, mark: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{mark}_{c}") for c in df.columns])
 
 
+def on_side(pairs: DataFrame, mark: str, lookup: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Joined rows with a lookup made for the columns of one side; what it adds is marked as theirs."""
+    others = [c for c in pairs.columns if not c.startswith(f"{mark}_")]
+    bare = pairs.select(*others, *[
+        F.col(c).alias(c.removeprefix(f"{mark}_")) for c in pairs.columns if c not in others
+    ])
+    found = lookup(bare)
+    return found.select(*[
+        F.col(c) if c in others else F.col(c).alias(f"{mark}_{c}") for c in found.columns
+    ])
+
+
 def wide_rows(infos: DataFrame, details: DataFrame) -> DataFrame:
     """Inner join of orders and details into wide rows (JON-04, JON-05)."""
     joined = marked(infos, "info").join(

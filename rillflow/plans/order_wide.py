@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions import day_from_text, hour_from_text
-from rillflow.operators.joins import assembled, marked, wide_rows, with_province, with_user
+from rillflow.operators.joins import assembled, marked, on_side, wide_rows, with_province, with_user
 from rillflow.sinks.keyed import KeyedTable
 
 
@@ -28,12 +30,15 @@ def wide_orders(
 
 
 def wide_order_stream(
-    infos: DataFrame, details: DataFrame, info_time: str, detail_time: str, buffer: str = "24 hours"
+    infos: DataFrame, details: DataFrame, info_time: str, detail_time: str, buffer: str = "24 hours",
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
+    describe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The stream form (JON-03, STA-09): both sides wait up to ``buffer`` for the other.
 
-    ``infos`` are enriched already. Each pair comes out once; rows older than the buffer leave
-    the state by the watermark.
+    Each pair comes out once; rows older than the buffer leave the state by the watermark. What
+    ``infos`` and ``details`` do not have yet, ``enrich`` and ``describe`` look up for the pairs: rows
+    that find no other half are never looked up, and the state holds them as they came.
     """
     left = marked(infos, "info").withWatermark(f"info_{info_time}", buffer)
     right = marked(details, "detail").withWatermark(f"detail_{detail_time}", buffer)
@@ -41,7 +46,10 @@ def wide_order_stream(
     wait = F.expr(f"INTERVAL {buffer}")
     near = (seen >= sold - wait) & (seen <= sold + wait)
     same = F.col("info_id") == F.col("detail_order_id")
-    return assembled(left.join(right, same & near, "inner"))
+    pairs = left.join(right, same & near, "inner")
+    for mark, lookup in (("info", enrich), ("detail", describe)):
+        pairs = on_side(pairs, mark, lookup) if lookup else pairs
+    return assembled(pairs)
 
 
 def match_state_stream(

@@ -1,6 +1,7 @@
 """Streaming jobs: restarts, late rows, replays, and equality with the batch forms."""
 
 import time
+from itertools import takewhile
 
 import pytest
 from pyspark.sql import functions as F
@@ -287,3 +288,49 @@ def test_what_batches_look_up_is_judged_by_its_real_size(spark, monkeypatch, cap
     assert "InMemoryTableScan" in plan and "BroadcastExchange" not in plan
     assert compare(found, connect(folder), ORACLES["stream_order_match"]) == ""
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def below(plan, name):
+    """The lines of a plan that lie below the operator of that name."""
+    lines = plan.split("\n")
+    at = next(n for n, line in enumerate(lines) if name in line)
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    return [line for line, _ in takewhile(lambda x: x[1] > depth[at], zip(lines[at + 1 :], depth[at + 1 :]))]
+
+
+def test_wide_orders_look_up_what_has_found_its_other_half(spark, monkeypatch, capsys):
+    """Nothing is looked up for rows on their way into the state, and no batch deals a dimension out again."""
+    from rillflow.catalog import ORACLES, QUERIES
+    from tests.oracle import compare, connect
+
+    folder, started, start = "/root/testdata/sf0.001", [], jobs.start
+    monkeypatch.setattr(jobs, "start", lambda *a, **b: started.append(start(*a, **b)) or started[-1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1500")
+    try:
+        found = QUERIES["stream_order_wide"](spark, folder)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    started[0].explain()
+    plan = capsys.readouterr().out
+    state_inputs = below(plan, "StreamingSymmetricHashJoin")
+    assert sum("EventTimeWatermark" in line for line in state_inputs) == 2
+    assert not any("SortMergeJoin" in line or "BroadcastHashJoin" in line for line in state_inputs)
+    assert plan.count("InMemoryTableScan") == 2
+    assert compare(found, connect(folder), ORACLES["stream_order_wide"]) == ""
+
+
+def test_lookups_of_pairs_add_what_lookups_before_would(spark, tmp_path, dims):  # noqa: F811
+    """Users that are missing or there twice, and columns of the other side with the same names."""
+    users, provinces, as_of = dims
+    users = users.unionByName(users.limit(1))
+    infos = at(spark.createDataFrame([order(1), order(2), order(3, user=999)], ORDER_INFO))
+    details = at(spark.createDataFrame([detail(10, 1), detail(11, 1), detail(20, 2), detail(30, 3)], ORDER_DETAIL))
+
+    def enrich(side):
+        return order_wide.enriched_orders(side, users, provinces, as_of)
+
+    first = order_wide.wide_order_stream(enrich(infos), details, "at", "at")
+    later = order_wide.wide_order_stream(infos, details, "at", "at", enrich=enrich)
+    assert later.columns == first.columns
+    assert sorted(map(str, later.collect())) == sorted(map(str, first.collect())) and first.count() > 3
